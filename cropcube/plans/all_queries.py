@@ -7,13 +7,5 @@ def load() -> None:
     global _loaded
     if _loaded:
         return
-    from cropcube.plans import catalog  # noqa: F401
-    try:
-        from cropcube.plans import ml_queries  # noqa: F401
-    except ImportError:
-        pass
-    try:
-        from cropcube.plans import stream_queries  # noqa: F401
-    except ImportError:
-        pass
+    from cropcube.plans import catalog, ml_queries, stream_queries  # noqa: F401
     _loaded = True
