@@ -68,16 +68,33 @@ def attach_class_names(pixels: DataFrame, dictionary: DataFrame, code_col: str =
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("r", "g", "b")})
 
 
-def observe_scenes(samples: DataFrame, scene_pixels: DataFrame, scenes: DataFrame,
-                   sample_keys: list[str]) -> DataFrame:
-    """Value of every asset of every usable scene at every sample pixel.
-
-    ``samples`` carry (scene_id, row, col) of the scene cell they fall in
-    (computed with ``geo.lonlat_to_utm`` + ``geo.cell_of``).  The SCL filter
-    is applied to ``scene_pixels`` before the join so the excluded cells never
-    shuffle; ``scenes`` (one row per scene, already filtered on usable area)
-    prunes scene pixels by a semi join.  A sample outside a scene has no
-    match, i.e. no data, which the original drops as SCL 0.
+MAX_BROADCAST_TILES = 100_000  # MGRS has ~57k tiles worldwide
+
+
+def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, join_keys=("year",)) -> DataFrame:
+    """T06 for every tile covering a sample: the sample's (row, col) in that tile's grid.
+
+    ``tiles`` lists (year, mgrs) that have scenes; it is bounded by the tile
+    grid, checked, and broadcast, so the fan-out is tiles-per-sample with no
+    shuffle of the samples.
+    """
+    n = tiles.count()
+    t = F.broadcast(tiles) if n <= MAX_BROADCAST_TILES else tiles
+    with_tiles = samples.join(t, list(join_keys))
+    cell = cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))
+    return with_tiles.withColumn("_cell", cell).withColumns(
+        {"row": F.col("_cell.row"), "col": F.col("_cell.col")}).drop("_cell")
+
+
+def observe_scenes(sample_cells_df: DataFrame, scene_pixels: DataFrame,
+                   keys=("mgrs", "year", "row", "col")) -> DataFrame:
+    """Value of every asset of every scene at every sample pixel.
+
+    An equi-join on (tile grid, year, row, col): each sample cell meets the
+    values of all scenes of that tile at that cell, which is the observation
+    table itself (no intermediate pairs).  The SCL exclusion is applied to
+    the scene pixels before the join, so excluded cells are never shuffled.
+    A sample outside every scene has no match, i.e. no data.
     """
-    sp = drop_scl(scene_pixels).join(scenes.select("scene_id"), "scene_id", "left_semi")
-    return samples.select(*sample_keys, "scene_id", "row", "col").join(sp, ["scene_id", "row", "col"], "inner")
+    sp = drop_scl(scene_pixels)
+    return sample_cells_df.join(sp, list(keys), "inner")

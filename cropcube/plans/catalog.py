@@ -564,3 +564,35 @@ FROM obs_all GROUP BY scl""")
 def j10_scl_names(spark, sf):
     obs = FX.observations(spark, sf, quality_filter=False)
     return obs.groupBy("scl").agg(F.count("*").alias("n")).select("scl", scl_name(F.col("scl")).alias("scl_name"), "n")
+
+
+# ---------------------------------------------------------------- step 5: scenes x pixels
+
+@query("j04_observe_scenes", "J04 T06 J12 F06 F07 D6 Q24", sql=Q.with_(Q.RAW_OBS) + f""",
+attrs AS (
+  SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
+         mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs)
+SELECT bbox, year, pixel_id, CDL, scene_date, tile, scl, {Q.BAND_LIST}
+FROM attrs WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL""")
+def j04_observe_scenes(spark, sf):
+    smp = FX.samples_from_observations(spark, sf)
+    ll = FX.pixel_lonlat(F.col("pixel_id"))
+    smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
+    tiles = FX.scenes(spark, sf).select(F.year(F.to_date(F.substring("datetime", 1, 10))).alias("year"),
+                                        F.element_at(F.split("scene_id", "_"), 2).alias("mgrs")).distinct()
+    cells = OB.sample_cells(smp, tiles, FX.scene_cell)
+    obs = OB.observe_scenes(cells, FX.scene_pixels(spark, sf))
+    obs = OB.quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
+    return obs.select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
+
+
+@query("t06_utm_cells", "T06 T05 T07", sql=None)
+def t06_utm_cells(spark, sf):
+    """Sample pixels: lon/lat, UTM zone 15 metres and the 10 m scene cell per tile grid."""
+    smp = FX.samples_from_observations(spark, sf).select("pixel_id").distinct()
+    ll = FX.pixel_lonlat(F.col("pixel_id"))
+    u = geo.lonlat_to_utm(ll["lon"], ll["lat"], F.lit(FX.UTM_ZONE))
+    cell = FX.scene_cell(ll["lon"], ll["lat"], F.lit("AF"))
+    return smp.select("pixel_id", ll["lon"].alias("lon"), ll["lat"].alias("lat"),
+                      F.round(u["x"], 3).alias("utm_x"), F.round(u["y"], 3).alias("utm_y"),
+                      cell["row"].alias("row"), cell["col"].alias("col"))

@@ -192,3 +192,38 @@ def scene_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array("min_lon", "min_lat", "max_lon", "max_lat").alias("bbox"),
         props.alias("properties"), assets.alias("assets"))
     return s.select(F.to_json(feature).alias("json"))
+
+
+UTM_ZONE = 15
+SCENE_CELL = 10.0
+
+
+def tile_grid_origin(mgrs) -> tuple[F.Column, F.Column]:
+    """Upper-left corner (UTM zone 15 metres) of a tile's 10 m grid."""
+    m = F.col(mgrs) if isinstance(mgrs, str) else mgrs
+    x0 = F.lit(399960.0) + (F.ascii(F.substring(m, 1, 1)) % 3).cast("double") * F.lit(20.0)
+    y0 = F.lit(4000020.0) - (F.ascii(F.substring(m, 2, 1)) % 2).cast("double") * F.lit(20.0)
+    return x0, y0
+
+
+def scene_cell(lon, lat, mgrs) -> F.Column:
+    """lon/lat -> UTM -> (row, col) of the tile's 10 m grid."""
+    u = geo.lonlat_to_utm(lon, lat, F.lit(UTM_ZONE))
+    x0, y0 = tile_grid_origin(mgrs)
+    return geo.cell_of(u["x"], u["y"], x0, y0, F.lit(SCENE_CELL), F.lit(SCENE_CELL))
+
+
+def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scene rasters as cells: one row per (scene, cell) with the 13 assets.
+
+    Each ``lineitem`` row is the value of one scene at the cell holding its
+    pixel; the cell is found with the same projection a sample uses.
+    """
+    raw = raw_observations(spark, sf_dir)
+    ll = pixel_lonlat(F.col("pixel_id"))
+    cell = scene_cell(ll["lon"], ll["lat"], F.col("mgrs"))
+    return raw.select(
+        F.concat(F.lit("S2A_"), "mgrs", F.lit("_"), F.date_format("scene_date", "yyyyMMdd"),
+                 F.lit("_"), F.col("seq").cast("string"), F.lit("_L2A")).alias("scene_id"),
+        "mgrs", "year", "scene_date", "seq", cell["row"].alias("row"), cell["col"].alias("col"),
+        "scl", *K.BANDS)
