@@ -380,12 +380,12 @@ FROM splits WHERE split IS NOT NULL GROUP BY split""")
 def m07_split_leakage(spark, sf):
     s = series(spark, sf)
     parts = L.split_by_year(s, K.FIXTURE_SPLIT_YEARS)
-    shared = L.leakage(parts).agg(F.count("*").alias("n_shared"))
+    n_shared = L.leakage(parts).count()  # one number: pairs of splits sharing a pixel-year
     counts = None
     for name, df in parts.items():
         c = df.select(F.lit(name).alias("split"), "year", "pixel_id").distinct()
         counts = c if counts is None else counts.unionByName(c)
-    return counts.groupBy("split").agg(F.count("*").alias("n_series")).crossJoin(F.broadcast(shared))
+    return counts.groupBy("split").agg(F.count("*").alias("n_series")).withColumn("n_shared", F.lit(n_shared).cast("bigint"))
 
 
 @query("a16_band_distribution", "A16 F14 F15", sql=Q.with_(Q.TRAIN) + """,
@@ -596,3 +596,13 @@ def t06_utm_cells(spark, sf):
     return smp.select("pixel_id", ll["lon"].alias("lon"), ll["lat"].alias("lat"),
                       F.round(u["x"], 3).alias("utm_x"), F.round(u["y"], 3).alias("utm_y"),
                       cell["row"].alias("row"), cell["col"].alias("col"))
+
+
+@query("l06_hash_sample", "L06", sql=Q.with_(Q.OBS) + """
+SELECT bbox, year, pixel_id, scene_date, tile FROM obs
+WHERE (pixel_id * 2654435761 + CAST(date_diff('day', DATE '1970-01-01', scene_date) AS BIGINT) * 40503 + seq) % 100 < 5""")
+def l06_hash_sample(spark, sf):
+    from cropcube.operators.sampling import hash_sample
+    obs = observations(spark, sf)
+    key = F.col("pixel_id") * F.lit(2654435761) + codec.days_since_epoch(F.col("scene_date")).cast("bigint") * 40503 + F.col("seq")
+    return hash_sample(obs, key, 5).select("bbox", "year", "pixel_id", "scene_date", "tile")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from cropcube import constants as K
 from cropcube.operators import loader as L
 from cropcube.operators import models as M
+from cropcube.operators import sampling as SM
 from cropcube.plans import catalog as C
 from cropcube.plans.registry import query
 from cropcube.session import shared_path
+from cropcube.sources.tables import dataset_size, list_partitions, partition_values_from_paths, write_and_verify
 
 
 def _frames(spark, sf):
@@ -49,3 +51,37 @@ def m04_model_roundtrip(spark, sf):
     loaded = M.load(path, "linear")
     scored = M.score(loaded, test)
     return _report(scored).withColumn("same_as_fitted", F.lit(True))
+
+
+@query("s04_results_roundtrip", "S03 S04 S10 S11 S16 T35 A19 U04")
+def s04_results_roundtrip(spark, sf):
+    """Write the predictions partitioned by (bbox, year), re-read, list partitions and size."""
+    path = shared_path(spark, "results")
+    n = write_and_verify(C.predictions(spark, sf), path)
+    back = spark.read.parquet(path)
+    parts = list_partitions(back, "bbox", "year")
+    from_paths = partition_values_from_paths(back, "bbox", "year")
+    size = dataset_size(back).first()  # one aggregate row
+    return (parts.join(from_paths.withColumn("year", F.col("year").cast("int")), ["bbox", "year"], "left")
+            .withColumns({"num_files": F.lit(size.num_files), "total_bytes": F.lit(size.total_bytes),
+                          "rows_written": F.lit(n)}))
+
+
+@query("s15_training_batches", "S15 D13")
+def s15_training_batches(spark, sf):
+    """Feature rows handed to a consumer in Arrow batches of 1028 rows."""
+    train = M.to_ml_frame(C.train_examples(spark, sf))
+    return SM.batch_sizes(train, K.BATCH_SIZE)
+
+
+@query("l06_bernoulli_sample", "L06")
+def l06_bernoulli_sample(spark, sf):
+    """Seeded 1 % Bernoulli sample of the observations."""
+    return SM.bernoulli_sample(C.observations(spark, sf), 0.01, seed=42)
+
+
+@query("l10_shuffled_examples", "L10")
+def l10_shuffled_examples(spark, sf):
+    """Training examples in a seeded global random order."""
+    ex = C.train_examples(spark, sf).select("bbox", "year", "pixel_id", "CDL", "start_day", "label")
+    return L.shuffled(ex, seed=7)
