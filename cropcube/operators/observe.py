@@ -53,6 +53,15 @@ def quality_filter(df: DataFrame) -> DataFrame:
     return drop_incomplete(drop_scl(df), needed)
 
 
+def rejected_rows(df: DataFrame) -> DataFrame:
+    """Q17: the rows ``quality_filter`` drops, each with its reason (nothing is silently lost)."""
+    needed = [c for c in ["CDL", "scl", *K.BANDS] if c in df.columns]
+    reason = (F.when(F.col("scl").isin(list(K.SCL_EXCLUDE)), F.concat(F.lit("scl excluded: "), F.col("scl").cast("string")))
+              .when(F.col("CDL").isNull(), F.lit("class not in dictionary"))
+              .when(F.greatest(*[F.col(c).isNull().cast("int") for c in needed]) == 1, F.lit("incomplete row")))
+    return df.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
 def attach_class_names(pixels: DataFrame, dictionary: DataFrame, code_col: str = "code") -> DataFrame:
     """Left lookup of class name and RGB; a miss gives null name, RGB 0,0,0.
 

@@ -93,7 +93,7 @@ results_ll AS (
 
 # ---------------------------------------------------------------- step 1: class statistics
 
-@query("a01_class_share", "A01 W01 T37 S07 L07 J01 S06 J02 F01 F02", sql=Q.with_(Q.SAMPLES) + """,
+@query("a01_class_share", "A01 W01 T37 S05 S06 S07 S08 S14 L07 J01 J02 F01 F02", sql=Q.with_(Q.SAMPLES) + """,
 counts AS (SELECT year, CDL, count(CDL) AS count FROM samples GROUP BY year, CDL)
 SELECT year, CDL, count, CAST(sum(count) OVER (PARTITION BY year) AS BIGINT) AS total_count,
        round(CAST(count AS DOUBLE) * 100.0 / CAST(sum(count) OVER (PARTITION BY year) AS DOUBLE), 2) AS percentage
@@ -190,7 +190,7 @@ def t05_sample_lonlat(spark, sf):
     return px.select("raster_id", "bbox", "year", "row", "col", "CDL", "lon", "lat")
 
 
-@query("t02_aoi_bounds", "T01 T02 T03 D3", sql=None)
+@query("t02_aoi_bounds", "T01 T02 T03 D3 Q12", sql=None)
 def t02_aoi_bounds(spark, sf):
     """AOI boxes of the samples: EPSG:5070 text -> lon/lat bounds (both modes) and ring."""
     aois = samples(spark, sf).select("bbox").distinct()
@@ -242,7 +242,7 @@ def a04_series_summary(spark, sf):
     return S.series_summary(series(spark, sf))
 
 
-@query("t15_encoded_series", "T15 T16 T17 T18 X03 X04 D9 S03", sql=Q.with_(Q.OBS) + f""",
+@query("t15_encoded_series", "T15 T16 T17 T18 X03 X04 D9 S03 Q22 Q23", sql=Q.with_(Q.OBS) + f""",
 o AS (SELECT *, row_number() OVER (PARTITION BY bbox, year, pixel_id, CDL ORDER BY scene_date, tile) AS i FROM obs)
 SELECT bbox, year, pixel_id, hex(encode(CDL)) AS cdl_hex, count(*) AS num_images,
        string_agg({' || '.join(f"printf('%04X', {b})" for b in K.BANDS)}, '' ORDER BY i) AS bands_hex,
@@ -359,7 +359,7 @@ def m06_fit_normaliser(spark, sf):
     return n.select("band_index", "band", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-@query("a10_label_histogram", "A10 Q20 T33", sql=Q.with_(Q.TRAIN) + """,
+@query("a10_label_histogram", "A10 Q20 Q21 T33", sql=Q.with_(Q.TRAIN) + """,
 lab AS (SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, label FROM train_long),
 legend AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{n}')" for i, n in enumerate(K.LABEL_LEGEND)) + """) AS t(label, label_name))
 SELECT g.label, g.label_name, CAST(count(l.label) AS BIGINT) AS count
@@ -369,7 +369,7 @@ def a10_label_histogram(spark, sf):
         F.col("label").cast("int").alias("label"), "label_name", "count")
 
 
-@query("m07_split_leakage", "M07 S12 U02 U04", sql=Q.with_(Q.OBS) + f""",
+@query("m07_split_leakage", "M07 S12 U02 U03 U04", sql=Q.with_(Q.OBS) + f""",
 keys AS (SELECT DISTINCT year, pixel_id FROM obs),
 splits AS (
   SELECT CASE year WHEN {K.FIXTURE_SPLIT_YEARS['train']} THEN 'train' WHEN {K.FIXTURE_SPLIT_YEARS['validation']} THEN 'validation'
@@ -568,7 +568,7 @@ def j10_scl_names(spark, sf):
 
 # ---------------------------------------------------------------- step 5: scenes x pixels
 
-@query("j04_observe_scenes", "J04 T06 J12 F06 F07 D6 Q24", sql=Q.with_(Q.RAW_OBS) + f""",
+@query("j04_observe_scenes", "J04 T06 J12 F03 F06 F07 D6 Q24", sql=Q.with_(Q.RAW_OBS) + f""",
 attrs AS (
   SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
          mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs)
@@ -606,3 +606,13 @@ def l06_hash_sample(spark, sf):
     obs = observations(spark, sf)
     key = F.col("pixel_id") * F.lit(2654435761) + codec.days_since_epoch(F.col("scene_date")).cast("bigint") * 40503 + F.col("seq")
     return hash_sample(obs, key, 5).select("bbox", "year", "pixel_id", "scene_date", "tile")
+
+
+@query("f07_rejected_rows", "F06 F07 Q17 Q16", sql=Q.with_(Q.OBS) + f"""
+SELECT bbox, year, pixel_id, scene_date, tile, scl,
+       CASE WHEN scl IN ({Q.SCL_EXCLUDE}) THEN 'scl excluded: ' || CAST(scl AS VARCHAR)
+            WHEN CDL IS NULL THEN 'class not in dictionary' END AS reason
+FROM obs_all WHERE scl IN ({Q.SCL_EXCLUDE}) OR CDL IS NULL""")
+def f07_rejected_rows(spark, sf):
+    obs = FX.observations(spark, sf, quality_filter=False)
+    return OB.rejected_rows(obs).select("bbox", "year", "pixel_id", "scene_date", "tile", "scl", "reason")

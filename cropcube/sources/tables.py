@@ -28,12 +28,28 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 
 
 def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = None,
-                 where: Column | str | None = None, columns: list[str] | None = None) -> DataFrame:
+                 where: Column | str | None = None, columns: list[str] | None = None,
+                 missing_ok: bool = False) -> DataFrame:
     """Scan one or many Parquet roots as one dataset.
 
     ``where`` on partition columns prunes directories; ``columns`` prunes
-    the read schema.
+    the read schema.  ``missing_ok`` (Q16): a root that does not exist yet
+    reads as an empty dataset of ``schema``; any other error still raises.
     """
+    if missing_ok:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        existing = []
+        for p in paths:
+            jp = jvm.org.apache.hadoop.fs.Path(p)
+            if jp.getFileSystem(conf).exists(jp):
+                existing.append(p)
+        if not existing:
+            if schema is None:
+                raise ValueError("missing_ok needs a schema for an absent dataset")
+            df = spark.createDataFrame([], schema)  # noqa: schema may be DDL text or StructType
+            return df.select(*columns) if columns else df
+        paths = tuple(existing)
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)

@@ -36,3 +36,9 @@ def test_partition_filter_reaches_scan(spark, tmp_path, sf_small):
 def test_class_dictionary_is_broadcast(spark, sf_small):
     plan = _plan(E.queries()["a01_class_share"](spark, sf_small))
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_missing_dataset_reads_empty(spark, tmp_path):
+    from cropcube.sources.tables import read_dataset
+    df = read_dataset(spark, str(tmp_path / "not_written_yet"), schema="bbox STRING, year INT", missing_ok=True)
+    assert df.count() == 0 and df.columns == ["bbox", "year"]
