@@ -13,6 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.functions.hof import let, record
 
 
 def _c(x) -> Column:
@@ -74,24 +75,30 @@ def albers_to_lonlat(x, y, digits: int | None = None) -> Column:
     steps (``aggregate`` over a 5-element sequence), exact to ~1e-14 deg.
     """
     x, y = _c(x).cast("double"), _c(y).cast("double")
-    dy = F.lit(ALBERS_RHO0) - y
-    rho = F.sqrt(x * x + dy * dy)
-    theta = F.atan2(x, dy)
-    q = (F.lit(ALBERS_C) - rho * rho * F.lit(ALBERS_N * ALBERS_N / (_A * _A))) / F.lit(ALBERS_N)
-    lon = F.degrees(F.lit(_L0) + theta / F.lit(ALBERS_N))
-
-    def step(phi, _i):
-        s = F.sin(phi)
-        one_minus = F.lit(1.0) - F.lit(_E2) * s * s
-        return phi + one_minus * one_minus / (F.lit(2.0) * F.cos(phi)) * (
-            q / F.lit(1 - _E2) - s / one_minus
-            + F.lit(1 / (2 * _E)) * F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s)))
-
-    phi = F.aggregate(F.sequence(F.lit(1), F.lit(ALBERS_ITERATIONS)), F.asin(q / F.lit(2.0)), step)
-    lat = F.degrees(phi)
-    if digits is not None:
-        lon, lat = F.round(lon, digits), F.round(lat, digits)
-    return F.struct(lon.alias("lon"), lat.alias("lat"))
+
+    def solve(p):
+        q, theta = p["q"], p["theta"]
+        lon = F.degrees(F.lit(_L0) + theta / F.lit(ALBERS_N))
+
+        def step(phi, _i):
+            s = F.sin(phi)
+            one_minus = F.lit(1.0) - F.lit(_E2) * s * s
+            return phi + one_minus * one_minus / (F.lit(2.0) * F.cos(phi)) * (
+                q / F.lit(1 - _E2) - s / one_minus
+                + F.lit(1 / (2 * _E)) * F.log((F.lit(1.0) - F.lit(_E) * s) / (F.lit(1.0) + F.lit(_E) * s)))
+
+        lat = F.degrees(F.aggregate(F.sequence(F.lit(1), F.lit(ALBERS_ITERATIONS)), F.asin(q / F.lit(2.0)), step))
+        if digits is not None:
+            lon, lat = F.round(lon, digits), F.round(lat, digits)
+        return record(lon=lon, lat=lat)
+
+    def polar(xy):
+        dy = F.lit(ALBERS_RHO0) - xy["y"]
+        rho2 = xy["x"] * xy["x"] + dy * dy
+        return record(q=(F.lit(ALBERS_C) - rho2 * F.lit(ALBERS_N * ALBERS_N / (_A * _A))) / F.lit(ALBERS_N),
+                      theta=F.atan2(xy["x"], dy))
+
+    return let(let(record(x=x, y=y), polar), solve)
 
 
 # --- UTM (Transverse Mercator, Krueger n-series to third order) ---
@@ -118,23 +125,27 @@ def lonlat_to_utm(lon, lat, zone=None) -> Column:
     """
     lon, lat = _c(lon), _c(lat)
     zone = utm_zone(lon) if zone is None else _c(zone).cast("int")
-    lam0 = F.radians(zone.cast("double") * F.lit(6.0) - F.lit(183.0))
-    phi = F.radians(lat)
-    lam = F.radians(lon) - lam0
-    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(_TWO_SQRT_N) * F.atanh(F.lit(_TWO_SQRT_N) * F.sin(phi)))
-    xi = F.atan(t / F.cos(lam))
-    eta = F.atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
-    e_sum = eta
-    n_sum = xi
-    for j, alpha in enumerate(_ALPHA, start=1):
-        e_sum = e_sum + F.lit(alpha) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
-        n_sum = n_sum + F.lit(alpha) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
     k = F.lit(K.UTM_K0 * _UTM_A)
-    north = k * n_sum
-    north = F.when(lat < 0, north + F.lit(K.UTM_FALSE_NORTHING_SOUTH)).otherwise(north)
-    return F.struct(zone.alias("zone"),
-                    (F.lit(K.UTM_FALSE_EASTING) + k * e_sum).alias("x"),
-                    north.alias("y"))
+
+    def conformal(p):
+        phi = F.radians(p["lat"])
+        lam = F.radians(p["lon"]) - F.radians(p["zone"].cast("double") * F.lit(6.0) - F.lit(183.0))
+        t = F.sinh(F.atanh(F.sin(phi)) - F.lit(_TWO_SQRT_N) * F.atanh(F.lit(_TWO_SQRT_N) * F.sin(phi)))
+        return let(record(t=t, lam=lam), lambda v: record(
+            xi=F.atan(v["t"] / F.cos(v["lam"])),
+            eta=F.atanh(F.sin(v["lam"]) / F.sqrt(F.lit(1.0) + v["t"] * v["t"])),
+            zone=p["zone"], south=p["lat"] < 0))
+
+    def series(c):
+        xi, eta = c["xi"], c["eta"]
+        e_sum, n_sum = eta, xi
+        for j, alpha in enumerate(_ALPHA, start=1):
+            e_sum = e_sum + F.lit(alpha) * F.cos(F.lit(2.0 * j) * xi) * F.sinh(F.lit(2.0 * j) * eta)
+            n_sum = n_sum + F.lit(alpha) * F.sin(F.lit(2.0 * j) * xi) * F.cosh(F.lit(2.0 * j) * eta)
+        north = F.when(c["south"], k * n_sum + F.lit(K.UTM_FALSE_NORTHING_SOUTH)).otherwise(k * n_sum)
+        return record(zone=c["zone"], x=F.lit(K.UTM_FALSE_EASTING) + k * e_sum, y=north)
+
+    return let(let(record(lon=lon, lat=lat, zone=zone), conformal), series)
 
 
 def lonlat_to_web_mercator(lon, lat) -> Column:
@@ -176,18 +187,16 @@ def bbox_to_lonlat(bbox_struct, mode: str = "envelope") -> Column:
     corners so every point of the box is inside the result.
     """
     b = _c(bbox_struct)
-    ll = albers_to_lonlat(b["left"], b["bottom"])
-    ur = albers_to_lonlat(b["right"], b["top"])
-    if mode == "corners":
-        return F.struct(ll["lon"].alias("min_lon"), ll["lat"].alias("min_lat"),
-                        ur["lon"].alias("max_lon"), ur["lat"].alias("max_lat"))
-    lr = albers_to_lonlat(b["right"], b["bottom"])
-    ul = albers_to_lonlat(b["left"], b["top"])
-    corners = [ll, lr, ur, ul]
-    return F.struct(F.least(*[c["lon"] for c in corners]).alias("min_lon"),
-                    F.least(*[c["lat"] for c in corners]).alias("min_lat"),
-                    F.greatest(*[c["lon"] for c in corners]).alias("max_lon"),
-                    F.greatest(*[c["lat"] for c in corners]).alias("max_lat"))
+    corners = record(ll=albers_to_lonlat(b["left"], b["bottom"]), lr=albers_to_lonlat(b["right"], b["bottom"]),
+                     ur=albers_to_lonlat(b["right"], b["top"]), ul=albers_to_lonlat(b["left"], b["top"]))
+
+    def bounds(c):
+        if mode == "corners":
+            return record(min_lon=c["ll"]["lon"], min_lat=c["ll"]["lat"], max_lon=c["ur"]["lon"], max_lat=c["ur"]["lat"])
+        pts = [c[n] for n in ("ll", "lr", "ur", "ul")]
+        return record(min_lon=F.least(*[p["lon"] for p in pts]), min_lat=F.least(*[p["lat"] for p in pts]),
+                      max_lon=F.greatest(*[p["lon"] for p in pts]), max_lat=F.greatest(*[p["lat"] for p in pts]))
+    return let(corners, bounds)
 
 
 def bounds_ring(min_x, min_y, max_x, max_y) -> Column:

@@ -190,17 +190,35 @@ def t05_sample_lonlat(spark, sf):
     return px.select("raster_id", "bbox", "year", "row", "col", "CDL", "lon", "lat")
 
 
-@query("t02_aoi_bounds", "T01 T02 T03 D3 Q12", sql=None)
+_T02_SQL = Q.with_(Q.SAMPLES) + """,
+aoi_p AS (
+  SELECT bbox, CAST(string_split(bbox, ', ')[1] AS BIGINT) AS l, CAST(string_split(bbox, ', ')[2] AS BIGINT) AS b,
+         CAST(string_split(bbox, ', ')[3] AS BIGINT) AS r, CAST(string_split(bbox, ', ')[4] AS BIGINT) AS t
+  FROM (SELECT DISTINCT bbox FROM samples)),
+corners AS (
+  SELECT bbox, 'll' AS k, l AS cx, b AS cy FROM aoi_p UNION ALL SELECT bbox, 'lr', r, b FROM aoi_p
+  UNION ALL SELECT bbox, 'ur', r, t FROM aoi_p UNION ALL SELECT bbox, 'ul', l, t FROM aoi_p),
+corner_ll AS (SELECT * FROM """ + Q.albers_inverse("corners", "cx", "cy", digits=None) + """)
+SELECT bbox, round(min(lon), 6) AS env_min_lon, round(min(lat), 6) AS env_min_lat,
+       round(max(lon), 6) AS env_max_lon, round(max(lat), 6) AS env_max_lat,
+       round(max(lon) FILTER (WHERE k = 'll'), 6) AS cor_min_lon, round(max(lat) FILTER (WHERE k = 'll'), 6) AS cor_min_lat,
+       round(max(lon) FILTER (WHERE k = 'ur'), 6) AS cor_max_lon, round(max(lat) FILTER (WHERE k = 'ur'), 6) AS cor_max_lat,
+       5 AS ring_points
+FROM corner_ll GROUP BY bbox"""
+
+
+@query("t02_aoi_bounds", "T01 T02 T03 D3 Q12", sql=_T02_SQL)
 def t02_aoi_bounds(spark, sf):
     """AOI boxes of the samples: EPSG:5070 text -> lon/lat bounds (both modes) and ring."""
     aois = samples(spark, sf).select("bbox").distinct()
     box = geo.parse_bbox(F.col("bbox"))
-    env = geo.bbox_to_lonlat(box, "envelope")
-    cor = geo.bbox_to_lonlat(box, "corners")
-    ring = geo.bounds_ring(env["min_lon"], env["min_lat"], env["max_lon"], env["max_lat"])
-    return aois.select("bbox", *[F.round(env[c], 6).alias(f"env_{c}") for c in ("min_lon", "min_lat", "max_lon", "max_lat")],
-                       *[F.round(cor[c], 6).alias(f"cor_{c}") for c in ("min_lon", "min_lat", "max_lon", "max_lat")],
-                       F.size(ring).alias("ring_points"))
+    b = aois.withColumns({"env": geo.bbox_to_lonlat(box, "envelope"), "cor": geo.bbox_to_lonlat(box, "corners")})
+    b = b.withColumn("ring", geo.bounds_ring(F.col("env.min_lon"), F.col("env.min_lat"),
+                                             F.col("env.max_lon"), F.col("env.max_lat")))
+    fields = ("min_lon", "min_lat", "max_lon", "max_lat")
+    return b.select("bbox", *[F.round(F.col(f"env.{c}"), 6).alias(f"env_{c}") for c in fields],
+                    *[F.round(F.col(f"cor.{c}"), 6).alias(f"cor_{c}") for c in fields],
+                    F.size("ring").alias("ring_points"))
 
 
 # ---------------------------------------------------------------- step 2: observations and series
