@@ -77,19 +77,16 @@ def attach_class_names(pixels: DataFrame, dictionary: DataFrame, code_col: str =
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("r", "g", "b")})
 
 
-MAX_BROADCAST_TILES = 100_000  # MGRS has ~57k tiles worldwide
-
-
 def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, join_keys=("year",)) -> DataFrame:
     """T06 for every tile covering a sample: the sample's (row, col) in that tile's grid.
 
-    ``tiles`` lists (year, mgrs) that have scenes; it is bounded by the tile
-    grid, checked, and broadcast, so the fan-out is tiles-per-sample with no
-    shuffle of the samples.
+    ``tiles`` lists (year, tile grid) pairs that have scenes.  No broadcast
+    hint is forced: the join is left to AQE, which switches to a broadcast
+    join only after measuring the tile side at run time (bounded by
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise keeps a
+    shuffle join.  The fan-out per sample is the number of covering tiles.
     """
-    n = tiles.count()
-    t = F.broadcast(tiles) if n <= MAX_BROADCAST_TILES else tiles
-    with_tiles = samples.join(t, list(join_keys))
+    with_tiles = samples.join(tiles, list(join_keys))
     cell = cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))
     return with_tiles.withColumn("_cell", cell).withColumns(
         {"row": F.col("_cell.row"), "col": F.col("_cell.col")}).drop("_cell")
