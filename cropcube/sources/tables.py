@@ -22,9 +22,38 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+SMALL_INPUT_BYTES = 256 * 1024 * 1024
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path`` (one metadata call, no data read)."""
+    jvm = spark.sparkContext._jvm
+    jp = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(jp).getLength())
+
+
+def spread_small_input(df: DataFrame, path: str) -> DataFrame:
+    """Give a small input as many partitions as there are cores.
+
+    A file written as one Parquet row group is read by one task however it
+    is split, which serialises the whole first stage.  Below
+    ``SMALL_INPUT_BYTES`` (checked from file metadata) the rows are spread
+    round-robin over the default parallelism, a cheap shuffle at that size;
+    larger inputs already have one task per split and are left as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if cores > 1 and input_bytes(spark, path) < SMALL_INPUT_BYTES:
+        return df.repartition(cores)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    path = table_path(sf_dir, name)
+    df = spark.read.parquet(path)
+    df = df.select(*columns) if columns else df
+    return spread_small_input(df, path)
 
 
 def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = None,
