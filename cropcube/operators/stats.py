@@ -88,8 +88,10 @@ def band_distribution(long_df: DataFrame, value_cols: list[str], by: list[str] |
     """Per band min / max / mean / quartiles / fixed-width histogram.
 
     Input is long form (one row per filled slot); output is one row per
-    (by..., band).  ``exact=False`` uses ``percentile_approx`` (bounded
-    memory per group) which is what to run at scale.
+    (by..., band).  The exact ``percentile`` keeps a value -> frequency map
+    per group, so its memory is bounded by the distinct band values (at most
+    65,536 for unsigned 16-bit bands), not by the row count; ``exact=False``
+    uses ``percentile_approx`` for unbounded value domains.
     """
     by = by or []
     stacked = long_df.select(*by, F.explode(F.array(*[

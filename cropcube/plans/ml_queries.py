@@ -10,14 +10,15 @@ from cropcube.operators import models as M
 from cropcube.operators import sampling as SM
 from cropcube.plans import catalog as C
 from cropcube.plans.registry import query
-from cropcube.session import shared_path
+from cropcube.session import materialize, shared_path
 from cropcube.sources.tables import dataset_size, list_partitions, partition_values_from_paths, write_and_verify
 
 
 def _frames(spark, sf):
     ser = C.series(spark, sf)
     splits = L.split_by_year(ser, K.FIXTURE_SPLIT_YEARS)
-    train = M.to_ml_frame(L.training_examples(splits["train"]))
+    # written once to the shared checkpoint folder: the fit reads it many times
+    train = materialize(M.to_ml_frame(L.training_examples(splits["train"])), "train-features")
     test = M.to_ml_frame(L.sweep_examples(splits["test"]))
     return train, test
 

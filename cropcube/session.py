@@ -56,3 +56,18 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/cropcube/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage before iterative work (model fits read their input many
+    times): a lost executor then re-reads the written table instead of
+    recomputing the whole upstream chain.  Uses the folder named by
+    ``spark.checkpoint.dir`` (shared storage on a cluster), never a
+    machine-local path, and never ``localCheckpoint``.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

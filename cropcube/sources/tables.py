@@ -96,14 +96,16 @@ def write_dataset(df: DataFrame, path: str, partition_by=("bbox", "year"),
 
     ``mode="overwrite"`` uses dynamic partition overwrite: only partitions
     present in ``df`` are replaced, so re-running a partition is idempotent.
-    Rows are clustered by the partition columns first so each task writes
-    few files.
+    Rows are clustered with the ``rebalance`` hint on the partition columns:
+    AQE splits a large (bbox, year) into advisory-size tasks, so a handful of
+    partition values never means a handful of writer tasks, and small ones
+    are merged so each task writes few files.
     """
     spark = df.sparkSession
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df
     if partition_by:
-        out = out.repartition(*partition_by)
+        out = out.hint("rebalance", *partition_by)
         order = list(partition_by) + list(sort_within or [])
         out = out.sortWithinPartitions(*order)
     w = out.write.mode(mode)

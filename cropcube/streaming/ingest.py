@@ -53,19 +53,22 @@ def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
 def refresh_series_batch(obs_root: str, series_dir: str, key=("bbox", "year", "pixel_id", "CDL")):
     """A ``foreachBatch`` function that lands a batch and refreshes its partitions.
 
-    The batch is written to its own epoch folder with overwrite (a replayed
-    epoch rewrites the same files: idempotent), then the series of every
-    touched (bbox, year) are rebuilt from all landed observations and written
-    with dynamic partition overwrite.
+    The batch lands under (bbox, year, epoch) with dynamic partition
+    overwrite, so a replayed epoch rewrites exactly its own files
+    (idempotent).  The series of every touched (bbox, year) are then rebuilt
+    from the landed observations; the semi join on the partition columns
+    prunes the scan to the touched directories, and the result replaces
+    only those series partitions.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{obs_root}/epoch={epoch_id}")
-        touched = batch.select("bbox", "year").distinct()
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        (batch.withColumn("epoch", F.lit(int(epoch_id)))
+         .write.mode("overwrite").partitionBy("bbox", "year", "epoch").parquet(obs_root))
+        touched = batch.select("bbox", "year").distinct()  # bounded by areas x years
         obs = spark.read.parquet(obs_root).drop("epoch")
         obs = obs.join(F.broadcast(touched), ["bbox", "year"], "left_semi")
         ser = encode_series(build_series(obs, key))
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         ser.write.mode("overwrite").partitionBy("bbox", "year").parquet(series_dir)
     return run
 
