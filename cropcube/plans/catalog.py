@@ -604,7 +604,20 @@ def j04_observe_scenes(spark, sf):
     return obs.select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
 
 
-@query("t06_utm_cells", "T06 T05 T07", sql=None)
+_AF_X0 = 399960 + 20 * (ord("A") % 3)
+_AF_Y0 = 4000020 - 20 * (ord("F") % 2)
+
+
+@query("t06_utm_cells", "T06 T05 T07", sql=Q.with_(Q.RAW_OBS) + f""",
+px AS (SELECT DISTINCT pixel_id FROM raw_obs),
+grid AS (SELECT pixel_id, {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
+                {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy FROM px),
+ll AS (SELECT pixel_id, lon, lat FROM {Q.albers_inverse('grid', 'gx', 'gy')}),
+u AS (SELECT * FROM {Q.utm_forward('ll', 'lon', 'lat', FX.UTM_ZONE)})
+SELECT pixel_id, lon, lat, round(utm_x, 3) AS utm_x, round(utm_y, 3) AS utm_y,
+       CAST(floor(({_AF_Y0}.0 - utm_y) / {FX.SCENE_CELL}) AS INTEGER) AS row,
+       CAST(floor((utm_x - {_AF_X0}.0) / {FX.SCENE_CELL}) AS INTEGER) AS col
+FROM u""")
 def t06_utm_cells(spark, sf):
     """Sample pixels: lon/lat, UTM zone 15 metres and the 10 m scene cell per tile grid."""
     smp = FX.samples_from_observations(spark, sf).select("pixel_id").distinct()

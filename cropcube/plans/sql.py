@@ -56,6 +56,23 @@ def albers_inverse(src: str, x: str, y: str, digits: int | None = 6, p: str = ""
     return f"(SELECT * EXCLUDE ({drop}), {lon} AS {p}lon, {lat} AS {p}lat FROM {q})"
 
 
+def utm_forward(src: str, lon: str, lat: str, zone: int) -> str:
+    """Subquery over ``src`` adding utm_x, utm_y (WGS84 UTM ``zone``, Krueger series)."""
+    k = K.UTM_K0 * geo._UTM_A
+    c = geo._TWO_SQRT_N
+    lam0 = f"radians({zone * 6 - 183}.0)"
+    q = (f"(SELECT *, radians({lat}) AS _phi, radians({lon}) - {lam0} AS _lam FROM {src})")
+    q = f"(SELECT *, sinh(atanh(sin(_phi)) - {c!r} * atanh({c!r} * sin(_phi))) AS _t FROM {q})"
+    q = f"(SELECT *, atan(_t / cos(_lam)) AS _xi, atanh(sin(_lam) / sqrt(1.0 + _t * _t)) AS _eta FROM {q})"
+    e_sum = " + ".join(["_eta"] + [f"{a!r} * cos({2.0 * j!r} * _xi) * sinh({2.0 * j!r} * _eta)"
+                                   for j, a in enumerate(geo._ALPHA, start=1)])
+    n_sum = " + ".join(["_xi"] + [f"{a!r} * sin({2.0 * j!r} * _xi) * cosh({2.0 * j!r} * _eta)"
+                                  for j, a in enumerate(geo._ALPHA, start=1)])
+    north = f"CASE WHEN {lat} < 0 THEN {k!r} * ({n_sum}) + {K.UTM_FALSE_NORTHING_SOUTH!r} ELSE {k!r} * ({n_sum}) END"
+    return (f"(SELECT * EXCLUDE (_phi, _lam, _t, _xi, _eta), {K.UTM_FALSE_EASTING!r} + {k!r} * ({e_sum}) AS utm_x, "
+            f"{north} AS utm_y FROM {q})")
+
+
 RAW_OBS = f"""raw_obs AS (
   SELECT l_suppkey AS pixel_id,
          CAST(year(l_shipdate) AS INTEGER) AS year,
