@@ -39,3 +39,16 @@ def test_entry_returns_rows(spark):
     df = E.entry(spark)
     assert df.count() > 0
     assert "label" in df.columns and "slot" in df.columns
+
+
+def test_entry_in_fresh_interpreter():
+    """The driver may call entry() first, in a new process."""
+    import subprocess
+    import sys
+    code = ("import sys; sys.path.insert(0, '.'); from pyspark.sql import SparkSession; "
+            "s = SparkSession.builder.master('local[2]').getOrCreate(); "
+            "import __spark_entry__ as E; print('ROWS', E.entry(s).count())")
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600,
+                         cwd=__import__("os").path.dirname(__import__("os").path.dirname(__file__)))
+    assert "ROWS" in out.stdout, out.stderr[-2000:]
+    assert int(out.stdout.split("ROWS")[1].split()[0]) > 0
