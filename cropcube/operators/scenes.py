@@ -45,6 +45,15 @@ def parse_catalog(json_lines: DataFrame, col: str = "json") -> DataFrame:
         *[F.col("f.assets")[a]["href"].alias(f"href_{a}") for a in K.ASSETS])
 
 
+def read_scene_catalog(spark, *paths: str) -> DataFrame:
+    """A catalogue stored as JSON-lines pages (any number of files) -> typed scenes.
+
+    The pages are a plain multi-file text scan (one task per file split);
+    no page loop on the driver.
+    """
+    return parse_catalog(spark.read.text(list(paths)).withColumnRenamed("value", "json"))
+
+
 def scene_keys(df: DataFrame, id_col: str = "scene_id") -> DataFrame:
     """Tile, base id, processing number, date from a scene id and datetime."""
     parts = F.split(F.col(id_col), "_")

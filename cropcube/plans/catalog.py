@@ -459,7 +459,10 @@ SELECT scene_id, collection, datetime, vegetation_percentage, cloud_shadow_perce
        's3://scenes/' || scene_id || '/scl.tif' AS href_scl, 's3://scenes/' || scene_id || '/nir.tif' AS href_nir
 FROM scenes""")
 def s09_parse_catalog(spark, sf):
-    p = SC.parse_catalog(FX.scene_json(spark, sf))
+    from cropcube.session import shared_path
+    pages = shared_path(spark, "catalog-pages")
+    FX.scene_json(spark, sf).write.mode("overwrite").text(pages)  # one JSON-lines page per task
+    p = SC.read_scene_catalog(spark, pages)
     return p.select("scene_id", "collection", "datetime", "vegetation_percentage", "cloud_shadow_percentage",
                     "min_lon", "min_lat", "max_lon", "max_lat", "href_scl", "href_nir")
 
