@@ -67,9 +67,13 @@ def scene_keys(df: DataFrame, id_col: str = "scene_id") -> DataFrame:
 
 
 def keep_latest(scenes: DataFrame) -> DataFrame:
-    """One scene per base id, the highest processing number (then id) wins."""
-    best = scenes.groupBy("base_id").agg(F.max(F.struct("seq", "scene_id")).alias("_b"))
-    return scenes.join(best.select(F.col("_b.scene_id").alias("scene_id")), "scene_id", "left_semi")
+    """One scene per base id, the highest processing number (then id) wins.
+
+    One aggregate carrying the whole row (``max`` of a struct led by
+    (seq, scene_id)): a single scan, combined map-side, no join back.
+    """
+    from cropcube.operators.observe import latest_per_key
+    return latest_per_key(scenes, ["base_id"], ["seq", "scene_id"])
 
 
 def usable_area(df: DataFrame) -> Column:
