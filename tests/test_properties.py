@@ -56,3 +56,14 @@ def test_samples_inside_grid_and_splits_disjoint(spark, sf_small):
     from cropcube.plans.catalog import series
     parts = L.split_by_year(series(spark, sf_small), K.FIXTURE_SPLIT_YEARS)
     assert L.leakage(parts).count() == 0
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.lists(st.tuples(st.floats(-124.0, -67.0), st.floats(25.0, 49.0)), min_size=1, max_size=50))
+def test_albers_round_trip(spark, points):
+    from cropcube.functions import geo
+    df = spark.createDataFrame(points, "lon DOUBLE, lat DOUBLE")
+    fwd = df.withColumn("p", geo.lonlat_to_albers("lon", "lat"))
+    back = fwd.withColumn("q", geo.albers_to_lonlat(F.col("p.x"), F.col("p.y"))).collect()
+    for r in back:
+        assert abs(r.q.lon - r.lon) < 1e-9 and abs(r.q.lat - r.lat) < 1e-9
