@@ -77,16 +77,24 @@ def attach_class_names(pixels: DataFrame, dictionary: DataFrame, code_col: str =
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("r", "g", "b")})
 
 
-def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, join_keys=("year",)) -> DataFrame:
+def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, cell_degrees: float = 1.0) -> DataFrame:
     """T06 for every tile covering a sample: the sample's (row, col) in that tile's grid.
 
-    ``tiles`` lists (year, tile grid) pairs that have scenes.  No broadcast
-    hint is forced: the join is left to AQE, which switches to a broadcast
-    join only after measuring the tile side at run time (bounded by
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold``) and otherwise keeps a
-    shuffle join.  The fan-out per sample is the number of covering tiles.
+    ``tiles`` holds one row per (year, mgrs) with the tile footprint
+    (min/max lon/lat).  Footprints are exploded to the ``cell_degrees``
+    grid cells they touch and samples are equi-joined on (year, cell of the
+    point), then the exact point-in-footprint test runs.  A point lies in
+    one cell, so each (sample, covering tile) pair appears once and a sample
+    never meets tiles that do not cover it (no all-pairs join per year).
     """
-    with_tiles = samples.join(tiles, list(join_keys))
+    fl = lambda c: F.floor(F.col(c) / F.lit(cell_degrees))
+    tc = (tiles.withColumn("_cx", F.explode(F.sequence(fl("min_lon"), fl("max_lon"))))
+               .withColumn("_cy", F.explode(F.sequence(fl("min_lat"), fl("max_lat")))))
+    s = samples.withColumns({"_cx": fl("lon"), "_cy": fl("lat")})
+    inside = ((F.col("lon") >= F.col("min_lon")) & (F.col("lon") <= F.col("max_lon"))
+              & (F.col("lat") >= F.col("min_lat")) & (F.col("lat") <= F.col("max_lat")))
+    with_tiles = s.join(tc, ["year", "_cx", "_cy"]).where(inside).drop(
+        "_cx", "_cy", "min_lon", "min_lat", "max_lon", "max_lat")
     cell = cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))
     return with_tiles.withColumn("_cell", cell).withColumns(
         {"row": F.col("_cell.row"), "col": F.col("_cell.col")}).drop("_cell")

@@ -592,15 +592,25 @@ def j10_scl_names(spark, sf):
 @query("j04_observe_scenes", "J04 T06 J12 F03 F06 F07 D6 Q24", sql=Q.with_(Q.RAW_OBS) + f""",
 attrs AS (
   SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
-         mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs)
+         mgrs || '_' || CAST(seq AS VARCHAR) AS tile,
+         {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
+         {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy,
+         CAST(-92.0 AS DOUBLE) + CAST(ascii(substr(mgrs, 1, 1)) % 3 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS fmin_lon,
+         CAST(34.0 AS DOUBLE) + CAST(ascii(substr(mgrs, 2, 1)) % 2 AS DOUBLE) * CAST(1.1 AS DOUBLE) AS fmin_lat
+  FROM raw_obs),
+located AS (SELECT * FROM {Q.albers_inverse('attrs', 'gx', 'gy')})
 SELECT bbox, year, pixel_id, CDL, scene_date, tile, scl, {Q.BAND_LIST}
-FROM attrs WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL""")
+FROM located
+WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL
+  AND lon >= fmin_lon AND lon <= fmin_lon + CAST(1.2 AS DOUBLE) AND lat >= fmin_lat AND lat <= fmin_lat + CAST(1.2 AS DOUBLE)""")
 def j04_observe_scenes(spark, sf):
     smp = FX.samples_from_observations(spark, sf)
     ll = FX.pixel_lonlat(F.col("pixel_id"))
     smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
-    tiles = FX.scenes(spark, sf).select(F.year(F.to_date(F.substring("datetime", 1, 10))).alias("year"),
-                                        F.element_at(F.split("scene_id", "_"), 2).alias("mgrs")).distinct()
+    tiles = FX.scenes(spark, sf).select(
+        F.year(F.to_date(F.substring("datetime", 1, 10))).alias("year"),
+        F.element_at(F.split("scene_id", "_"), 2).alias("mgrs"),
+        "min_lon", "min_lat", "max_lon", "max_lat").distinct()
     cells = OB.sample_cells(smp, tiles, FX.scene_cell)
     obs = OB.observe_scenes(cells, FX.scene_pixels(spark, sf))
     obs = OB.quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
