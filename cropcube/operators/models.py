@@ -1,6 +1,6 @@
 """Spark ML models over the 25 x 12 slot features.
 
-The original trains a Keras network on one machine.  Here training is a
+The original trains a neural network on one machine.  Here training is a
 distributed Spark ML fit over the feature DataFrame: the linear softmax
 baseline is multinomial logistic regression, the classifier a multilayer
 perceptron (the convolution network itself is not rebuilt).  Scoring is a

@@ -1,6 +1,6 @@
 """Incremental ingest with Structured Streaming.
 
-The original re-runs whole notebooks and skips what already exists by
+The original re-runs whole scripts and skips what already exists by
 listing folders.  Here new observation files are picked up by a file
 stream with a checkpoint (restart-safe, exactly-once into the file sink),
 late re-deliveries are dropped with a watermark, and series are refreshed
