@@ -68,7 +68,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        "l_linestatus", "l_shipdate"])
+        "l_linestatus", "l_shipdate"], spread_by=["l_suppkey"])
     ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
     bands = [((ok * a + pk * b + ln * c) % 10000).cast("int").alias(name)
              for name, (a, b, c) in zip(K.BANDS, BAND_MULTIPLIERS)]

@@ -33,27 +33,31 @@ def input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(jp).getLength())
 
 
-def spread_small_input(df: DataFrame, path: str) -> DataFrame:
+def spread_small_input(df: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
     """Give a small input as many partitions as there are cores.
 
     A file written as one Parquet row group is read by one task however it
     is split, which serialises the whole first stage.  Below
     ``SMALL_INPUT_BYTES`` (checked from file metadata) the rows are spread
-    round-robin over the default parallelism, a cheap shuffle at that size;
-    larger inputs already have one task per split and are left as they are.
+    over the default parallelism, a cheap shuffle at that size: hashed on
+    ``by`` when given (so later aggregates on keys that start with it need
+    no further exchange), else round-robin.  Larger inputs already have one
+    task per split and are left as they are, keeping the map-side combine
+    of the aggregates that follow.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if cores > 1 and input_bytes(spark, path) < SMALL_INPUT_BYTES:
-        return df.repartition(cores)
+        return df.repartition(cores, *by) if by else df.repartition(cores)
     return df
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread_by: list[str] | None = None) -> DataFrame:
     path = table_path(sf_dir, name)
     df = spark.read.parquet(path)
     df = df.select(*columns) if columns else df
-    return spread_small_input(df, path)
+    return spread_small_input(df, path, spread_by)
 
 
 def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = None,
