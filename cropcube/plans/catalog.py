@@ -203,11 +203,11 @@ SELECT bbox, round(min(lon), 6) AS env_min_lon, round(min(lat), 6) AS env_min_la
        round(max(lon), 6) AS env_max_lon, round(max(lat), 6) AS env_max_lat,
        round(max(lon) FILTER (WHERE k = 'll'), 6) AS cor_min_lon, round(max(lat) FILTER (WHERE k = 'll'), 6) AS cor_min_lat,
        round(max(lon) FILTER (WHERE k = 'ur'), 6) AS cor_max_lon, round(max(lat) FILTER (WHERE k = 'ur'), 6) AS cor_max_lat,
-       5 AS ring_points
+       5 AS ring_points, bbox AS bbox_text
 FROM corner_ll GROUP BY bbox"""
 
 
-@query("t02_aoi_bounds", "T01 T02 T03 D3 Q12", sql=_T02_SQL)
+@query("t02_aoi_bounds", "T01 T02 T03 A13 D3 Q12", sql=_T02_SQL)
 def t02_aoi_bounds(spark, sf):
     """AOI boxes of the samples: EPSG:5070 text -> lon/lat bounds (both modes) and ring."""
     aois = samples(spark, sf).select("bbox").distinct()
@@ -218,7 +218,8 @@ def t02_aoi_bounds(spark, sf):
     fields = ("min_lon", "min_lat", "max_lon", "max_lat")
     return b.select("bbox", *[F.round(F.col(f"env.{c}"), 6).alias(f"env_{c}") for c in fields],
                     *[F.round(F.col(f"cor.{c}"), 6).alias(f"cor_{c}") for c in fields],
-                    F.size("ring").alias("ring_points"))
+                    F.size("ring").alias("ring_points"),
+                    geo.bounds_text(box["left"], box["bottom"], box["right"], box["top"]).alias("bbox_text"))
 
 
 # ---------------------------------------------------------------- step 2: observations and series
@@ -660,3 +661,12 @@ FROM obs_all WHERE scl IN ({Q.SCL_EXCLUDE}) OR CDL IS NULL""")
 def f07_rejected_rows(spark, sf):
     obs = FX.observations(spark, sf, quality_filter=False)
     return OB.rejected_rows(obs).select("bbox", "year", "pixel_id", "scene_date", "tile", "scl", "reason")
+
+
+@query("l05_nth_example", "L05 S17", sql=Q.with_(Q.TRAIN) + """
+SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, label FROM train_long
+ORDER BY year, pixel_id LIMIT 1 OFFSET 4""")
+def l05_nth_example(spark, sf):
+    """The 5th example in key order (``offset`` + ``limit``), as a notebook would peek at one row."""
+    ex = train_examples(spark, sf).select("bbox", "year", "pixel_id", "CDL", "start_day", "label")
+    return ex.orderBy("year", "pixel_id").offset(4).limit(1)
