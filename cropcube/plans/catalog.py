@@ -28,7 +28,6 @@ from cropcube.sources import fixtures as FX
 from cropcube.sources.tables import read_table
 
 SAMPLE_STRIDE = K.STRIDE_DEFAULT
-KEY = ["bbox", "year", "pixel_id", "CDL"]
 
 
 # ---------------------------------------------------------------- shared views
@@ -97,7 +96,7 @@ results_ll AS (
 counts AS (SELECT year, CDL, count(CDL) AS count FROM samples GROUP BY year, CDL)
 SELECT year, CDL, count, CAST(sum(count) OVER (PARTITION BY year) AS BIGINT) AS total_count,
        round(CAST(count AS DOUBLE) * 100.0 / CAST(sum(count) OVER (PARTITION BY year) AS DOUBLE), 2) AS percentage
-FROM counts""".replace("WITH ,", "WITH "))
+FROM counts""")
 def a01_class_share(spark, sf):
     return ST.class_share(samples(spark, sf)).select("year", "CDL", "count", "total_count", "percentage")
 
