@@ -9,6 +9,7 @@ from cropcube.operators import loader as L
 from cropcube.operators import models as M
 from cropcube.operators import sampling as SM
 from cropcube.plans import catalog as C
+from cropcube.plans import sql as Q
 from cropcube.plans.registry import query
 from cropcube.session import materialize, shared_path
 from cropcube.sources.tables import dataset_size, list_partitions, partition_values_from_paths, write_and_verify
@@ -81,7 +82,8 @@ def l06_bernoulli_sample(spark, sf):
     return SM.bernoulli_sample(C.observations(spark, sf), 0.01, seed=42)
 
 
-@query("l10_shuffled_examples", "L10")
+@query("l10_shuffled_examples", "L10", sql=Q.with_(Q.TRAIN) + """
+SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, label FROM train_long""")
 def l10_shuffled_examples(spark, sf):
     """Training examples in a seeded global random order."""
     ex = C.train_examples(spark, sf).select("bbox", "year", "pixel_id", "CDL", "start_day", "label")

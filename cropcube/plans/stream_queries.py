@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cropcube.plans import sql as Q
 from cropcube.plans.registry import query
 from cropcube.session import shared_path
 from cropcube.sources import fixtures as FX
@@ -34,7 +35,14 @@ def _two_deliveries(spark, sf, base, run):
     run(I.observation_stream(spark, f"{base}/landing/*/*.parquet", schema))
 
 
-@query("r01_stream_ingest", "R01 R02 S03 S16")
+_LANDED_SQL = Q.with_(Q.RAW_OBS) + f""",
+landed AS (
+  SELECT DISTINCT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
+         mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs)
+"""
+
+
+@query("r01_stream_ingest", "R01 R02 S03 S16", sql=_LANDED_SQL + "SELECT * FROM landed")
 def r01_stream_ingest(spark, sf):
     """Two deliveries, one re-sent year: the sink holds every observation once."""
     base = shared_path(spark, "r01")
@@ -46,7 +54,8 @@ def r01_stream_ingest(spark, sf):
     return spark.read.parquet(sink)
 
 
-@query("r03_stream_refresh_series", "R03 U01 S03")
+@query("r03_stream_refresh_series", "R03 U01 S03", sql=_LANDED_SQL + """
+SELECT bbox, year, pixel_id, count(*) AS num_images FROM landed GROUP BY bbox, year, pixel_id, CDL""")
 def r03_stream_refresh_series(spark, sf):
     """Stream with foreachBatch: land each batch, rebuild only touched (bbox, year) series."""
     base = shared_path(spark, "r03")
