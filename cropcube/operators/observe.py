@@ -70,9 +70,9 @@ def attach_class_names(pixels: DataFrame, dictionary: DataFrame, code_col: str =
     """
     d = dictionary.where(F.col("class_name").isNotNull()).select(
         F.col("code").alias("_code"), F.col("class_name").alias("CDL"), "r", "g", "b")
-    n = d.count()
+    n = d.limit(MAX_DICTIONARY_ROWS + 1).count()  # the check itself reads at most 257 rows
     if n > MAX_DICTIONARY_ROWS:
-        raise ValueError(f"class dictionary has {n} rows, more than {MAX_DICTIONARY_ROWS} 8-bit codes")
+        raise ValueError(f"class dictionary has more than {MAX_DICTIONARY_ROWS} rows (8-bit codes)")
     joined = pixels.join(F.broadcast(d), pixels[code_col] == d["_code"], "left").drop("_code")
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in ("r", "g", "b")})
 
