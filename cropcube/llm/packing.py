@@ -13,7 +13,6 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -131,7 +130,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
     schema = f"{fields}, sequence_id long, offset long, certified boolean, settled boolean"
 
     def packer(turn: int, last: bool):
-        def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+        def run(key, rows):
             rows = rows.drop(columns="_group").reset_index(drop=True)
             length = rows["length"].to_numpy(np.int64)
             bins, offset = best_fit_decreasing(length, capacity)

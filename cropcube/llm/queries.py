@@ -5,9 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropcube.llm import bpe_codec, packing, token_counts
+from cropcube.llm import bpe_codec, packing, quality, rpforest, simhash, token_counts, topk
 from cropcube.llm.common import table
 from cropcube.llm.registry import query
+from cropcube.llm.vectors import usable
+
+
+@query("op1_exact_top_k")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & usable("embedding"))
+    whole = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
+                        .alias("v"))
+    return topk.top_k(whole, whole.where(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op2_embedding_near_dedup")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = rpforest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
+    return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
 
 @query("op7_bpe_encode_decode")
@@ -26,3 +41,16 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_token_counts")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op4_quality_classifier")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.scores(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
