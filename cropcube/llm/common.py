@@ -63,10 +63,12 @@ def as_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         col = col.cast(pa.large_binary())
     if col.null_count:
         col = col.fill_null(b"")
+    if not len(col):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     off = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
     data = col.buffers()[2]
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    return raw, off
+    return raw[off[0]:off[-1]], off - off[0]  # the buffer may hold other rows too
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropcube.llm import bpe_codec, packing, quality, rpforest, simhash, token_counts, topk
+from cropcube.llm import anchors, bpe_codec, packing, quality, rpforest, simhash, suffixes, token_counts, topk
 from cropcube.llm.common import table
 from cropcube.llm.registry import query
 from cropcube.llm.vectors import usable
@@ -27,7 +27,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op7_bpe_encode_decode")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
-    coded = bpe_codec.decode(bpe_codec.encode(table(spark, sf_dir, "documents")))
+    coded = bpe_codec.encode(table(spark, sf_dir, "documents"), decoded=True)
     return coded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -54,3 +54,15 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     return quality.scores(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = anchors.dedup(table(spark, sf_dir, "documents"), window=20)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.dedup(table(spark, sf_dir, "documents"), length=400)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
