@@ -1,25 +1,73 @@
-"""Corpus pipeline over ``documents``: the stages in order, each on what its predecessor kept."""
+"""Corpus pipeline over ``documents``: the stages in order, each on what its predecessor kept.
+
+All stages but the last return the columns that ``documents`` came with, extra ones
+included, whatever their names.  Empty tables, null texts and repeated rows pass
+through as each stage says.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from cropcube.llm import packing
+from cropcube.llm import anchors, packing, quality, simhash
 from cropcube.llm.common import table, written
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Quality classifier (4): documents that it rejects (score under 0.5) go.
+
+    Null and empty texts are scored like others; null and repeated ids stay.
+    """
+    return quality.accepted(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """SimHash near-dedup (3): of each group the document of smallest doc_id stays.
+
+    Three-word shingles, at most 2 differing bits.  Of rows that repeat its doc_id the
+    one with the smallest text stays (null first).  Rows without a doc_id cannot be
+    told apart and go.
+    """
+    found = simhash.near_duplicates(docs, words=3, radius=2)
+    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
+    stay = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    return stay.withColumn("_row_of_id", first).where("_row_of_id = 1").drop("_row_of_id")
+
+
+def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Substring dedup (9): words covered by a window of 20 words that also starts earlier go.
+
+    A document that loses words keeps the others joined by one space, and its n_chars
+    follows; one that loses none stays as it is.  No document goes.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = anchors.dedup(docs, window=20, carry=others or ["doc_id"])
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.col("text")).otherwise(F.col("original"))
+    columns = {"doc_id": F.col("doc_id"), "text": text}
+    for i, c in enumerate(others):
+        columns[c] = F.col(f"carry_{i}")
+        if c == "n_chars":
+            columns[c] = F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(columns[c])
+    return found.select(*[columns[c].alias(c) for c in docs.columns])
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Best-fit packing (8): the pieces of every document with their sequence and offset."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("best_fit_packing", pack)]
+STAGES = [("quality_classifier", classify), ("simhash_near_dedup", near_dedup), ("substring_dedup", cut_passages),
+          ("best_fit_packing", pack)]
 
 #: Boosted trees, linked components and packing are beyond SQL; tests/llm compares with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows; each stage is written as Parquet and read again by the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")

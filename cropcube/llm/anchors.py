@@ -10,6 +10,7 @@ of 20 words around it are compared, and each keeps only its first place.
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -81,9 +82,12 @@ class Words:
         return at[np.isin(self.pos[at] % PERIOD, COVER) & (self.count[self.doc[at]] >= window)]
 
 
-def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
+def dedup(docs: DataFrame, window: int = 20, carry: Sequence[str] = ()) -> DataFrame:
     """doc_id, n_words, n_removed, text (kept words joined by one space) of every document.
 
+    With ``carry`` come also ``original`` (the text as it was) and carry_0, carry_1, ...:
+    the named columns of the input, unchanged.
+
     Words are runs of bytes other than 0x20 and 0x09-0x0D.  A word goes if a window of
     ``window`` words that covers it also starts earlier: in a smaller doc_id, or earlier
     in its own document.  Windows are judged on the input.  A null, empty or blank text
@@ -95,7 +99,7 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     if window <= PERIOD:
         raise ValueError(f"window must exceed {PERIOD} words")
-    slices = Slices(docs)
+    slices = Slices(docs, carry=carry)
     buckets, short = slices.buckets, window - PERIOD + 1
 
     def tell_anchors(number, table):
@@ -105,7 +109,7 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
     def tell_windows(number, table, shared):
         if not len(shared):
             return named(number, np.zeros(0, np.uint64), buckets)
-        ids, texts = ordered(table)
+        ids, texts, _ = ordered(table)
         words = Words(texts)
         at = words.anchors(window)
         near = np.zeros(len(words.doc) + 1, np.int64)
@@ -116,7 +120,7 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
         return named(number, words.hash(at, window), buckets, ids[words.doc[at]], words.pos[at].astype(np.int32))
 
     def cut(number, table, gone):
-        ids, texts = ordered(table)
+        ids, texts, order = ordered(table)
         words = Words(texts)
         at = words.windows(window)
         h = words.hash(at, window)
@@ -134,9 +138,17 @@ def dedup(docs: DataFrame, window: int = 20) -> DataFrame:
             if gone_here:
                 parts = [parts[i] for i in np.flatnonzero(~removed[first:first + n]).tolist()]
             kept.append(b" ".join(parts))
-        return pa.table([pa.array(ids), pa.array(words.count), pa.array(lost),
-                         pa.array(kept, pa.binary()).cast(pa.string())], names=["doc_id", "n_words", "n_removed", "text"])
-
+        out = {"doc_id": pa.array(ids), "n_words": pa.array(words.count), "n_removed": pa.array(lost),
+               "text": pa.array(kept, pa.binary()).cast(pa.string())}
+        if carry:
+            out["original"] = table.column("text").take(pa.array(order))
+            out |= {f"carry_{i}": table.column(f"carry_{i}").take(pa.array(order)) for i in range(len(carry))}
+        return pa.table(out)
+
+    schema = "doc_id long, n_words long, n_removed long, text string"
+    if carry:
+        schema += ", original string" + "".join(
+            f", carry_{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(carry))
     shared = written(repeated(slices.each(tell_anchors, NAMED)), "shared-anchors")
     gone = written(late(slices.each_with(shared, tell_windows, NAMED)), "late-windows")
-    return slices.each_with(gone, cut, "doc_id long, n_words long, n_removed long, text string")
+    return slices.each_with(gone, cut, schema)

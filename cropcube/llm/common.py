@@ -137,7 +137,7 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix64(h + (ends - starts).astype(np.uint64))
 
 
-def with_doc_id(df: DataFrame) -> DataFrame:
-    """Rows of a document table that have an identity, narrowed to doc_id and text."""
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+def with_doc_id(df: DataFrame, *more) -> DataFrame:
+    """Rows of a document table that have an identity, narrowed to doc_id, text and ``more``."""
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more) \
         .where(F.col("doc_id").isNotNull())

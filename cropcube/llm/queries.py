@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropcube.llm import anchors, bpe_codec, packing, quality, rpforest, simhash, suffixes, token_counts, topk
+from cropcube.llm import anchors, bpe_codec, licenses, packing, quality, rpforest, simhash, suffixes, token_counts, topk
 from cropcube.llm.common import table
 from cropcube.llm.registry import query
 from cropcube.llm.vectors import usable
@@ -66,3 +66,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.dedup(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_license_scan", licenses.oracle())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))

@@ -10,7 +10,7 @@ documents share costs one entry for each slice.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +25,16 @@ NAMED = "bucket int, slice long, hashes binary, twice binary, doc binary, pos bi
 
 
 class Slices:
-    """The bucketed table of (slice, doc_id, text); :meth:`drop` removes it."""
+    """The bucketed table of (slice, doc_id, text, carried columns); :meth:`drop` removes it.
 
-    def __init__(self, docs: DataFrame, docs_per_slice: int = SLICE_DOCS):
+    Carried columns are named carry_0, carry_1, ... so that they clash with nothing.
+    """
+
+    def __init__(self, docs: DataFrame, docs_per_slice: int = SLICE_DOCS, carry: Sequence[str] = ()):
         self.spark = docs.sparkSession
         self.buckets = parts(self.spark)
         self.name = f"llm_slices_{uuid.uuid4().hex}"
-        docs = with_doc_id(docs)
+        docs = with_doc_id(docs, *[F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(carry)])
         number = max(1, -(-docs.count() // docs_per_slice))
         docs.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(number))) \
             .repartition(self.buckets, "slice").write.option("compression", "zstd") \
@@ -59,12 +62,13 @@ class Slices:
         return self.table().groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(run, schema)
 
 
-def ordered(docs: pa.Table) -> tuple[np.ndarray, list[bytes]]:
-    """Ids and texts of a slice by doc_id, then text: a repeated row is a later document."""
+def ordered(docs: pa.Table) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """Ids, texts and row numbers of a slice by doc_id, then text: a repeated row is a later document."""
     raw, off = as_bytes(docs.column("text"))
     data, off = raw.tobytes(), off.tolist()
-    rows = sorted((i, data[a:b]) for i, a, b in zip(docs.column("doc_id").to_pylist(), off[:-1], off[1:], strict=True))
-    return np.array([r[0] for r in rows], np.int64), [r[1] for r in rows]
+    rows = sorted((i, data[a:b], n) for n, (i, a, b) in enumerate(
+        zip(docs.column("doc_id").to_pylist(), off[:-1], off[1:], strict=True)))
+    return np.array([r[0] for r in rows], np.int64), [r[1] for r in rows], np.array([r[2] for r in rows], np.int64)
 
 
 def planes(values: np.ndarray) -> bytes:

@@ -198,7 +198,7 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
         return named(number, np.concatenate([*found, np.zeros(0, np.uint64)]), buckets)
 
     def cut(number, table, told):
-        ids, texts = ordered(table)
+        ids, texts, _ = ordered(table)
         size = np.array([len(t) for t in texts], np.int64)
         begin = np.cumsum(size) - size
         change = np.zeros(int(size.sum()) + 1, np.int32)
