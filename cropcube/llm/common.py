@@ -16,16 +16,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: Folders written by this application, for :func:`clean_scratch`.
+_SCRATCH: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a written table under ``spark.checkpoint.dir``.
 
     The folder is the shared one that the cluster names.  Only a session that
     names none (tests on one machine) gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = _own_checkpoint_dir()
-    return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_checkpoint_dir()
+    _SCRATCH.append(f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}")
+    return _SCRATCH[-1]
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Delete all tables that :func:`scratch_path` named so far.
+
+    Results of this package read them, so call this once results have been saved.
+    """
+    while _SCRATCH:
+        _delete(spark, _SCRATCH.pop())
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @functools.cache
@@ -44,11 +61,8 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def drop_written(df: DataFrame) -> None:
     """Delete the files of a table from :func:`written` that no later step reads."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _delete(df.sparkSession, folder)
 
 
 def parts(spark: SparkSession) -> int:

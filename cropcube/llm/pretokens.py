@@ -15,6 +15,8 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import regex
+from tokenizers import pre_tokenizers
 
 from cropcube.llm.common import prefix_sums, span_hash
 
@@ -27,13 +29,28 @@ WHITE_SPACE = [0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, 0x2000, 0x2001
 #: Lone surrogates cannot occur in valid UTF-8, so they mark ends and special tokens.
 END_MARK, SPECIAL_MARK = "\ud800", "\ud801"
 BLOCK_CHARS = 400_000
+#: Letters and numbers of the newest Unicode, some of which Python does not know yet.
+_MAYBE = regex.compile(r"[\p{L}\p{N}]")
 
 
 @functools.cache
 def classes() -> np.ndarray:
-    """Class of each code point, from the Unicode general category."""
-    kinds = {"L": LETTER, "N": NUMBER}
-    out = np.array([kinds.get(unicodedata.category(chr(c))[0], OTHER) for c in range(0x110000)], np.uint8)
+    """Class of each code point, from the Unicode general category.
+
+    The tokenizers library may know a newer Unicode than Python does, so it is asked
+    about the code points that are unassigned here.
+    """
+    kinds = {"L": LETTER, "N": NUMBER, "Cn": 255}
+    known = [unicodedata.category(chr(c)) for c in range(0x110000)]
+    out = np.array([kinds.get(k if k == "Cn" else k[0], OTHER) for k in known], np.uint8)
+    unknown = np.flatnonzero(out == 255)
+    out[unknown] = OTHER
+    split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    unknown = unknown[[bool(_MAYBE.match(chr(c))) for c in unknown.tolist()]]
+    for mark, kind in (("a", LETTER), ("1", NUMBER)):
+        ends = {end for _, (_, end) in split("".join(f"{mark}{chr(c)}\n" for c in unknown.tolist()))}
+        starts = 3 * np.arange(len(unknown))
+        out[unknown[[int(s) + 1 not in ends for s in starts]]] = kind
     out[WHITE_SPACE] = SPACE
     out[ord(END_MARK)], out[ord(SPECIAL_MARK)] = END, SPECIAL
     return out

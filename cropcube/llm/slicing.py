@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cropcube.llm.common import as_bytes, parts, with_doc_id
+from cropcube.llm.common import as_bytes, parts, scratch_path, with_doc_id
 
 SLICE_DOCS = 500
 
@@ -25,7 +25,7 @@ NAMED = "bucket int, slice long, hashes binary, twice binary, doc binary, pos bi
 
 
 class Slices:
-    """The bucketed table of (slice, doc_id, text, carried columns); :meth:`drop` removes it.
+    """The bucketed table of (slice, doc_id, text, carried columns), in the shared scratch folder.
 
     Carried columns are named carry_0, carry_1, ... so that they clash with nothing.
     """
@@ -38,14 +38,11 @@ class Slices:
         number = max(1, -(-docs.count() // docs_per_slice))
         docs.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(number))) \
             .repartition(self.buckets, "slice").write.option("compression", "zstd") \
-            .bucketBy(self.buckets, "slice").saveAsTable(self.name)
+            .option("path", scratch_path(self.spark, "slices")).bucketBy(self.buckets, "slice").saveAsTable(self.name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def drop(self) -> None:
-        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
-
     def each(self, work: Callable[[int, pa.Table], pa.Table], schema: str) -> DataFrame:
         """Run ``work(slice, documents)`` on every slice."""
         def run(key, docs):
