@@ -13,13 +13,15 @@ from cropcube.llm.common import as_bytes, slices
 SLICE_BYTES = 4 << 20
 
 
-def encode(docs: DataFrame, vocabulary: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str | None = None, key: str = "doc_id", text: str = "text",
+           decoded: bool = False) -> DataFrame:
     """Token ids of every text, as the tokenizers library gives them without added tokens.
 
     Returns ``key``, ``n_tokens`` (long) and ``ids`` (binary: little-endian unsigned
-    32-bit integers).  Strings of special tokens inside a text become those tokens.
-    A null text counts as empty and gives no tokens; a null or repeated key is kept,
-    one row out for each row in; other columns are not read.  No shuffle.
+    32-bit integers); with ``decoded``, also the text that these ids decode to, made in
+    the same pass.  Strings of special tokens inside a text become those tokens.  A null
+    text counts as empty and gives no tokens; a null or repeated key is kept, one row out
+    for each row in; other columns are not read.  No shuffle.
     """
     path = vocabulary or default_path()
 
@@ -27,17 +29,20 @@ def encode(docs: DataFrame, vocabulary: str | None = None, key: str = "doc_id",
         enc = encoder(path)
         for part in slices(batches, "text", SLICE_BYTES):
             texts = [t or "" for t in part.column("text").to_pylist()]
-            found: list[list[bytes]] = [[] for _ in texts]
+            found: list[list[np.ndarray]] = [[] for _ in texts]
             for row, ids in enc.encode(texts):
-                found[row].append(ids.astype("<u4").tobytes())
-            ids = [b"".join(f) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("k"), pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(ids, pa.binary())],
-                ["k", "n_tokens", "ids"])
+                found[row].append(ids)
+            joined = [np.concatenate(f) if len(f) > 1 else f[0] for f in found]
+            out = [part.column("k"), pa.array([len(i) for i in joined], pa.int64()),
+                   pa.array([i.astype("<u4").tobytes() for i in joined], pa.binary())]
+            if decoded:
+                out.append(pa.array([enc.decode(i) for i in joined], pa.binary()).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays(out, ["k", "n_tokens", "ids", "decoded"][:len(out)])
 
     kind = docs.schema[key].dataType.simpleString()
+    schema = f"k {kind}, n_tokens long, ids binary" + ", decoded string" * decoded
     out = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("text"))
-    return out.mapInArrow(run, f"k {kind}, n_tokens long, ids binary").withColumnRenamed("k", key)
+    return out.mapInArrow(run, schema).withColumnRenamed("k", key)
 
 
 def decode(tokens: DataFrame, vocabulary: str | None = None, ids: str = "ids", out: str = "decoded") -> DataFrame:
