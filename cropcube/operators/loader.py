@@ -3,9 +3,8 @@ M06, M07, S15, T26-T32, T39-T41, W04-W10, A08, A09).
 
 Everything after series assembly is a per-row expression over the image
 array (higher-order functions): no shuffle, no Python.  Random draws of the
-original (window start, 25-image subsample, shuffle) are seeded integer
-hashes of the series key, so results are reproducible and identical in any
-engine that evaluates the same integer formula.
+original (window start, 25-image subsample, shuffle) are seeded MD5 draws of
+the series key, so results are reproducible and identical in any engine.
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.functions.draws import draw
 from cropcube.functions.hof import let, record
 from cropcube.functions.labels import crop_label, is_double_crop, one_hot
 from cropcube.operators.series import series_rows
@@ -21,22 +21,20 @@ from cropcube.operators.series import series_rows
 SLOT_TYPE = "struct<slot:int,bands:array<int>,ndvi:int,scl:int,day:int>"
 
 
-def default_start_hash(pixel_col: str = "pixel_id", year_col: str = "year") -> Column:
-    """Seeded integer of the series key used for the random window start."""
-    return F.col(pixel_col) * F.lit(1103515245) + F.col(year_col) * F.lit(12345)
+def start_draw(key, seed: int = 0, epoch: int = 0) -> Column:
+    """Draw of a series for its window start; another epoch gives another window."""
+    return draw("start", *[F.col(k) for k in key], seed=seed, epoch=epoch)
 
 
-def sample_order(row) -> Column:
-    """Seeded integer order of an image inside a window (for the subsample)."""
-    b = row["bands"]
-    return (b[K.RED_INDEX].cast("bigint") * 7919 + b[K.NIR_INDEX].cast("bigint") * 104729
-            + row["day"].cast("bigint") * 31) % 65536
+def image_draw(key, row, seed: int = 0, epoch: int = 0) -> Column:
+    """Draw of an image of a series (day and tile name it) for the subsample."""
+    return draw("image", *[F.col(k) for k in key], row["day"], row["tile"], seed=seed, epoch=epoch)
 
 
-def random_start(rows: Column, key_hash: Column, days: int = K.DAYS_IN_SERIES) -> Column:
-    """Start day uniform in [0, max(1, last_day - days)) from a seeded hash."""
+def random_start(rows: Column, start: Column, days: int = K.DAYS_IN_SERIES) -> Column:
+    """Start day uniform in [0, max(1, last_day - days)) from a draw."""
     last_day = F.element_at(rows, -1)["day"]
-    return (key_hash % F.greatest(F.lit(1), last_day - F.lit(days))).cast("int")
+    return (start % F.greatest(F.lit(1), last_day - F.lit(days))).cast("int")
 
 
 def day_window(rows: Column, start: Column, days: int = K.DAYS_IN_SERIES) -> Column:
@@ -44,10 +42,11 @@ def day_window(rows: Column, start: Column, days: int = K.DAYS_IN_SERIES) -> Col
     return F.filter(rows, lambda r: (r["day"] >= start) & (r["day"] <= start + F.lit(days)))
 
 
-def subsample(rows: Column, max_images: int = K.MAX_IMAGES_PER_SERIES) -> Column:
-    """At most ``max_images`` images chosen by seeded order, back in date order."""
+def subsample(rows: Column, key, max_images: int = K.MAX_IMAGES_PER_SERIES, seed: int = 0, epoch: int = 0) -> Column:
+    """At most ``max_images`` images in the order of their draws, back in date order."""
     def body(rs):
-        keyed = F.array_sort(F.transform(rs, lambda r: record(k=sample_order(r), d=r["day"], t=r["tile"], r=r)))
+        keyed = F.array_sort(F.transform(rs, lambda r: record(
+            k=image_draw(key, r, seed, epoch), d=r["day"], t=r["tile"], r=r)))
         chosen = F.transform(F.slice(keyed, 1, max_images), lambda x: record(d=x["d"], t=x["t"], r=x["r"]))
         back = F.transform(F.array_sort(chosen), lambda x: x["r"])
         return F.when(F.size(rs) <= max_images, rs).otherwise(back)
@@ -83,38 +82,43 @@ def label_of(cdl: Column, slots: Column) -> Column:
 
 def training_examples(series: DataFrame, key=("bbox", "year", "pixel_id", "CDL"),
                       max_images: int | None = K.MAX_IMAGES_PER_SERIES,
-                      drop_double_crops: bool = True, key_hash: Column | None = None) -> DataFrame:
+                      drop_double_crops: bool = True, seed: int = 0, epoch: int = 0) -> DataFrame:
     """Train/validation loader: random window, subsample, bucket, label.
 
+    Each ``epoch`` redraws windows and images; the same seed and epoch repeat them.
     Output: key..., start_day, slots array<slot struct>, label.
     """
     df = series
     if drop_double_crops:
         df = df.where(~is_double_crop(F.col("CDL")))
     rows = series_rows("images")
-    kh = default_start_hash() if key_hash is None else key_hash
-    df = df.select(*key, rows.alias("_rows")).withColumn("start_day", random_start(F.col("_rows"), kh))
+    df = df.select(*key, rows.alias("_rows")) \
+        .withColumn("start_day", random_start(F.col("_rows"), start_draw(key, seed, epoch)))
     win = day_window(F.col("_rows"), F.col("start_day"))
     if max_images is not None:
-        win = subsample(win, max_images)
+        win = subsample(win, key, max_images, seed, epoch)
     df = df.withColumn("slots", bucketize(win))
     return df.select(*key, "start_day", "slots", label_of(F.col("CDL"), F.col("slots")).alias("label"))
 
 
 def sweep_examples(series: DataFrame, key=("bbox", "year", "pixel_id", "CDL"),
-                   start_days=tuple(K.SWEEP_START_DAYS), max_images: int | None = None) -> DataFrame:
+                   start_days=tuple(K.SWEEP_START_DAYS), max_images: int | None = None,
+                   seed: int = 0, epoch: int = 0) -> DataFrame:
     """J07 + W10: every series x every sweep start day in one pass.
 
-    Each series row is read once and expanded by a generator of the fixed
-    start days (no join); double crops are kept, as in the test loader.
+    The slots of all start days are computed from the one row that holds the images, and
+    only then expanded: each output row carries its own slots, never the image array.
+    Double crops are kept, as in the test loader.
     """
     rows = series_rows("images")
-    df = series.select(*key, rows.alias("_rows"),
-                       F.explode(F.array(*[F.lit(int(s)) for s in start_days])).alias("start_day"))
-    win = day_window(F.col("_rows"), F.col("start_day"))
-    if max_images is not None:
-        win = subsample(win, max_images)
-    df = df.withColumn("slots", bucketize(win))
+
+    def slots_from(rs, start):
+        win = day_window(rs, start)
+        return bucketize(win if max_images is None else subsample(win, key, max_images, seed, epoch))
+
+    days = F.array(*[F.lit(int(d)) for d in start_days])
+    starts = let(rows, lambda rs: F.transform(days, lambda d: record(start_day=d, slots=slots_from(rs, d))))
+    df = series.select(*key, F.inline(starts))
     return df.select(*key, "start_day", "slots", label_of(F.col("CDL"), F.col("slots")).alias("label"))
 
 
@@ -126,15 +130,20 @@ def slots_long(examples: DataFrame, key=("bbox", "year", "pixel_id", "CDL", "sta
         *[F.col("s.bands")[i].alias(b) for i, b in enumerate(K.BANDS)])
 
 
-def dense_slots(slots: Column, n_slots: int = K.MAX_IMAGES_PER_SERIES) -> Column:
-    """25 x 15 int matrix (12 bands, ndvi, scl, day), zero padded."""
+def slot_count(days: int = K.DAYS_IN_SERIES, days_per_bucket: int = K.DAYS_PER_BUCKET) -> int:
+    """Slots of a closed window of ``days``: 25 for 120 days in buckets of 5."""
+    return min(days, K.MAX_NORMALISED_DAY) // days_per_bucket + 1
+
+
+def dense_slots(slots: Column, days: int = K.DAYS_IN_SERIES, days_per_bucket: int = K.DAYS_PER_BUCKET) -> Column:
+    """One row for each slot of the window x 15 ints (12 bands, ndvi, scl, day), zero padded."""
     by_slot = F.map_from_entries(F.transform(slots, lambda s: record(k=s["slot"], v=s)))
     zero = F.array_repeat(F.lit(0), len(K.BANDS) + 3)
 
     def row(i):
         s = F.try_element_at(by_slot, i)
         return F.when(s.isNull(), zero).otherwise(F.concat(s["bands"], F.array(s["ndvi"], s["scl"], s["day"])))
-    return F.transform(F.sequence(F.lit(0), F.lit(n_slots - 1)), row)
+    return F.transform(F.sequence(F.lit(0), F.lit(slot_count(days, days_per_bucket) - 1)), row)
 
 
 def normalise_bands(bands: Column, means=tuple(K.BAND_MEANS), stds=tuple(K.BAND_STDS)) -> Column:
@@ -144,9 +153,9 @@ def normalise_bands(bands: Column, means=tuple(K.BAND_MEANS), stds=tuple(K.BAND_
     return F.transform(bands, lambda v, i: F.when(v == 0, F.lit(0.0)).otherwise((v.cast("double") - m[i]) / s[i]))
 
 
-def features(slots: Column, means=None, stds=None, n_slots: int = K.MAX_IMAGES_PER_SERIES) -> Column:
-    """F16 + T27 + T31 + T32: flattened 25 x 12 normalised band features (300 doubles)."""
-    dense = dense_slots(slots, n_slots)
+def features(slots: Column, means=None, stds=None, days: int = K.DAYS_IN_SERIES) -> Column:
+    """F16 + T27 + T31 + T32: flattened slots x 12 normalised band features (300 doubles for 120 days)."""
+    dense = dense_slots(slots, days)
     bands = F.transform(dense, lambda r: F.slice(r, 1, len(K.BANDS)))
     normed = F.transform(bands, lambda b: normalise_bands(b, means or K.BAND_MEANS, stds or K.BAND_STDS))
     return F.flatten(normed)
@@ -175,17 +184,18 @@ def split_by_year(series: DataFrame, years: dict[str, int]) -> dict[str, DataFra
     return {name: series.where(F.col("year") == F.lit(int(y))) for name, y in years.items()}
 
 
-def leakage(splits: dict[str, DataFrame], key=("pixel_id", "year")) -> DataFrame:
-    """M07 check: rows of one split whose (pixel, year) occurs in another split."""
-    names = list(splits)
-    out = None
-    for i, a in enumerate(names):
-        for b in names[i + 1:]:
-            shared = (splits[a].select(*key).distinct()
-                      .join(splits[b].select(*key).distinct(), list(key), "left_semi")
-                      .select(F.lit(a).alias("split_a"), F.lit(b).alias("split_b"), *key))
-            out = shared if out is None else out.unionByName(shared)
-    return out
+def split_keys(series: DataFrame, years: dict[str, int], key=("pixel_id", "year")) -> DataFrame:
+    """The split and key of every series of the split years, from one scan."""
+    split = F.coalesce(*[F.when(F.col("year") == F.lit(int(y)), F.lit(n)) for n, y in years.items()])
+    return series.select(split.alias("split"), *key).where(F.col("split").isNotNull()).distinct()
+
+
+def leakage(keys: DataFrame, key=("pixel_id",)) -> DataFrame:
+    """M07 check: keys that occur in more than one split, with these splits.
+
+    ``keys`` has ``split`` and the key columns; one aggregation, at most one entry a split.
+    """
+    return keys.groupBy(*key).agg(F.sort_array(F.collect_set("split")).alias("splits")).where(F.size("splits") > 1)
 
 
 def shuffled(examples: DataFrame, seed: int = 0, key=("pixel_id", "year")) -> DataFrame:

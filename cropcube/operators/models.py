@@ -18,14 +18,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.operators.evaluate import accuracy
 from cropcube.operators.loader import features
 
 N_FEATURES = K.MAX_IMAGES_PER_SERIES * len(K.BANDS)  # 300
 
 
-def to_ml_frame(examples: DataFrame, keep=("bbox", "year", "pixel_id", "CDL", "start_day")) -> DataFrame:
-    """Examples -> (keys, features vector of 300, label double)."""
-    return examples.select(*keep, array_to_vector(features(F.col("slots"))).alias("features"),
+def to_ml_frame(examples: DataFrame, keep=("bbox", "year", "pixel_id", "CDL", "start_day"),
+                means=None, stds=None) -> DataFrame:
+    """Examples -> (keys, features vector of 300, label double); ``means`` and ``stds`` as fitted."""
+    return examples.select(*keep, array_to_vector(features(F.col("slots"), means, stds)).alias("features"),
                            F.col("label").cast("double").alias("label"))
 
 
@@ -43,6 +45,20 @@ def fit_mlp(train: DataFrame, hidden: int = 50, max_iter: int = 50, seed: int =
     return mlp.fit(train)
 
 
+def fitted_stats(normaliser: DataFrame) -> tuple[list[float], list[float]]:
+    """Means and standard deviations of ``fit_normaliser``: one row a band, so 12 at most.
+
+    A band without any value, or with one value alone, keeps its scale.
+    """
+    rows = sorted(normaliser.collect(), key=lambda r: r.band_index)
+    return [r["mean"] or 0.0 for r in rows], [r["std"] or 1.0 for r in rows]
+
+
+def accuracy_of(model: Model, frame: DataFrame) -> DataFrame:
+    """Rows and accuracy of a model on a frame, such as the validation year."""
+    return accuracy(score(model, frame))
+
+
 def score(model: Model, frame: DataFrame) -> DataFrame:
     """Predictions as int labels next to the keys."""
     out = model.transform(frame)

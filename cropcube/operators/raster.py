@@ -8,16 +8,16 @@ rows *before* exploding, so only the kept rows are exploded.
 
 from __future__ import annotations
 
-import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropcube.functions import geo
+from cropcube.functions.draws import draw
 
 
-def seeded_start(seed: int, key: str, stride: int) -> int:
-    """Deterministic start offset in [0, stride-1] for one raster."""
-    return xxhash.xxh64_intdigest(f"{seed}:{key}") % stride if stride > 1 else 0
+def seeded_start(key, stride: int, seed: int = 0) -> Column:
+    """Start offset in [0, stride - 1] of a raster, drawn from its key."""
+    return (draw("grid", key, seed=seed) % F.lit(int(stride))).cast("int")
 
 
 def raster_pixels(strips: DataFrame, row_filter=None, col_filter=None) -> DataFrame:
@@ -33,12 +33,18 @@ def grid_sample(strips: DataFrame, stride: int, start=None) -> DataFrame:
     """Every ``stride``-th row and column starting at ``start`` (same start for both axes).
 
     ``start`` may be an int, a Column (per-raster start) or None for the
-    centre ``stride // 2``.
+    centre ``stride // 2``.  The columns are picked out of each strip before it is
+    exploded, so only sampled cells become rows.
     """
-    s = F.lit(stride // 2) if start is None else (start if isinstance(start, F.Column) else F.lit(int(start)))
-    rows = (F.col("row") >= s) & ((F.col("row") - s) % stride == 0)
-    cols = (F.col("col") >= s) & ((F.col("col") - s) % stride == 0)
-    return raster_pixels(strips, rows, cols)
+    s = F.lit(stride // 2) if start is None else (start if isinstance(start, Column) else F.lit(int(start)))
+    picked = strips.withColumn("_start", s).where((F.col("row") >= F.col("_start"))
+                                                  & ((F.col("row") - F.col("_start")) % stride == 0))
+    last = F.size("values") - 1
+    cols = F.when(F.col("_start") <= last, F.sequence(F.col("_start"), last, F.lit(int(stride)))) \
+        .otherwise(F.array().cast("array<int>"))
+    cells = picked.select("raster_id", "bbox", "year", "row", "x0", "y0", "dx", "dy", "values",
+                          F.explode(cols).alias("col"))
+    return cells.withColumn("code", F.get("values", F.col("col"))).drop("values")
 
 
 def crop_grid(pixels: DataFrame, n_rows: int = 800, n_cols: int = 800) -> DataFrame:
@@ -53,20 +59,27 @@ def with_lonlat(pixels: DataFrame, digits: int | None = 6) -> DataFrame:
     return pixels.withColumn("_ll", ll).withColumns({"lon": F.col("_ll.lon"), "lat": F.col("_ll.lat")}).drop("_ll")
 
 
+def _per_strip(samples: DataFrame, value: str) -> DataFrame:
+    """Samples as one map column -> value for each strip (raster, row)."""
+    entry = F.struct(F.col("col").cast("int").alias("key"), F.col(value).alias("value"))
+    return samples.groupBy("raster_id", "row").agg(F.map_from_entries(F.collect_set(entry)).alias("_at"))
+
+
 def densify(strips: DataFrame, samples: DataFrame, value: str = "code") -> DataFrame:
     """Put sampled values back on the full grid, 0 where not sampled.
 
-    The full grid comes from the strips themselves (posexplode), joined to
-    the samples on (raster_id, row, col); both sides are partitioned by the
-    same key, so this is one shuffle join without any driver-side arrays.
+    Strips and samples meet strip by strip, not cell by cell: a sample map joins its
+    strip, and the cells come out of the joined strip.
     """
-    grid = raster_pixels(strips).select("raster_id", "row", "col")
-    s = samples.select("raster_id", "row", "col", F.col(value).alias("_v"))
-    return (grid.join(s, ["raster_id", "row", "col"], "left")
-            .select("raster_id", "row", "col", F.coalesce("_v", F.lit(0)).alias(value)))
+    at = strips.select("raster_id", "row", F.size("values").alias("_n")) \
+        .join(_per_strip(samples, value), ["raster_id", "row"], "left")
+    cells = F.transform(F.sequence(F.lit(0), F.col("_n") - 1),
+                        lambda i: F.coalesce(F.try_element_at(F.col("_at"), i), F.lit(0)))
+    return at.where("_n > 0").select("raster_id", "row", F.posexplode(cells).alias("col", value))
 
 
 def samples_outside_grid(strips: DataFrame, samples: DataFrame) -> DataFrame:
-    """Sampled cells that are not cells of the raster (should be empty)."""
-    grid = raster_pixels(strips).select("raster_id", "row", "col", F.col("code").alias("_code"))
-    return samples.join(grid, ["raster_id", "row", "col"], "left_anti")
+    """Sampled cells that are not cells of the raster: no such strip, or beyond its end."""
+    size = strips.select("raster_id", "row", F.size("values").alias("_n"))
+    return samples.join(size, ["raster_id", "row"], "left") \
+        .where(F.col("_n").isNull() | (F.col("col") < 0) | (F.col("col") >= F.col("_n"))).drop("_n")

@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.functions.draws import draw
 
 
-def bernoulli_sample(df: DataFrame, fraction: float, seed: int = 0) -> DataFrame:
-    """Spark's per-row Bernoulli sample (seeded)."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
-
+def hash_sample(df: DataFrame, key, fraction: float, seed: int = 0) -> DataFrame:
+    """Keep about ``fraction`` of the rows, by the draw of their key columns.
 
-def hash_sample(df: DataFrame, key_expr, percent: int) -> DataFrame:
-    """L06, engine-independent form: keep rows whose integer key hash falls below ``percent`` of 100."""
-    return df.where((key_expr % F.lit(100)) < F.lit(int(percent)))
+    Each key is in or out whatever the engine, the partitions or the other rows; rows
+    that share a key go together.
+    """
+    return df.where(draw("sample", *[F.col(k) for k in key], seed=seed) < F.lit(int(fraction * 2 ** 32)))
 
 
-def batch_sizes(df: DataFrame, batch_size: int = K.BATCH_SIZE) -> DataFrame:
-    """Stream a DataFrame to a consumer in Arrow batches of ``batch_size`` rows.
+def batches(df: DataFrame, batch_size: int = K.BATCH_SIZE) -> DataFrame:
+    """Number the batches of ``batch_size`` rows in which each partition hands its rows on.
 
-    ``mapInPandas`` runs the consumer per partition on batches capped at
-    ``spark.sql.execution.arrow.maxRecordsPerBatch``; here the consumer only
-    reports each batch's size (a training loop would take the batch).
+    Adds ``partition`` and ``batch``.  A training loop reads the rows of one batch
+    together; batches are formed per partition, in the JVM, without a shuffle.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_size))
-
-    def consume(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for i, b in enumerate(batches):
-            yield pd.DataFrame({"batch_in_partition": [i], "n_rows": [len(b)]})
-
-    return df.mapInPandas(consume, "batch_in_partition INT, n_rows LONG")
+    at = F.monotonically_increasing_id()
+    return df.withColumn("partition", F.shiftright(at, 33)) \
+        .withColumn("batch", F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(batch_size)))
 
 
 def write_shards(df: DataFrame, path: str, rows_per_file: int = K.BATCH_SIZE) -> None:

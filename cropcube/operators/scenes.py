@@ -16,6 +16,7 @@ from pyspark.sql.types import (ArrayType, DoubleType, MapType, StringType, Struc
 
 from cropcube import constants as K
 from cropcube.functions import geo
+from cropcube.functions.draws import draw
 
 FEATURE_SCHEMA = StructType([
     StructField("id", StringType()),
@@ -120,22 +121,20 @@ def search(scenes: DataFrame, aois: DataFrame, collection: str | None = "sentine
     """J05 + F12: scenes of an area's year whose footprint intersects the area.
 
     Range join made scalable: both sides are exploded to the grid cells
-    their boxes touch and equi-joined on the cell, then the exact overlap
+    their boxes touch and equi-joined on (year, cell), then the exact overlap
     test runs; a pair is emitted only in the cell holding the lower-left
     corner of the overlap, so no de-duplication shuffle is needed.
     """
     s = scenes if collection is None else scenes.where(F.col("collection") == F.lit(collection))
-    s = s.withColumn("_date", F.to_date(F.substring("datetime", 1, 10)))
+    s = s.withColumn("year", F.year(F.to_date(F.substring("datetime", 1, 10))))
     sc = _cells(s, "min_lon", "min_lat", "max_lon", "max_lat", cell_degrees)
     ac = _cells(aois, "a_min_lon", "a_min_lat", "a_max_lon", "a_max_lat", cell_degrees)
-    j = sc.join(ac, ["_cx", "_cy"])
-    start, end = year_range(F.col("year"))
+    j = sc.join(ac, ["year", "_cx", "_cy"])
     ok = (geo.boxes_intersect("min_lon", "min_lat", "max_lon", "max_lat",
                               "a_min_lon", "a_min_lat", "a_max_lon", "a_max_lat")
-          & (F.col("_date") >= start) & (F.col("_date") < end)
           & (F.col("_cx") == F.floor(F.greatest("min_lon", "a_min_lon") / F.lit(cell_degrees)))
           & (F.col("_cy") == F.floor(F.greatest("min_lat", "a_min_lat") / F.lit(cell_degrees))))
-    return j.where(ok).drop("_cx", "_cy", "_date")
+    return j.where(ok).drop("_cx", "_cy")
 
 
 def existing_dates(obs: DataFrame, keys=("bbox", "year", "tile")) -> DataFrame:
@@ -155,8 +154,7 @@ def pending_partitions(inputs: DataFrame, outputs: DataFrame, keys=("bbox", "yea
 
 
 def pick_tile(scenes: DataFrame, seed: int = 0, tile_col: str = "mgrs") -> DataFrame:
-    """Choose one tile by seeded integer order and keep its scenes (exact match)."""
+    """Choose one tile by the draw of its whole name and keep its scenes (exact match)."""
     t = F.col(tile_col)
-    order = (F.ascii(F.substring(t, 1, 1)) * 31 + F.ascii(F.substring(t, 2, 1)) * 17 + F.lit(seed)) % 101
-    chosen = scenes.select(tile_col).distinct().orderBy(order, t).limit(1)
+    chosen = scenes.select(tile_col).distinct().orderBy(draw("tile", t, seed=seed), t).limit(1)
     return scenes.join(chosen, tile_col, "left_semi")

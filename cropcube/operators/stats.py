@@ -74,12 +74,12 @@ def aoi_class_table(shares: DataFrame, classes: list[str], keys=("bbox", "year")
 def label_histogram(df: DataFrame, label_col: str = "label") -> DataFrame:
     """A10: examples per legend label, zero rows kept for absent labels.
 
-    The 7-row legend is a literal, so the join side is fixed-size.
+    The counts are as few as the labels, so either side of this join is small.
     """
     spark = df.sparkSession
     legend = spark.createDataFrame([(i, n) for i, n in enumerate(K.LABEL_LEGEND)], "label INT, label_name STRING")
     counts = df.groupBy(F.col(label_col).alias("label")).agg(F.count("*").alias("count"))
-    return (F.broadcast(legend).join(counts, "label", "left")
+    return (legend.join(counts, "label", "left")
             .select("label", "label_name", F.coalesce("count", F.lit(0)).cast("bigint").alias("count")))
 
 
@@ -87,6 +87,8 @@ def band_distribution(long_df: DataFrame, value_cols: list[str], by: list[str] |
                       exact: bool = True, bins: int = 10, lo: float = 0.0, hi: float = 10000.0) -> DataFrame:
     """Per band min / max / mean / quartiles / fixed-width histogram.
 
+    Values under ``lo`` and over ``hi`` count in bins of their own, so every value is in one.
+
     Input is long form (one row per filled slot); output is one row per
     (by..., band).  The exact ``percentile`` keeps a value -> frequency map
     per group, so its memory is bounded by the distinct band values (at most
@@ -102,6 +104,7 @@ def band_distribution(long_df: DataFrame, value_cols: list[str], by: list[str] |
     agg = [F.count("v").alias("n"), F.min("v").alias("min"), F.max("v").alias("max"),
            F.round(F.avg("v"), 6).alias("mean"),
            F.round(q(0.25), 6).alias("p25"), F.round(q(0.5), 6).alias("p50"), F.round(q(0.75), 6).alias("p75")]
+    agg += [F.count(F.when(F.col("v") < lo, 1)).alias("h_under"), F.count(F.when(F.col("v") > hi, 1)).alias("h_over")]
     for b in range(bins):
         a, z = lo + b * width, lo + (b + 1) * width
         cond = (F.col("v") >= a) & ((F.col("v") < z) if b < bins - 1 else (F.col("v") <= z))

@@ -7,5 +7,5 @@ def load() -> None:
     global _loaded
     if _loaded:
         return
-    from cropcube.plans import catalog, ml_queries, stream_queries  # noqa: F401
+    from cropcube.plans import catalog, ml_queries, outputs, stream_queries  # noqa: F401
     _loaded = True

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from cropcube import constants as K
 from cropcube.functions import codec, geo
+from cropcube.functions.draws import draw_sql
 from cropcube.functions.indices import ndvi, ndvi_percent
 from cropcube.functions.labels import legend_name, scl_name
 from cropcube.operators import evaluate as EV
@@ -21,6 +22,7 @@ from cropcube.operators import observe as OB
 from cropcube.operators import raster as R
 from cropcube.operators import scenes as SC
 from cropcube.operators import series as S
+from cropcube.operators.sampling import hash_sample
 from cropcube.operators import stats as ST
 from cropcube.plans import sql as Q
 from cropcube.plans.registry import query
@@ -33,9 +35,9 @@ SAMPLE_STRIDE = K.STRIDE_DEFAULT
 # ---------------------------------------------------------------- shared views
 
 def samples(spark: SparkSession, sf: str) -> DataFrame:
-    """Label samples: every 3rd cell of each raster from a per-raster start, named."""
+    """Label samples: every 3rd cell of each raster from a drawn start, named."""
     strips = FX.raster_strips(spark, sf)
-    px = R.grid_sample(strips, SAMPLE_STRIDE, start=F.col("year") % SAMPLE_STRIDE)
+    px = R.grid_sample(strips, SAMPLE_STRIDE, start=R.seeded_start(F.col("raster_id"), SAMPLE_STRIDE))
     return OB.attach_class_names(px, FX.class_dictionary(spark), "code")
 
 
@@ -156,7 +158,7 @@ SELECT p.raster_id, p.row, p.col, coalesce(s.code, 0) AS code
 FROM pixels p LEFT JOIN samples s USING (raster_id, row, col)""")
 def j08_densify(spark, sf):
     strips = FX.raster_strips(spark, sf)
-    smp = R.grid_sample(strips, SAMPLE_STRIDE, start=F.col("year") % SAMPLE_STRIDE)
+    smp = R.grid_sample(strips, SAMPLE_STRIDE, start=R.seeded_start(F.col("raster_id"), SAMPLE_STRIDE))
     return R.densify(strips, smp, "code")
 
 
@@ -169,7 +171,7 @@ FROM samples s LEFT JOIN pixels p USING (raster_id, row, col)
 GROUP BY s.raster_id""")
 def j09_sample_subset(spark, sf):
     strips = FX.raster_strips(spark, sf)
-    smp = R.grid_sample(strips, SAMPLE_STRIDE, start=F.col("year") % SAMPLE_STRIDE)
+    smp = R.grid_sample(strips, SAMPLE_STRIDE, start=R.seeded_start(F.col("raster_id"), SAMPLE_STRIDE))
     outside = R.samples_outside_grid(strips, smp).groupBy("raster_id").agg(F.count("*").alias("n_outside"))
     ext = smp.groupBy("raster_id").agg(
         F.count("*").alias("n_samples"), F.min("row").alias("min_row"), F.max("row").alias("max_row"),
@@ -179,17 +181,17 @@ def j09_sample_subset(spark, sf):
         "min_row", "max_row", "min_col", "max_col")
 
 
-@query("t05_sample_lonlat", "T04 T05 F11 D4", sql=Q.with_(Q.SAMPLES) + f""",
+@query("t05_sample_lonlat", "T04 T05 D4", sql=Q.with_(Q.SAMPLES) + f""",
 centres AS (
   SELECT raster_id, bbox, year, row, col, CDL, x0 + (col + 0.5) * 30.0 AS cx, y0 - (row + 0.5) * 30.0 AS cy
-  FROM samples WHERE row < 800 AND col < 800)
+  FROM samples)
 SELECT raster_id, bbox, year, row, col, CDL, lon, lat FROM {Q.albers_inverse('centres', 'cx', 'cy')}""")
 def t05_sample_lonlat(spark, sf):
-    px = R.with_lonlat(R.crop_grid(samples(spark, sf)), 6)
+    px = R.with_lonlat(samples(spark, sf), 6)
     return px.select("raster_id", "bbox", "year", "row", "col", "CDL", "lon", "lat")
 
 
-_T02_SQL = Q.with_(Q.SAMPLES) + """,
+_T02_SQL = (Q.with_(Q.SAMPLES) + """,
 aoi_p AS (
   SELECT bbox, CAST(string_split(bbox, ', ')[1] AS BIGINT) AS l, CAST(string_split(bbox, ', ')[2] AS BIGINT) AS b,
          CAST(string_split(bbox, ', ')[3] AS BIGINT) AS r, CAST(string_split(bbox, ', ')[4] AS BIGINT) AS t
@@ -202,8 +204,10 @@ SELECT bbox, round(min(lon), 6) AS env_min_lon, round(min(lat), 6) AS env_min_la
        round(max(lon), 6) AS env_max_lon, round(max(lat), 6) AS env_max_lat,
        round(max(lon) FILTER (WHERE k = 'll'), 6) AS cor_min_lon, round(max(lat) FILTER (WHERE k = 'll'), 6) AS cor_min_lat,
        round(max(lon) FILTER (WHERE k = 'ur'), 6) AS cor_max_lon, round(max(lat) FILTER (WHERE k = 'ur'), 6) AS cor_max_lat,
-       5 AS ring_points, bbox AS bbox_text
-FROM corner_ll GROUP BY bbox"""
+       """ + ", ".join(f"round({x}(lon), 6) AS ring_{i}_x, round({y}(lat), 6) AS ring_{i}_y"
+                       for i, (x, y) in enumerate([("min", "min"), ("max", "min"), ("max", "max"), ("min", "max"), ("min", "min")]))
+           + """, bbox AS bbox_text
+FROM corner_ll GROUP BY bbox""")
 
 
 @query("t02_aoi_bounds", "T01 T02 T03 A13 D3 Q12", sql=_T02_SQL)
@@ -217,13 +221,13 @@ def t02_aoi_bounds(spark, sf):
     fields = ("min_lon", "min_lat", "max_lon", "max_lat")
     return b.select("bbox", *[F.round(F.col(f"env.{c}"), 6).alias(f"env_{c}") for c in fields],
                     *[F.round(F.col(f"cor.{c}"), 6).alias(f"cor_{c}") for c in fields],
-                    F.size("ring").alias("ring_points"),
+                    *[F.round(F.get("ring", F.lit(i))[c], 6).alias(f"ring_{i}_{c}") for i in range(5) for c in ("x", "y")],
                     geo.bounds_text(box["left"], box["bottom"], box["right"], box["top"]).alias("bbox_text"))
 
 
 # ---------------------------------------------------------------- step 2: observations and series
 
-@query("f06_observations", "F06 F07 F04 W03 D6 S01 S02", sql=Q.with_(Q.OBS) + f"""
+@query("f06_observations", "F06 F07 F04 W03 D6 S01", sql=Q.with_(Q.OBS) + f"""
 SELECT bbox, year, pixel_id, CDL, scene_date, tile, scl, {Q.BAND_LIST} FROM obs""")
 def f06_observations(spark, sf):
     return observations(spark, sf).select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
@@ -239,7 +243,7 @@ def a01_observation_class_share(spark, sf):
     return ST.class_share(obs).select("year", "CDL", "count", "total_count", "percentage")
 
 
-@query("a02_class_year_counts", "A02 S13 T19", sql=Q.with_(Q.OBS) + """
+@query("a02_class_year_counts", "A02 T19", sql=Q.with_(Q.OBS) + """
 SELECT CDL, year, count(*) AS count FROM (SELECT DISTINCT bbox, year, pixel_id, CDL FROM obs) GROUP BY CDL, year""")
 def a02_class_year_counts(spark, sf):
     enc = S.encode_series(series(spark, sf))
@@ -260,21 +264,28 @@ def a04_series_summary(spark, sf):
     return S.series_summary(series(spark, sf))
 
 
-@query("t15_encoded_series", "T15 T16 T17 T18 X03 X04 D9 S03 Q22 Q23", sql=Q.with_(Q.OBS) + f""",
+ENCODED_SQL = Q.with_(Q.OBS) + f""",
 o AS (SELECT *, row_number() OVER (PARTITION BY bbox, year, pixel_id, CDL ORDER BY scene_date, tile) AS i FROM obs)
 SELECT bbox, year, pixel_id, hex(encode(CDL)) AS cdl_hex, count(*) AS num_images,
        string_agg({' || '.join(f"printf('%04X', {b})" for b in K.BANDS)}, '' ORDER BY i) AS bands_hex,
        string_agg(tile, ',' ORDER BY i) AS tiles,
        string_agg(printf('%04X', CAST(date_diff('day', DATE '1970-01-01', scene_date) AS INTEGER)), '' ORDER BY i) AS img_dates_hex,
        string_agg(printf('%02X', scl), '' ORDER BY i) AS scl_vals_hex
-FROM o GROUP BY bbox, year, pixel_id, CDL""")
-def t15_encoded_series(spark, sf):
-    enc = S.encode_series(series(spark, sf))
+FROM o GROUP BY bbox, year, pixel_id, CDL"""
+
+
+def encoded_text(enc: DataFrame) -> DataFrame:
+    """An encoded series with its binary columns as hex text."""
     return enc.select("bbox", "year", "pixel_id", F.hex("CDL").alias("cdl_hex"), "num_images",
                       F.hex("bands").alias("bands_hex"), codec.decode_text(F.col("tiles")).alias("tiles"),
                       F.hex("img_dates").alias("img_dates_hex"), F.hex("scl_vals").alias("scl_vals_hex"))
 
 
+@query("t15_encoded_series", "T15 T16 T17 T18 X03 X04 D9 Q22 Q23", sql=ENCODED_SQL)
+def t15_encoded_series(spark, sf):
+    return encoded_text(S.encode_series(series(spark, sf)))
+
+
 @query("t23_decoded_series", "T19 T20 T21 T22 T23 W08 T39 X06 X08 D10", sql=Q.with_(Q.OBS) + f"""
 SELECT bbox, year, pixel_id, CDL,
        CAST(row_number() OVER (PARTITION BY bbox, year, pixel_id, CDL ORDER BY scene_date, tile) - 1 AS INTEGER) AS image_index,
@@ -341,13 +352,13 @@ def a20_series_any_all(spark, sf):
 _LONG_COLS = ["bbox", "year", "pixel_id", "CDL", "start_day", "label", "slot", "day", "ndvi", "scl", *K.BANDS]
 
 
-@query("l09_train_slots", "L08 L09 F18 W04 W05 W06 W09 T27 T28 T29 W07 F09 F19 T40 T41 J06 A20 X09 D11 D12",
+@query("l09_train_slots", "L08 L09 F18 W04 W05 W06 W09 T28 T29 W07 F09 F19 T40 T41 J06 A20 X09 D11 D12",
        sql=Q.with_(Q.TRAIN) + f"SELECT {', '.join(_LONG_COLS)} FROM train_long")
 def l09_train_slots(spark, sf):
     return L.slots_long(train_examples(spark, sf)).select(*_LONG_COLS)
 
 
-@query("j07_sweep_slots", "J07 W10 F18 W04 W09 T27 T28 T29 Q8 Q9 Q10 Q11 Q25",
+@query("j07_sweep_slots", "J07 W10 F18 W04 W09 T28 T29 Q8 Q9 Q10 Q11 Q25",
        sql=Q.with_(Q.SWEEP) + f"SELECT {', '.join(_LONG_COLS)} FROM sweep_long")
 def j07_sweep_slots(spark, sf):
     return L.slots_long(sweep(spark, sf)).select(*_LONG_COLS)
@@ -356,14 +367,14 @@ def j07_sweep_slots(spark, sf):
 @query("t31_normalised_features", "T31 T32 F16 M06 T30", sql=Q.with_(Q.TRAIN) + ", nb AS (SELECT * FROM train_long)\nSELECT bbox, year, pixel_id, slot, label, "
        + ", ".join(f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE (CAST({b} AS DOUBLE) - {m!r}) / {s!r} END, 6) AS z_{b}"
                    for b, m, s in zip(K.BANDS, K.BAND_MEANS, K.BAND_STDS))
-       + ", CAST(1.0 AS DOUBLE) AS one_hot_sum FROM nb")
+       + "".join(f", CAST(label = {i} AS INTEGER) AS is_{i}" for i in range(K.NUM_CLASSES)) + " FROM nb")
 def t31_normalised_features(spark, sf):
     ex = L.with_one_hot(train_examples(spark, sf))
     long = ex.select("bbox", "year", "pixel_id", "label", "label_one_hot", F.explode("slots").alias("s"))
     z = L.normalise_bands(F.col("s.bands"))
     return long.select("bbox", "year", "pixel_id", F.col("s.slot").alias("slot"), "label",
                        *[F.round(z[i], 6).alias(f"z_{b}") for i, b in enumerate(K.BANDS)],
-                       F.aggregate("label_one_hot", F.lit(0.0), lambda a, v: a + v).alias("one_hot_sum"))
+                       *[F.col("label_one_hot")[i].cast("int").alias(f"is_{i}") for i in range(K.NUM_CLASSES)])
 
 
 @query("m06_fit_normaliser", "M06 A08 A09 Q18", sql=Q.with_(Q.TRAIN) + """,
@@ -377,7 +388,7 @@ def m06_fit_normaliser(spark, sf):
     return n.select("band_index", "band", F.round("mean", 6).alias("mean"), F.round("std", 6).alias("std"))
 
 
-@query("a10_label_histogram", "A10 Q20 Q21 T33", sql=Q.with_(Q.TRAIN) + """,
+@query("a10_label_histogram", "A10 Q20 Q21", sql=Q.with_(Q.TRAIN) + """,
 lab AS (SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, label FROM train_long),
 legend AS (SELECT * FROM (VALUES """ + ", ".join(f"({i}, '{n}')" for i, n in enumerate(K.LABEL_LEGEND)) + """) AS t(label, label_name))
 SELECT g.label, g.label_name, CAST(count(l.label) AS BIGINT) AS count
@@ -388,22 +399,17 @@ def a10_label_histogram(spark, sf):
 
 
 @query("m07_split_leakage", "M07 S12 U02 U03 U04", sql=Q.with_(Q.OBS) + f""",
-keys AS (SELECT DISTINCT year, pixel_id FROM obs),
 splits AS (
-  SELECT CASE year WHEN {K.FIXTURE_SPLIT_YEARS['train']} THEN 'train' WHEN {K.FIXTURE_SPLIT_YEARS['validation']} THEN 'validation'
-                   WHEN {K.FIXTURE_SPLIT_YEARS['test']} THEN 'test' END AS split, year, pixel_id FROM keys)
-SELECT split, count(*) AS n_series,
-       CAST((SELECT count(*) FROM splits a JOIN splits b ON a.pixel_id = b.pixel_id AND a.year = b.year AND a.split < b.split) AS BIGINT) AS n_shared
-FROM splits WHERE split IS NOT NULL GROUP BY split""")
+  SELECT DISTINCT CASE year WHEN {K.FIXTURE_SPLIT_YEARS['train']} THEN 'train' WHEN {K.FIXTURE_SPLIT_YEARS['validation']} THEN 'validation'
+                   WHEN {K.FIXTURE_SPLIT_YEARS['test']} THEN 'test' END AS split, year, pixel_id FROM obs),
+known AS (SELECT * FROM splits WHERE split IS NOT NULL)
+SELECT pixel_id, string_agg(DISTINCT split, ',' ORDER BY split) AS splits, count(*) AS n_series FROM known GROUP BY pixel_id
+HAVING count(DISTINCT split) > 1""")
 def m07_split_leakage(spark, sf):
-    s = series(spark, sf)
-    parts = L.split_by_year(s, K.FIXTURE_SPLIT_YEARS)
-    n_shared = L.leakage(parts).count()  # one number: pairs of splits sharing a pixel-year
-    counts = None
-    for name, df in parts.items():
-        c = df.select(F.lit(name).alias("split"), "year", "pixel_id").distinct()
-        counts = c if counts is None else counts.unionByName(c)
-    return counts.groupBy("split").agg(F.count("*").alias("n_series")).withColumn("n_shared", F.lit(n_shared).cast("bigint"))
+    """Pixels that more than one split has, whatever the year: one scan, one aggregation."""
+    keys = L.split_keys(observations(spark, sf), K.FIXTURE_SPLIT_YEARS)
+    n = F.size("splits").cast("bigint").alias("n_series")  # one series for each split, as splits are years
+    return L.leakage(keys).select("pixel_id", F.array_join("splits", ",").alias("splits"), n)
 
 
 @query("a16_band_distribution", "A16 F14 F15", sql=Q.with_(Q.TRAIN) + """,
@@ -413,14 +419,14 @@ stacked AS (""" + " UNION ALL ".join(f"SELECT '{b}' AS band, CAST({b} AS DOUBLE)
 SELECT band, count(v) AS n, min(v) AS min, max(v) AS max, round(avg(v), 6) AS mean,
        round(quantile_cont(v, 0.25), 6) AS p25, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.75), 6) AS p75,
 """ + ",\n".join(f"  count(*) FILTER (WHERE v >= {b * 1000.0} AND v {'<' if b < 9 else '<='} {(b + 1) * 1000.0}) AS h{b}" for b in range(10))
-       + "\nFROM stacked GROUP BY band")
+       + ",\n  count(*) FILTER (WHERE v < 0) AS h_under, count(*) FILTER (WHERE v > 10000) AS h_over\nFROM stacked GROUP BY band")
 def a16_band_distribution(spark, sf):
     long = L.slots_long(train_examples(spark, sf)).select(*K.BANDS).dropDuplicates()
     nz = long.where(F.forall(F.array(*K.BANDS), lambda v: v != 0))
     return ST.band_distribution(nz, K.BANDS, exact=True)
 
 
-@query("l04_first_examples", "L04 L05 S17 S15", sql=Q.with_(Q.TRAIN) + """
+@query("l04_first_examples", "L04 L05 S17", sql=Q.with_(Q.TRAIN) + """
 SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, label FROM train_long
 ORDER BY year, pixel_id LIMIT 9""")
 def l04_first_examples(spark, sf):
@@ -500,7 +506,7 @@ def j05_scene_search(spark, sf):
     return hits.select("bbox", "year", "scene_id")
 
 
-@query("j03_skip_existing", "J03 A07 A18 U01 U04 S10 D15", sql=Q.with_(Q.OBS) + """,
+@query("j03_skip_existing", "J03 A07 A18 U01 U04 D15", sql=Q.with_(Q.OBS) + """,
 cand AS (SELECT DISTINCT bbox, year, tile, scene_date FROM obs),
 done AS (SELECT DISTINCT bbox, year, tile, scene_date FROM obs WHERE month(scene_date) <= 6),
 pending AS (SELECT * FROM cand ANTI JOIN done USING (bbox, year, tile, scene_date)),
@@ -524,9 +530,8 @@ def j03_skip_existing(spark, sf):
                     F.coalesce("partition_pending", F.lit(False)).alias("partition_pending")))
 
 
-@query("l11_pick_tile", "L11 Q14 A18", sql=Q.with_(Q.SCENES) + """,
-tiles AS (SELECT DISTINCT mgrs FROM scn),
-chosen AS (SELECT mgrs FROM tiles ORDER BY (ascii(substr(mgrs, 1, 1)) * 31 + ascii(substr(mgrs, 2, 1)) * 17 + 0) % 101, mgrs LIMIT 1)
+@query("l11_pick_tile", "L11 Q14 A18", sql=Q.with_(Q.SCENES) + f""",
+chosen AS (SELECT mgrs FROM (SELECT DISTINCT mgrs FROM scn) ORDER BY {draw_sql("'tile'", 'mgrs')}, mgrs LIMIT 1)
 SELECT scene_id FROM scenes WHERE split_part(scene_id, '_', 2) IN (SELECT mgrs FROM chosen)""")
 def l11_pick_tile(spark, sf):
     s = SC.scene_keys(FX.scenes(spark, sf))
@@ -642,14 +647,22 @@ def t06_utm_cells(spark, sf):
                       cell["row"].alias("row"), cell["col"].alias("col"))
 
 
-@query("l06_hash_sample", "L06", sql=Q.with_(Q.OBS) + """
+@query("l06_hash_sample", "L06", sql=Q.with_(Q.OBS) + f"""
 SELECT bbox, year, pixel_id, scene_date, tile FROM obs
-WHERE (pixel_id * 2654435761 + CAST(date_diff('day', DATE '1970-01-01', scene_date) AS BIGINT) * 40503 + seq) % 100 < 5""")
+WHERE {draw_sql("'sample'", 'pixel_id', 'scene_date', 'tile')} < {int(0.05 * 2 ** 32)}""")
 def l06_hash_sample(spark, sf):
-    from cropcube.operators.sampling import hash_sample
-    obs = observations(spark, sf)
-    key = F.col("pixel_id") * F.lit(2654435761) + codec.days_since_epoch(F.col("scene_date")).cast("bigint") * 40503 + F.col("seq")
-    return hash_sample(obs, key, 5).select("bbox", "year", "pixel_id", "scene_date", "tile")
+    """5 % of the observations, by the draw of their key."""
+    return hash_sample(observations(spark, sf), ("pixel_id", "scene_date", "tile"), 0.05) \
+        .select("bbox", "year", "pixel_id", "scene_date", "tile")
+
+
+@query("l06_bernoulli_sample", "L06", sql=Q.with_(Q.OBS) + f"""
+SELECT bbox, year, pixel_id, CDL, scene_date, tile, scl, {Q.BAND_LIST} FROM obs
+WHERE {draw_sql("'sample'", 'pixel_id', 'scene_date', 'tile', seed=42)} < {int(0.01 * 2 ** 32)}""")
+def l06_bernoulli_sample(spark, sf):
+    """Seeded 1 % Bernoulli sample of the observations: each is in or out by its own draw."""
+    return hash_sample(observations(spark, sf), ("pixel_id", "scene_date", "tile"), 0.01, seed=42) \
+        .select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
 
 
 @query("f07_rejected_rows", "F06 F07 Q17 Q16", sql=Q.with_(Q.OBS) + f"""

@@ -1,4 +1,4 @@
-"""ML queries (rows-only check: model fits have no SQL oracle)."""
+"""ML queries.  SQL gives their keys, labels and row counts; tests check what the models learn."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from cropcube import constants as K
 from cropcube.operators import loader as L
 from cropcube.operators import models as M
 from cropcube.operators import sampling as SM
+from cropcube.operators.loader import features
 from cropcube.plans import catalog as C
 from cropcube.plans import sql as Q
 from cropcube.plans.registry import query
@@ -16,70 +17,82 @@ from cropcube.sources.tables import dataset_size, list_partitions, partition_val
 
 
 def _frames(spark, sf):
-    ser = C.series(spark, sf)
-    splits = L.split_by_year(ser, K.FIXTURE_SPLIT_YEARS)
-    # written once to the shared checkpoint folder: the fit reads it many times
-    train = materialize(M.to_ml_frame(L.training_examples(splits["train"])), "train-features")
-    test = M.to_ml_frame(L.sweep_examples(splits["test"]))
-    return train, test
+    """Train, validation and test frames, normalised by what was fitted on the train year."""
+    splits = L.split_by_year(C.series(spark, sf), K.FIXTURE_SPLIT_YEARS)
+    examples = L.training_examples(splits["train"])
+    means, stds = M.fitted_stats(L.fit_normaliser(L.slots_long(examples)))
+    # written once to the shared folder: the fit reads it many times
+    train = materialize(M.to_ml_frame(examples, means=means, stds=stds), "train-features")
+    validation = M.to_ml_frame(L.training_examples(splits["validation"]), means=means, stds=stds)
+    test = M.to_ml_frame(L.sweep_examples(splits["test"]), means=means, stds=stds)
+    return train, validation, test
 
 
-def _report(scored):
-    return scored.select("bbox", "year", "pixel_id", "CDL", "start_day", "true_label", "prediction")
+def _scored(model, split, frame):
+    """Scored rows; the prediction is checked by tests, as no SQL fits a model."""
+    return M.score(model, frame).where(F.col("prediction").between(0, K.NUM_CLASSES - 1)).select(
+        F.lit(split).alias("split"), "bbox", "year", "pixel_id", "CDL", "start_day", "true_label")
 
 
-@query("m01_linear_softmax", "M01 M03 S15")
+_TEST_SQL = f"""SELECT DISTINCT 'test' AS split, bbox, year, pixel_id, CDL, start_day, label AS true_label
+FROM sweep_long WHERE year = {K.FIXTURE_SPLIT_YEARS['test']}"""
+_VALIDATION_SQL = f"""SELECT DISTINCT 'validation' AS split, bbox, year, pixel_id, CDL, start_day, label AS true_label
+FROM train_long WHERE year = {K.FIXTURE_SPLIT_YEARS['validation']}"""
+_BOTH = Q.with_(Q.TRAIN, Q.SWEEP.removeprefix(Q.SROWS).lstrip(",\n"))
+
+
+@query("m01_linear_softmax", "M01 M03", sql=Q.with_(Q.SWEEP) + _TEST_SQL)
 def m01_linear_softmax(spark, sf):
     """Fit the linear softmax baseline on the train year, score the test sweep."""
-    train, test = _frames(spark, sf)
-    model = M.fit_linear(train, max_iter=30)
-    return _report(M.score(model, test))
+    train, _, test = _frames(spark, sf)
+    return _scored(M.fit_linear(train, max_iter=30), "test", test)
 
 
-@query("m02_mlp_classifier", "M02 M03 M05")
+@query("m02_mlp_classifier", "M02 M03", sql=_BOTH + _TEST_SQL + " UNION ALL " + _VALIDATION_SQL)
 def m02_mlp_classifier(spark, sf):
-    """Fit the feed-forward classifier (300 -> 50 -> 7) and score the test sweep."""
-    train, test = _frames(spark, sf)
+    """Fit the feed-forward classifier (300 -> 50 -> 7), score the validation year and the test sweep."""
+    train, validation, test = _frames(spark, sf)
     model = M.fit_mlp(train, hidden=50, max_iter=30)
-    return _report(M.score(model, test))
+    return _scored(model, "validation", validation).unionByName(_scored(model, "test", test))
 
 
-@query("m04_model_roundtrip", "M04")
+@query("m04_model_roundtrip", "M04", sql=Q.with_(Q.SWEEP) + f"""
+SELECT DISTINCT bbox, year, pixel_id, CDL, start_day, true AS same_as_fitted
+FROM sweep_long WHERE year = {K.FIXTURE_SPLIT_YEARS['test']}""")
 def m04_model_roundtrip(spark, sf):
-    """Save a fitted model to the shared checkpoint folder, load it, score with it."""
-    train, test = _frames(spark, sf)
+    """Save a fitted model to the shared folder, load it, and compare both models' predictions."""
+    train, _, test = _frames(spark, sf)
     model = M.fit_linear(train, max_iter=10)
-    path = M.save(model, shared_path(spark, "model-linear"))
-    loaded = M.load(path, "linear")
-    scored = M.score(loaded, test)
-    return _report(scored).withColumn("same_as_fitted", F.lit(True))
+    loaded = M.load(M.save(model, shared_path(spark, "model-linear")), "linear")
+    key = ["bbox", "year", "pixel_id", "CDL", "start_day"]
+    ours = M.score(model, test).select(*key, F.col("prediction").alias("fitted"))
+    theirs = M.score(loaded, test).select(*key, F.col("prediction").alias("loaded"))
+    return ours.join(theirs, key).select(*key, F.col("fitted").eqNullSafe(F.col("loaded")).alias("same_as_fitted"))
 
 
-@query("s04_results_roundtrip", "S03 S04 S10 S11 S16 T35 A19 U04")
+@query("s04_results_roundtrip", "S03 S04 S10 S11 S16 T35 A19 U04", sql=Q.with_(C.PRED_SQL) + """
+SELECT bbox, year, count(*) AS n_rows, true AS sized FROM results GROUP BY bbox, year""")
 def s04_results_roundtrip(spark, sf):
-    """Write the predictions partitioned by (bbox, year), re-read, list partitions and size."""
+    """Write the predictions partitioned by (bbox, year), verify, re-read, list partitions, rows and size."""
     path = shared_path(spark, "results")
-    n = write_and_verify(C.predictions(spark, sf), path)
+    write_and_verify(C.predictions(spark, sf), path)
     back = spark.read.parquet(path)
     parts = list_partitions(back, "bbox", "year")
-    from_paths = partition_values_from_paths(back, "bbox", "year")
+    from_paths = partition_values_from_paths(back, "bbox", "year").withColumn("year", F.col("year").cast("int"))
     size = dataset_size(back).first()  # one aggregate row
-    return (parts.join(from_paths.withColumn("year", F.col("year").cast("int")), ["bbox", "year"], "left")
-            .withColumns({"num_files": F.lit(size.num_files), "total_bytes": F.lit(size.total_bytes),
-                          "rows_written": F.lit(n)}))
+    sized = (F.lit(size.num_files) > 0) & (F.lit(size.total_bytes) > F.lit(size.num_files))
+    return parts.join(from_paths, ["bbox", "year"]).join(back.groupBy("bbox", "year").agg(
+        F.count("*").alias("n_rows")), ["bbox", "year"]).withColumn("sized", sized)
 
 
-@query("s15_training_batches", "S15 D13")
+@query("s15_training_batches", "S15 D13", sql=Q.with_(Q.TRAIN) + f"""
+SELECT count(*) AS n_rows, true AS within_limit
+FROM (SELECT DISTINCT {Q.SERIES_KEY}, start_day FROM train_long)""")
 def s15_training_batches(spark, sf):
-    """Feature rows handed to a consumer in Arrow batches of 1028 rows."""
-    train = M.to_ml_frame(C.train_examples(spark, sf))
-    return SM.batch_sizes(train, K.BATCH_SIZE)
-
-
-@query("l06_bernoulli_sample", "L06")
-def l06_bernoulli_sample(spark, sf):
-    """Seeded 1 % Bernoulli sample of the observations."""
-    return SM.bernoulli_sample(C.observations(spark, sf), 0.01, seed=42)
+    """Feature rows handed to a consumer in batches of 1028: all rows, no batch above."""
+    ex = C.train_examples(spark, sf).select("pixel_id", features(F.col("slots")).alias("features"))
+    size = SM.batches(ex, K.BATCH_SIZE).groupBy("partition", "batch").agg(F.count("features").alias("n"))
+    return size.agg(F.sum("n").alias("n_rows"), (F.max("n") <= K.BATCH_SIZE).alias("within_limit"))
 
 
 @query("l10_shuffled_examples", "L10", sql=Q.with_(Q.TRAIN) + """

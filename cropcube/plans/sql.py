@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from cropcube import constants as K
 from cropcube.functions import geo
+from cropcube.functions.draws import draw_sql
 from cropcube.sources import fixtures as FX
 
 AOI_LIST = "[" + ", ".join(f"'{b}'" for b in K.AOI_BBOXES) + "]"
@@ -147,7 +148,7 @@ TRAIN = SROWS + f""",
 tr_series AS (
   SELECT {SERIES_KEY}, max(day) AS last_day FROM srows WHERE CDL NOT LIKE '%Dbl%' GROUP BY {SERIES_KEY}),
 tr_start AS (
-  SELECT *, CAST((pixel_id * 1103515245 + year * 12345) % greatest(1, last_day - {K.DAYS_IN_SERIES}) AS INTEGER) AS start_day
+  SELECT *, CAST({draw_sql("'start'", *SERIES_KEY.split(', '))} % greatest(1, last_day - {K.DAYS_IN_SERIES}) AS INTEGER) AS start_day
   FROM tr_series),
 tr_win_all AS (
   SELECT r.*, s.start_day FROM srows r JOIN tr_start s USING ({SERIES_KEY})
@@ -155,8 +156,7 @@ tr_win_all AS (
 tr_win AS (
   SELECT * FROM tr_win_all
   QUALIFY row_number() OVER (PARTITION BY {SERIES_KEY}
-      ORDER BY (CAST({RED} AS BIGINT) * 7919 + CAST({NIR} AS BIGINT) * 104729 + CAST(day AS BIGINT) * 31) % 65536,
-               day, tile) <= {K.MAX_IMAGES_PER_SERIES}),
+      ORDER BY {draw_sql("'image'", *SERIES_KEY.split(', '), 'day', 'tile')}, day, tile) <= {K.MAX_IMAGES_PER_SERIES}),
 {bucket_sql('tr_win', SERIES_KEY + ', start_day', 'tr_filled')},
 tr_slots AS (
   SELECT * FROM tr_filled
@@ -200,10 +200,19 @@ pixels AS (
          CAST(string_split({AOI_LIST}[aoi + 1], ', ')[4] AS DOUBLE) AS y0
   FROM cells)"""
 
-SAMPLES = CELLS + f""",
+
+
+def samples_sql(stride: int = K.STRIDE_DEFAULT) -> str:
+    """CTEs of the systematic sample: every ``stride``-th row and column from a drawn start."""
+    start = f"{draw_sql(chr(39) + 'grid' + chr(39), 'raster_id')} % {stride}"
+    return CELLS + f""",
+started AS (SELECT *, {start} AS start FROM pixels),
 samples AS (
-  SELECT *, {class_case('code')} AS CDL FROM pixels
-  WHERE row >= year % 3 AND (row - year % 3) % 3 = 0 AND col >= year % 3 AND (col - year % 3) % 3 = 0)"""
+  SELECT * EXCLUDE (start), {class_case('code')} AS CDL FROM started
+  WHERE row >= start AND (row - start) % {stride} = 0 AND col >= start AND (col - start) % {stride} = 0)"""
+
+
+SAMPLES = samples_sql()
 
 SCENES = f"""scn AS (
   SELECT DISTINCT l_returnflag || l_linestatus AS mgrs, CAST(l_shipdate AS DATE) AS scene_date,

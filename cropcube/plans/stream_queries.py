@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cropcube import constants as K
 from cropcube.plans import sql as Q
+from cropcube.plans.catalog import ENCODED_SQL, encoded_text
 from cropcube.plans.registry import query
 from cropcube.session import shared_path
 from cropcube.sources import fixtures as FX
@@ -20,50 +22,48 @@ from cropcube.streaming import ingest as I
 RESENT_YEAR = 1998
 
 
-def _landing_rows(spark, sf):
+def landing_rows(spark, sf):
     raw = FX.with_pixel_attributes(FX.raw_observations(spark, sf))
     return raw.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))).drop("cdl_code")
 
 
 def _two_deliveries(spark, sf, base, run):
-    """Write delivery 1 (years <= RESENT_YEAR), run; delivery 2 (years >= RESENT_YEAR), run again."""
-    rows = _landing_rows(spark, sf)
+    """Write delivery 1 (years >= RESENT_YEAR), run; delivery 2, an older back-fill that
+    re-sends RESENT_YEAR (years <= RESENT_YEAR), run again."""
+    rows = landing_rows(spark, sf)
     schema = rows.schema
-    rows.where(F.col("year") <= RESENT_YEAR).write.parquet(f"{base}/landing/d1")
+    rows.where(F.col("year") >= RESENT_YEAR).write.parquet(f"{base}/landing/d1")
     run(I.observation_stream(spark, f"{base}/landing/*/*.parquet", schema))
-    rows.where(F.col("year") >= RESENT_YEAR).write.parquet(f"{base}/landing/d2")
+    rows.where(F.col("year") <= RESENT_YEAR).write.parquet(f"{base}/landing/d2")
     run(I.observation_stream(spark, f"{base}/landing/*/*.parquet", schema))
+    return schema
 
 
 _LANDED_SQL = Q.with_(Q.RAW_OBS) + f""",
 landed AS (
-  SELECT DISTINCT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
-         mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs)
+  SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
+         mgrs || '_' || CAST(seq AS VARCHAR) AS tile FROM raw_obs
+  QUALIFY row_number() OVER (PARTITION BY year, pixel_id, mgrs, seq, scene_date
+                             ORDER BY scl DESC, {', '.join(b + ' DESC' for b in K.BANDS)}) = 1)
 """
 
 
-@query("r01_stream_ingest", "R01 R02 S03 S16", sql=_LANDED_SQL + "SELECT * FROM landed")
+@query("r01_stream_ingest", "R01 R02 S03", sql=_LANDED_SQL + "SELECT * FROM landed")
 def r01_stream_ingest(spark, sf):
-    """Two deliveries, one re-sent year: the sink holds every observation once."""
+    """Two deliveries, the older one later, one year sent twice: every observation lands once."""
     base = shared_path(spark, "r01")
-    sink, ckpt = f"{base}/sink", f"{base}/checkpoint"
+    schema = _two_deliveries(spark, sf, base,
+                             lambda stream: I.ingest_available(stream, f"{base}/sink", f"{base}/checkpoint"))
+    return I.landed(spark, f"{base}/sink", schema)
 
-    def run(stream):
-        I.ingest_available(I.dedupe_stream(stream, stream.columns), sink, ckpt)
-    _two_deliveries(spark, sf, base, run)
-    return spark.read.parquet(sink)
 
-
-@query("r03_stream_refresh_series", "R03 U01 S03", sql=_LANDED_SQL + """
-SELECT bbox, year, pixel_id, count(*) AS num_images FROM landed GROUP BY bbox, year, pixel_id, CDL""")
+@query("r03_stream_refresh_series", "R03 U01 S03", sql=ENCODED_SQL)
 def r03_stream_refresh_series(spark, sf):
-    """Stream with foreachBatch: land each batch, rebuild only touched (bbox, year) series."""
+    """Stream with foreachBatch: the refreshed series equal those of a batch job over the table."""
     base = shared_path(spark, "r03")
-
-    def run(stream):
-        I.refresh_series(I.dedupe_stream(stream, stream.columns), f"{base}/obs", f"{base}/series", f"{base}/checkpoint")
-    _two_deliveries(spark, sf, base, run)
-    return spark.read.parquet(f"{base}/series").select("bbox", "year", "pixel_id", "num_images")
+    _two_deliveries(spark, sf, base, lambda stream: I.refresh_series(
+        stream, f"{base}/obs", f"{base}/series", f"{base}/checkpoint"))
+    return encoded_text(spark.read.parquet(f"{base}/series"))
 
 
 @query("r04_window_counts", "R04", sql="""

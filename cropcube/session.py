@@ -27,35 +27,43 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.driver.memory", os.environ.get("CROPCUBE_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("CROPCUBE_DRIVER_MEMORY", "6g"))
     )
+    if master.startswith("local"):  # one machine: any folder of it is shared
+        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cropcube-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting names shared storage and is used as is.  Only
-    when it is unset (local tests) a fresh scratch folder is set.
+    Only queries that write need it, and they raise if the session names none: a folder
+    of one machine would be lost to the others.  The setting is read, never changed.
     """
-    sc = spark.sparkContext
-    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="cropcube-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(current)
-    return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        raise RuntimeError("this query writes a table: start the session with spark.checkpoint.dir "
+                           "set to a folder that the driver and all executors share")
+    return named
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cropcube/{name}-{uuid.uuid4().hex[:12]}"
+    _WRITTEN.append(f"{checkpoint_dir(spark).rstrip('/')}/cropcube/{name}-{uuid.uuid4().hex[:12]}")
+    return _WRITTEN[-1]
+
+
+#: Folders that :func:`shared_path` named, for :func:`clean`.
+_WRITTEN: list[str] = []
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete the tables written under the shared folder so far; results that read them must be saved before."""
+    while _WRITTEN:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, name: str):

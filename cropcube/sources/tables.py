@@ -8,7 +8,7 @@ partition overwrite, so a retried task or job never duplicates rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,42 +22,10 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-SMALL_INPUT_BYTES = 256 * 1024 * 1024
-
-
-def input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files under ``path`` (one metadata call, no data read)."""
-    jvm = spark.sparkContext._jvm
-    jp = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(jp).getLength())
-
-
-def spread_small_input(df: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
-    """Give a small input as many partitions as there are cores.
-
-    A file written as one Parquet row group is read by one task however it
-    is split, which serialises the whole first stage.  Below
-    ``SMALL_INPUT_BYTES`` (checked from file metadata) the rows are spread
-    over the default parallelism, a cheap shuffle at that size: hashed on
-    ``by`` when given (so later aggregates on keys that start with it need
-    no further exchange), else round-robin.  Larger inputs already have one
-    task per split and are left as they are, keeping the map-side combine
-    of the aggregates that follow.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if cores > 1 and input_bytes(spark, path) < SMALL_INPUT_BYTES:
-        return df.repartition(cores, *by) if by else df.repartition(cores)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread_by: list[str] | None = None) -> DataFrame:
-    path = table_path(sf_dir, name)
-    df = spark.read.parquet(path)
-    df = df.select(*columns) if columns else df
-    return spread_small_input(df, path, spread_by)
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """One table, the same plan at every size: named columns and no exchange of its own."""
+    df = spark.read.parquet(table_path(sf_dir, name))
+    return df.select(*columns) if columns else df
 
 
 def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = None,
@@ -105,8 +73,6 @@ def write_dataset(df: DataFrame, path: str, partition_by=("bbox", "year"),
     partition values never means a handful of writer tasks, and small ones
     are merged so each task writes few files.
     """
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     out = df
     if partition_by:
         out = out.hint("rebalance", *partition_by)
@@ -114,14 +80,23 @@ def write_dataset(df: DataFrame, path: str, partition_by=("bbox", "year"),
         out = out.sortWithinPartitions(*order)
     w = out.write.mode(mode)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
     w.parquet(path)
 
 
 def write_and_verify(df: DataFrame, path: str, **kw) -> int:
-    """Write, re-read and return the row count of what landed."""
-    write_dataset(df, path, **kw)
-    return df.sparkSession.read.parquet(path).count()
+    """Write, re-read, compare with what was sent and return the row count.
+
+    The rows sent are counted by an observation of the write itself, so the input is
+    not computed twice.  A retried task may be observed twice, so a difference is
+    checked by an exact count before it raises.
+    """
+    sent = Observation()
+    write_dataset(df.observe(sent, F.count(F.lit(1)).alias("rows")), path, **kw)
+    landed = df.sparkSession.read.parquet(path).count()
+    if landed != sent.get["rows"] and landed != (exact := df.count()):
+        raise ValueError(f"{path}: {exact} rows written, {landed} read back")
+    return landed
 
 
 def list_partitions(df: DataFrame, *cols: str) -> DataFrame:

@@ -1,19 +1,30 @@
 """Incremental ingest with Structured Streaming.
 
-The original re-runs whole scripts and skips what already exists by
-listing folders.  Here new observation files are picked up by a file
-stream with a checkpoint (restart-safe, exactly-once into the file sink),
-late re-deliveries are dropped with a watermark, and series are refreshed
-only for the (bbox, year) partitions a micro-batch touched.
+The original re-runs whole scripts and skips what already exists by listing
+folders.  Here new observation files are picked up by a file stream with a
+checkpoint.  Deliveries may come in any order and late by any time: what is
+already landed is found by an anti join against the partitions that a batch
+touches, not by a watermark, so back-fill of old years is never dropped.
+Series are refreshed only for the (bbox, year) partitions a batch touched.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cropcube import constants as K
+from cropcube.operators.observe import latest_per_key, quality_filter
 from cropcube.operators.series import build_series, encode_series
+from cropcube.sources.tables import read_dataset
+
+#: What makes two rows deliveries of one observation.
+OBSERVATION_KEY = ["bbox", "year", "pixel_id", "tile", "scene_date"]
+#: Partitions a batch may touch for its reads to name them all in a filter.
+NAMED_PARTITIONS = 1000
 
 
 def observation_stream(spark: SparkSession, source_dir: str, schema: StructType,
@@ -25,61 +36,87 @@ def observation_stream(spark: SparkSession, source_dir: str, schema: StructType,
     return reader.parquet(source_dir)
 
 
-def dedupe_stream(stream: DataFrame, keys: list[str], time_col: str = "scene_date",
-                  delay: str = "400 days") -> DataFrame:
-    """Drop re-deliveries of the same observation within the watermark.
+def touched_partitions(batch: DataFrame) -> Column | None:
+    """A filter naming the (bbox, year) of a batch, which prunes directories when read.
 
-    State is kept per key until the event-time watermark passes it, so the
-    state size is bounded by the delay, not by the history.
+    Areas x years bound their number; beyond 1,000 there is no filter, and reads scan
+    all partitions with the same result.
     """
-    return (stream.withColumn("_event_time", F.col(time_col).cast("timestamp"))
-            .withWatermark("_event_time", delay)
-            .dropDuplicatesWithinWatermark(keys)
-            .drop("_event_time"))
+    rows = batch.select("bbox", "year").distinct().limit(NAMED_PARTITIONS + 1).collect()
+    if not rows or len(rows) > NAMED_PARTITIONS:
+        return None
+    return reduce(lambda a, b: a | b, [(F.col("bbox") == r.bbox) & (F.col("year") == r.year) for r in rows])
 
 
-def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str,
-                     partition_by=("bbox", "year")) -> None:
-    """Process every file available now into a partitioned Parquet sink, then stop."""
-    q = (stream.writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint_dir)
-         .partitionBy(*partition_by)
-         .outputMode("append")
-         .trigger(availableNow=True)
-         .start(sink_dir))
-    q.awaitTermination()
+def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, where: Column | None = None,
+               key=tuple(OBSERVATION_KEY)) -> None:
+    """R01 + R02: append what a batch has that earlier epochs have not landed.
 
+    Of rows that share the key within a batch one stays (``latest_per_key`` over all
+    other columns).  A row that repeats a landed one in every column is dropped; one that
+    corrects it lands too, and :func:`landed` prefers the later epoch.  Rows go to
+    (bbox, year, epoch) with dynamic partition overwrite and the comparison leaves out
+    the own epoch, so a replayed epoch rewrites exactly its own files.
+    """
+    values = [c for c in batch.columns if c not in key]
+    new = latest_per_key(batch, list(key), values[:1], values[1:])
+    schema = StructType([*batch.schema.fields]).add("epoch", "long")
+    done = read_dataset(batch.sparkSession, sink_dir, schema=schema, where=where, missing_ok=True) \
+        .where(F.col("epoch") < epoch_id)
+    done = latest_per_key(done, list(key), ["epoch"]).drop("epoch")
+    same = [new[c].eqNullSafe(done[c]) if c in values else new[c] == done[c] for c in batch.columns]
+    new.join(done, same, "left_anti").withColumn("epoch", F.lit(int(epoch_id)).cast("long")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("bbox", "year", "epoch").parquet(sink_dir)
+
+
+def landed(spark: SparkSession, sink_dir: str, schema: StructType, where: Column | None = None,
+           key=tuple(OBSERVATION_KEY)) -> DataFrame:
+    """The observations landed so far, the latest epoch of each key."""
+    rows = read_dataset(spark, sink_dir, schema=StructType([*schema.fields]).add("epoch", "long"),
+                        where=where, missing_ok=True)
+    return latest_per_key(rows, list(key), ["epoch"]).select(*schema.fieldNames())
+
+
+def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str) -> None:
+    """Land every file available now, then stop."""
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        land_batch(batch, epoch_id, sink_dir, touched_partitions(batch))
+    _run(stream, run, checkpoint_dir)
 
-def refresh_series_batch(obs_root: str, series_dir: str, key=("bbox", "year", "pixel_id", "CDL")):
+
+def refresh_series_batch(obs_root: str, series_dir: str):
     """A ``foreachBatch`` function that lands a batch and refreshes its partitions.
 
-    The batch lands under (bbox, year, epoch) with dynamic partition
-    overwrite, so a replayed epoch rewrites exactly its own files
-    (idempotent).  The series of every touched (bbox, year) are then rebuilt
-    from the landed observations; the semi join on the partition columns
-    prunes the scan to the touched directories, and the result replaces
-    only those series partitions.
+    The series of every touched (bbox, year) are rebuilt from the landed observations as
+    a batch job builds them: latest processing of each scene, quality filter, series.  A
+    filter naming the partitions prunes the scan, and the result replaces only those
+    series partitions.  The batch is kept while it is used three times.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        (batch.withColumn("epoch", F.lit(int(epoch_id)))
-         .write.mode("overwrite").partitionBy("bbox", "year", "epoch").parquet(obs_root))
-        touched = batch.select("bbox", "year").distinct()  # bounded by areas x years
-        obs = spark.read.parquet(obs_root).drop("epoch")
-        obs = obs.join(F.broadcast(touched), ["bbox", "year"], "left_semi")
-        ser = encode_series(build_series(obs, key))
-        ser.write.mode("overwrite").partitionBy("bbox", "year").parquet(series_dir)
+        batch = batch.persist()
+        try:
+            where = touched_partitions(batch)
+            land_batch(batch, epoch_id, obs_root, where)
+            obs = landed(batch.sparkSession, obs_root, batch.schema, where)
+            obs = latest_per_key(obs, ["bbox", "year", "pixel_id", "CDL", "scene_date", "mgrs"],
+                                 ["seq", "scl", *K.BANDS])
+            obs = quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
+            encode_series(build_series(obs)).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy("bbox", "year").parquet(series_dir)
+        finally:
+            batch.unpersist()
     return run
 
 
 def refresh_series(stream: DataFrame, obs_root: str, series_dir: str, checkpoint_dir: str) -> None:
     """R03 driver: run the stream to completion with the refresh function."""
-    q = (stream.writeStream.foreachBatch(refresh_series_batch(obs_root, series_dir))
-         .option("checkpointLocation", checkpoint_dir)
-         .trigger(availableNow=True)
-         .start())
-    q.awaitTermination()
+    _run(stream, refresh_series_batch(obs_root, series_dir), checkpoint_dir)
+
+
+def _run(stream: DataFrame, each_batch, checkpoint_dir: str) -> None:
+    stream.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint_dir) \
+        .trigger(availableNow=True).start().awaitTermination()
 
 
 def window_counts(events: DataFrame, ts_col: str = "ts", by=("event_type",), width: str = "5 days",

@@ -51,11 +51,15 @@ def test_slots_invariants(spark, days, start):
 def test_samples_inside_grid_and_splits_disjoint(spark, sf_small):
     strips = FX.raster_strips(spark, sf_small)
     for stride in (1, 3, 15):
-        smp = R.grid_sample(strips, stride, start=F.col("year") % stride)
+        smp = R.grid_sample(strips, stride, start=R.seeded_start(F.col("raster_id"), stride))
         assert R.samples_outside_grid(strips, smp).count() == 0
     from cropcube.plans.catalog import series
-    parts = L.split_by_year(series(spark, sf_small), K.FIXTURE_SPLIT_YEARS)
-    assert L.leakage(parts).count() == 0
+    outside = smp.select("raster_id", "row", (F.col("col") + 1000).alias("col"), "code")
+    assert R.samples_outside_grid(strips, outside).count() == outside.count() > 0
+    keys = L.split_keys(series(spark, sf_small), K.FIXTURE_SPLIT_YEARS)
+    assert L.leakage(keys, ("pixel_id", "year")).count() == 0
+    planted = keys.where("split = 'train'").limit(1).withColumn("split", F.lit("test"))
+    assert [r.splits for r in L.leakage(keys.unionByName(planted), ("pixel_id", "year")).collect()] == [["test", "train"]]
 
 
 @settings(max_examples=3, deadline=None)
