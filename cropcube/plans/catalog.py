@@ -85,8 +85,8 @@ results AS (
   SELECT bbox, year, pixel_id, CDL AS raw_cdl, start_day, label AS true_label, prediction,
          start_day + {K.DAYS_IN_SERIES} AS prediction_day,
          CAST(make_date(year, 1, 1) + (start_day + {K.DAYS_IN_SERIES - 1}) AS DATE) AS prediction_date,
-         {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
-         {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy
+         {FX.PIXEL_X_SQL} AS gx,
+         {FX.PIXEL_Y_SQL} AS gy
   FROM preds),
 results_ll AS (
   SELECT * FROM {Q.albers_inverse('results', 'gx', 'gy')})"""
@@ -598,8 +598,8 @@ def j10_scl_names(spark, sf):
 attrs AS (
   SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
          mgrs || '_' || CAST(seq AS VARCHAR) AS tile,
-         {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
-         {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy,
+         {FX.PIXEL_X_SQL} AS gx,
+         {FX.PIXEL_Y_SQL} AS gy,
          CAST(-92.0 AS DOUBLE) + CAST(ascii(substr(mgrs, 1, 1)) % 3 AS DOUBLE) * CAST(0.8 AS DOUBLE) AS fmin_lon,
          CAST(34.0 AS DOUBLE) + CAST(ascii(substr(mgrs, 2, 1)) % 2 AS DOUBLE) * CAST(1.1 AS DOUBLE) AS fmin_lat
   FROM raw_obs),
@@ -628,8 +628,8 @@ _AF_Y0 = 4000020 - 20 * (ord("F") % 2)
 
 @query("t06_utm_cells", "T06 T05 T07", sql=Q.with_(Q.RAW_OBS) + f""",
 px AS (SELECT DISTINCT pixel_id FROM raw_obs),
-grid AS (SELECT pixel_id, {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
-                {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy FROM px),
+grid AS (SELECT pixel_id, {FX.PIXEL_X_SQL} AS gx,
+                {FX.PIXEL_Y_SQL} AS gy FROM px),
 ll AS (SELECT pixel_id, lon, lat FROM {Q.albers_inverse('grid', 'gx', 'gy')}),
 u AS (SELECT * FROM {Q.utm_forward('ll', 'lon', 'lat', FX.UTM_ZONE)})
 SELECT pixel_id, lon, lat, round(utm_x, 3) AS utm_x, round(utm_y, 3) AS utm_y,

@@ -115,7 +115,7 @@ def a16_normalised_distribution(spark, sf):
     f"avg(CAST({b} AS DOUBLE)) FILTER (WHERE {b} <> 0) AS m_{b}, stddev_pop(CAST({b} AS DOUBLE)) FILTER (WHERE {b} <> 0) AS s_{b}"
     for b in K.BANDS) + f""" FROM train_long WHERE year = {K.FIXTURE_SPLIT_YEARS['train']})
 SELECT bbox, year, pixel_id, slot, """ + ", ".join(
-    f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE (CAST({b} AS DOUBLE) - m_{b}) / s_{b} END, 4) AS z_{b}" for b in K.BANDS)
+    f"round(CASE WHEN {b} = 0 THEN 0.0 ELSE (CAST({b} AS DOUBLE) - m_{b}) / s_{b} END, 4) + 0.0 AS z_{b}" for b in K.BANDS)
     + " FROM train_long, fitted")
 def m06_fitted_features(spark, sf):
     """All examples normalised by what was fitted on the train year."""
@@ -152,8 +152,8 @@ _POINT = 17  # a pixel of the fixture grid, looked up by its coordinates
 
 
 @query("f05_point_by_lonlat", "F05", sql=Q.with_(Q.OBS) + f""",
-gridded AS (SELECT *, {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
-                   {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy FROM obs),
+gridded AS (SELECT *, {FX.PIXEL_X_SQL} AS gx,
+                   {FX.PIXEL_Y_SQL} AS gy FROM obs),
 located AS (SELECT * FROM {Q.albers_inverse('gridded', 'gx', 'gy')}),
 point AS (SELECT DISTINCT lon, lat FROM located WHERE pixel_id = {_POINT})
 SELECT pixel_id, scene_date, tile, lon, lat, {Q.NDVI100} AS ndvi100 FROM located SEMI JOIN point USING (lon, lat)""")
@@ -199,8 +199,8 @@ latest AS (
 wanted AS (SELECT * FROM latest WHERE usable > {float(K.USABLE_AREA_THRESHOLD)!r} AND month(scene_date) > 1),
 attrs AS (
   SELECT *, {Q.AOI_LIST}[CAST(pixel_id % 7 AS INTEGER) + 1] AS bbox, {Q.class_case('pixel_id % 12')} AS CDL,
-         {FX.GRID_X0} + {FX.CELL} * (pixel_id % {FX.GRID_WIDTH}) AS gx,
-         {FX.GRID_Y0} - {FX.CELL} * (pixel_id // {FX.GRID_WIDTH}) AS gy FROM raw_obs),
+         {FX.PIXEL_X_SQL} AS gx,
+         {FX.PIXEL_Y_SQL} AS gy FROM raw_obs),
 located AS (SELECT * FROM {Q.albers_inverse('attrs', 'gx', 'gy')})
 SELECT bbox, year, pixel_id, CDL, scene_date, mgrs || '_' || CAST(seq AS VARCHAR) AS tile, scl, {Q.BAND_LIST}
 FROM located JOIN wanted USING (mgrs, scene_date, seq)
@@ -223,6 +223,6 @@ def j04_scene_chain(spark, sf):
     ll = FX.pixel_lonlat("pixel_id")
     smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
     tiles = wanted.select("mgrs", "year", "min_lon", "min_lat", "max_lon", "max_lat").distinct()
-    obs = OB.observe_scenes(OB.sample_cells(smp, tiles, FX.scene_cell, cell_degrees=0.05), pixels)
+    obs = OB.observe_scenes(OB.sample_cells(smp, tiles, FX.scene_cell), pixels)
     obs = OB.quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
     return obs.select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)

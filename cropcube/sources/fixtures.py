@@ -25,7 +25,11 @@ FIXTURE_CLASSES = {
 }  # code 11 is missing on purpose: it maps to a null class
 NUM_FIXTURE_CODES = 12
 GRID_WIDTH = 40                 # observation pixels per grid row
-GRID_X0, GRID_Y0, CELL = 485550, 1405110, 30
+CELL = 30
+_LEFT, _TOP = ([int(b.split(",")[i]) for b in K.AOI_BBOXES] for i in (0, 3))
+# a pixel's own area (pixel_id % 7) and its place in that area's grid
+PIXEL_X_SQL = f"({_LEFT}[CAST(pixel_id % 7 AS INTEGER) + 1] + {CELL} * ((pixel_id // 7) % {GRID_WIDTH}))"
+PIXEL_Y_SQL = f"({_TOP}[CAST(pixel_id % 7 AS INTEGER) + 1] - {CELL} * ((pixel_id // 7) // {GRID_WIDTH}))"
 RASTER_WIDTH = 50               # label-raster cells per row
 RASTER_YEARS = [1998, 1999, 2000]
 BAND_MULTIPLIERS = [(7919 + 13 * i, 104729 + 29 * i, 31 + i) for i in range(12)]
@@ -54,11 +58,12 @@ def aoi_of(index) -> F.Column:
 
 
 def pixel_lonlat(pixel_id, digits: int = 6) -> F.Column:
-    """Observation pixel -> struct<lon, lat> (EPSG:5070 grid cell -> 4326)."""
+    """Observation pixel -> struct<lon, lat> (cell of its own area's EPSG:5070 grid -> 4326)."""
     pid = F.col(pixel_id) if isinstance(pixel_id, str) else pixel_id
-    row = F.floor(pid / GRID_WIDTH)
-    col = pid % GRID_WIDTH
-    return geo.albers_to_lonlat(F.lit(GRID_X0) + F.lit(CELL) * col, F.lit(GRID_Y0) - F.lit(CELL) * row, digits)
+    place = F.floor(pid / 7)
+    corner = [F.element_at(F.array(*[F.lit(v) for v in side]), (pid % 7 + 1).cast("int")) for side in (_LEFT, _TOP)]
+    return geo.albers_to_lonlat(corner[0] + F.lit(CELL) * (place % GRID_WIDTH),
+                                corner[1] - F.lit(CELL) * F.floor(place / GRID_WIDTH), digits)
 
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
