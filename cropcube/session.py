@@ -6,6 +6,7 @@ DataFrames.  ``get_session`` is for scripts, tests and the bench only.
 
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -29,20 +30,26 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("CROPCUBE_DRIVER_MEMORY", "6g"))
     )
-    if master.startswith("local"):  # one machine: any folder of it is shared
-        builder = builder.config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="cropcube-ckpt-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
 
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="cropcube-")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only queries that write need it, and they raise if the session names none: a folder
-    of one machine would be lost to the others.  The setting is read, never changed.
+    The setting is read, never changed.  Only queries that write need it.  Where it is
+    unset, a session in local mode (tests) writes to a folder of its own; on a cluster
+    the query raises, as a folder of one machine would be lost to the others.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and spark.sparkContext.master.split("[")[0] == "local":
+        named = _own_folder()
     if not named:
         raise RuntimeError("this query writes a table: start the session with spark.checkpoint.dir "
                            "set to a folder that the driver and all executors share")

@@ -60,14 +60,24 @@ def test_write_and_verify_counts(spark, tmp_path):
         write_and_verify(df.where("year = 1"), str(tmp_path / "c"))
 
 
-def test_reads_without_a_shared_folder(tmp_path):
-    """A session that names no checkpoint folder runs what writes nothing; what writes says why it can't."""
+def test_without_a_named_folder(tmp_path):
+    """A local session that names no checkpoint folder runs all queries, and its setting stays unset."""
+    import os
     code = ("import sys; sys.path.insert(0, '.'); from pyspark.sql import SparkSession\n"
             "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').getOrCreate()\n"
             "import __spark_entry__ as E\n"
-            "print('ROWS', E.entry(s).count(), E.queries()['f06_observations'](s, E.SMOKE_SF).count())\n"
-            "try:\n    E.queries()['r01_stream_ingest'](s, E.SMOKE_SF)\nexcept RuntimeError as e:\n    print('RAISED', e)\n")
-    import os
+            "print('ROWS', E.entry(s).count(), E.queries()['s09_parse_catalog'](s, E.SMOKE_SF).count(), "
+            "s.conf.get('spark.checkpoint.dir', None))\n")
     out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=600,
                          env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)}, cwd=os.path.dirname(os.path.dirname(__file__)))
-    assert "ROWS" in out.stdout and "RAISED" in out.stdout and "spark.checkpoint.dir" in out.stdout, out.stderr[-1500:]
+    assert "ROWS" in out.stdout and out.stdout.strip().endswith("None"), out.stderr[-1500:]
+
+
+def test_a_cluster_must_name_the_folder():
+    class Session:
+        conf = type("Conf", (), {"get": staticmethod(lambda key, default: default)})
+        sparkContext = type("Context", (), {"master": "spark://host:7077"})
+
+    from cropcube.session import checkpoint_dir
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_dir(Session)
