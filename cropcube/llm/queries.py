@@ -11,7 +11,34 @@ from cropcube.llm.registry import query
 from cropcube.llm.vectors import usable
 
 
-@query("op1_exact_top_k")
+TOP_K_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(CASE WHEN len(q.v) = 0 THEN 0 ELSE list_inner_product(q.v, c.v) END AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+
+SUBSTRING_SQL = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+places AS (SELECT doc_id, w, unnest(range(len(w) - 19)) AS p FROM d WHERE len(w) >= 20),
+windows AS (SELECT doc_id, p, array_to_string(w[p + 1:p + 20], ' ') AS k FROM places),
+late AS (
+  SELECT doc_id, p FROM windows QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS i FROM late),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, i)
+         GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op1_exact_top_k", TOP_K_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & usable("embedding"))
     whole = rows.select("vec_id", F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("double"))
@@ -56,7 +83,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(docs, model).select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
 
 
-@query("op9_substring_dedup")
+@query("op9_substring_dedup", SUBSTRING_SQL)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = anchors.dedup(table(spark, sf_dir, "documents"), window=20)
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
