@@ -24,8 +24,7 @@ IMAGE_TYPE = "struct<scene_date:date,tile:string,scl:int,bands:array<int>>"
 
 def image_struct(band_cols=K.BANDS) -> Column:
     """One image as struct<scene_date, tile, scl, bands array<int>>."""
-    return F.struct(F.col("scene_date"), F.col("tile"), F.col("scl"),
-                    F.array(*[F.col(b) for b in band_cols]).alias("bands"))
+    return F.expr(f"named_struct('scene_date', scene_date, 'tile', tile, 'scl', scl, 'bands', array({', '.join(band_cols)}))")
 
 
 def build_series(obs: DataFrame, key=SERIES_KEY) -> DataFrame:

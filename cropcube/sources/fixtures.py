@@ -74,18 +74,12 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
         "l_linestatus", "l_shipdate"])
-    ok, pk, ln = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    bands = [((ok * a + pk * b + ln * c) % 10000).cast("int").alias(name)
+    bands = [f"CAST((l_orderkey * {a}L + l_partkey * {b}L + l_linenumber * {c}L) % 10000 AS INT) AS {name}"
              for name, (a, b, c) in zip(K.BANDS, BAND_MULTIPLIERS)]
-    return li.select(
-        F.col("l_suppkey").alias("pixel_id"),
-        F.year("l_shipdate").cast("int").alias("year"),
-        F.col("l_shipdate").cast("date").alias("scene_date"),
-        F.concat("l_returnflag", "l_linestatus").alias("mgrs"),
-        ln.cast("int").alias("seq"),
-        ((ok + pk) % 12).cast("int").alias("scl"),
-        *bands,
-    )
+    return li.selectExpr(
+        "l_suppkey AS pixel_id", "CAST(year(l_shipdate) AS INT) AS year", "CAST(l_shipdate AS DATE) AS scene_date",
+        "concat(l_returnflag, l_linestatus) AS mgrs", "CAST(l_linenumber AS INT) AS seq",
+        "CAST((l_orderkey + l_partkey) % 12 AS INT) AS scl", *bands)
 
 
 def with_pixel_attributes(df: DataFrame) -> DataFrame:
