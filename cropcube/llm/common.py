@@ -23,10 +23,13 @@ _SCRATCH: list[str] = []
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder for a written table under ``spark.checkpoint.dir``.
 
-    The folder is the shared one that the cluster names.  Only a session that
-    names none (tests on one machine) gets a folder of its own.
+    The folder is the shared one that the cluster names.  Where it is unset, only a
+    session in local mode (tests) gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or _own_checkpoint_dir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or _own_checkpoint_dir()
     _SCRATCH.append(f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}")
     return _SCRATCH[-1]
 
@@ -36,6 +39,8 @@ def clean_scratch(spark: SparkSession) -> None:
 
     Results of this package read them, so call this once results have been saved.
     """
+    for row in spark.sql("SHOW TABLES LIKE 'llm_slices_*'").collect():
+        spark.sql(f"DROP TABLE IF EXISTS {row.tableName}")
     while _SCRATCH:
         _delete(spark, _SCRATCH.pop())
 

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from cropcube.llm.common import prefix_sums, span_hash, written
+from cropcube.llm.common import mix64, prefix_sums, span_hash, written
 from cropcube.llm.slicing import NAMED, OPEN, Slices, among, cells, named, ordered, repeated
 
 BLOCK_BYTES = 1 << 20
@@ -117,11 +117,20 @@ class Cells:
         self.outer = _pair(_pair(whole[s], whole[e - n], 4), shape, 5)
 
 
-def _blocks(texts: list[bytes], length: int):
-    """Blocks of bounded size.  A long document is cut by window starts, with margins around."""
+def _marks(docs: np.ndarray) -> np.ndarray:
+    """Hashes by which a slice tells its later passes which of its documents matter."""
+    return mix64(docs.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019))
+
+
+def _blocks(texts: list[bytes], length: int, told: np.ndarray | None = None):
+    """Blocks of bounded size, of all documents or of those that ``told`` marks.
+
+    A long document is cut by window starts, with margins around.
+    """
     pieces, size = [], 0
+    wanted = np.ones(len(texts), bool) if told is None else among(_marks(np.arange(len(texts))), told)
     for i, text in enumerate(texts):
-        if len(text) < length:
+        if len(text) < length or not wanted[i]:
             continue
         for at in range(0, len(text) - length + 1, BLOCK_BYTES):
             to = min(at + BLOCK_BYTES, len(text) - length + 1)
@@ -179,8 +188,10 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
             inner.append(c.inner)
             outer.append(c.outer)
         inner, outer = _once(doc, place, inner), _once(doc, place, outer)
+        marks = np.repeat(_marks(np.unique(np.concatenate([*doc, np.zeros(0, np.int64)]))), 2)  # twice: they come back
         # an outer string holds its inner one, so equal outer ones stand in one bucket
-        return named(number, outer, buckets, inner.view(np.int64), by_doc=True)
+        return named(number, np.concatenate([outer, marks]), buckets,
+                     np.concatenate([inner, marks]).view(np.int64), by_doc=True)
 
     def open_windows(b: Block, told: np.ndarray):
         """Cells, which of them are surely repeated, and windows (offset, identifier) of the open ones."""
@@ -194,7 +205,7 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
         return c, sure, at, _pair(c.half[at], c.half[at + length // 2], 3)
 
     def tell_windows(number, table, told):
-        found = [open_windows(b, told)[3] for b in _blocks(ordered(table)[1], length)] if len(told) else []
+        found = [open_windows(b, told)[3] for b in _blocks(ordered(table)[1], length, told)] if len(told) else []
         return named(number, np.concatenate([*found, np.zeros(0, np.uint64)]), buckets)
 
     def cut(number, table, told):
@@ -202,7 +213,7 @@ def dedup(docs: DataFrame, length: int = 400) -> DataFrame:
         size = np.array([len(t) for t in texts], np.int64)
         begin = np.cumsum(size) - size
         change = np.zeros(int(size.sum()) + 1, np.int32)
-        for b in _blocks(texts, length) if len(told) else ():
+        for b in _blocks(texts, length, told) if len(told) else ():
             c, sure, at, ids_at = open_windows(b, told)
             at = at[among(ids_at, told)]
             for first, last in ((c.first[sure], c.last[sure]), (at, at)):
