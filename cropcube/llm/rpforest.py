@@ -104,8 +104,10 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
     (its links and the smallest it connects to), never its pairs.
     """
     spark = vectors.sparkSession
+    kind = vectors.schema[vector].dataType.simpleString()
+    kind = kind if kind in ("array<float>", "array<double>") else "array<double>"  # floats travel as floats
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col(label).alias("label"),
-                          F.col(vector).cast("array<double>").alias("v")).where("vec_id is not null")
+                          F.col(vector).cast(kind).alias("v")).where("vec_id is not null")
     good = usable("v") & F.col("label").isNotNull() & F.coalesce(F.exists("v", lambda x: x != 0), F.lit(False))
     rows = rows.withColumn("good", F.coalesce(good, F.lit(False)))
     distinct = rows.where("good").groupBy("label", "v") \
@@ -139,7 +141,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
                      pa.array(np.full(len(x), d), pa.int32()), lists], ["id", "copies", "l", "v", "d", "leaves"])
 
     routed = written(distinct.mapInArrow(
-        route, "id long, copies long, l string, v array<double>, d int, leaves array<int>"), "routed-vectors")
+        route, f"id long, copies long, l string, v {kind}, d int, leaves array<int>"), "routed-vectors")
     met = routed.withColumn("leaf", F.explode("leaves"))
     large = met.groupBy("d", "leaf").count().where(F.col("count") > BLOCK) \
         .select("d", "leaf", F.ceil(F.col("count") / BLOCK).cast("int").alias("blocks"))
