@@ -73,7 +73,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     li = read_table(spark, sf_dir, "lineitem", [
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        "l_linestatus", "l_shipdate"])
+        "l_linestatus", "l_shipdate"], deal_by=["l_suppkey"])
     bands = [f"CAST((l_orderkey * {a}L + l_partkey * {b}L + l_linenumber * {c}L) % 10000 AS INT) AS {name}"
              for name, (a, b, c) in zip(K.BANDS, BAND_MULTIPLIERS)]
     return li.selectExpr(

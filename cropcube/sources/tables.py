@@ -22,10 +22,22 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """One table, the same plan at every size: named columns and no exchange of its own."""
+#: Session setting by which a caller deals what is read to so many partitions (unset: no exchange).
+READ_PARTITIONS = "cropcube.read.partitions"
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               deal_by: list[str] | None = None) -> DataFrame:
+    """One table with named columns, and no exchange of its own unless the caller asks.
+
+    A file of a single row group is read by one task.  A caller who has such files may set
+    ``cropcube.read.partitions``: rows are then dealt to that many partitions, by ``deal_by``
+    where given, whatever their number or size.  Nothing here looks at the input's size.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    wanted = spark.conf.get(READ_PARTITIONS, None)
+    return df.repartition(int(wanted), *(deal_by or [])) if wanted else df
 
 
 def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = None,
