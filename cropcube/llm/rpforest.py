@@ -1,9 +1,15 @@
 """Embedding near-duplicates with a forest of random-projection trees.
 
 Trees are fitted on a bounded sample: each node splits at the median of a random
-projection, and points close to the median go to both sides (spill).  Every vector
-is sent down every tree; vectors are compared within leaves, pairs are verified by
-cosine, and links are united to components.
+projection, and points close to the median go to both sides (spill).  Vectors are
+sent down every tree and compared within leaves, pairs are verified by cosine, and
+links are united to components.
+
+A split would cut through a dense group, so dense places of the sample get leaves of
+their own first: a leader, and all vectors within twice the threshold's angle of it.
+By the triangle inequality that leaf holds every link of a vector within the angle
+itself (the leader's core), so core vectors need no tree, and trees are fitted on the
+others.
 """
 
 from __future__ import annotations
@@ -76,14 +82,52 @@ class Tree:
         return np.concatenate(rows), np.concatenate(leaves)
 
 
-def plant(sample: np.ndarray, trees: int = TREES, seed: int = 7) -> list[Tree]:
-    out, first = [], 0
+def plant(sample: np.ndarray, trees: int = TREES, seed: int = 7, first: int = 0) -> list[Tree]:
+    out = []
     for t in range(trees):
         out.append(Tree(sample, seed * 1000 + t, first))
         first += out[-1].leaves
     return out
 
 
+def leaders(sample: np.ndarray, threshold: float) -> np.ndarray:
+    """Members of the sample whose cores cover all that have over half a leaf of it within the threshold."""
+    x = sample.astype(np.float32)
+    count = [(x[at:at + 512] @ x.T >= threshold).sum(axis=1) for at in range(0, len(x), 512)]
+    count = np.concatenate([*count, np.zeros(0, np.int64)])
+    todo, found = count > LEAF // 2, []
+    while todo.any():
+        found.append(int(np.where(todo, count, 0).argmax()))
+        todo &= sample @ sample[found[-1]] < threshold
+        todo[found[-1]] = False
+    return sample[found]
+
+
+class Forest:
+    """Leaves of the leaders, numbered from 0, and trees over what is in no core."""
+
+    def __init__(self, sample: np.ndarray, threshold: float):
+        self.threshold = threshold
+        self.reach = 2 * threshold ** 2 - 1 - 1e-9 if threshold > 0 else -2.0  # cosine of twice the angle
+        self.leaders = leaders(sample, threshold)
+        free = np.ones(len(sample), bool) if not len(self.leaders) else \
+            np.concatenate([(sample[at:at + 1024] @ self.leaders.T).max(axis=1) < threshold
+                            for at in range(0, len(sample), 1024)])
+        self.trees = plant(sample[free], first=len(self.leaders))
+
+    def leaves_of(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(row, leaf) of all leaves that the rows reach."""
+        found, free = [], np.ones(len(x), bool)
+        for at in range(0, len(x) if len(self.leaders) else 0, 1024):
+            near = x[at:at + 1024] @ self.leaders.T
+            row, leaf = np.nonzero(near >= self.reach)
+            found.append((at + row, leaf))
+            free[at:at + 1024] = near.max(axis=1) < self.threshold
+        who = np.flatnonzero(free)
+        found += [(who[row], leaf) for row, leaf in (t.leaves_of(x[who]) for t in self.trees if len(who))]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def _first_common(leaf: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether ``leaf`` is the first leaf that the rows of a and b share; rows are padded with -1 and -2."""
     share = (a[:, :, None] == b[:, None, :]).any(axis=2)
@@ -95,7 +139,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
     """vec_id, n_links and component_id (smallest vec_id reachable) of every vector.
 
     Links join vectors of equal, non-null label and equal length with a cosine of at
-    least ``threshold`` that meet in a leaf; pairs of equal vectors always do.  A null or
+    least ``threshold`` that meet in a leaf; pairs of equal vectors always do, and so does
+    every pair with a member in a leader's core (groups of many slightly different copies,
+    see above).  A null or
     zero vector, or one with a null or non-finite component, links with nothing.  Rows
     without vec_id are left out; rows that repeat a vec_id and its vector count once in
     others' links.  Equal vectors are compared once: the leaf stage holds each distinct
@@ -121,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
         got = distinct.where(F.size("v") == d).orderBy(F.xxhash64("id"), "id").limit(SAMPLE // len(dims)) \
             .select("v").toArrow().column("v").combine_chunks()
         x = list_matrix(got, d)
-        forests[d] = plant(x / np.linalg.norm(x, axis=1, keepdims=True)) if len(x) else []
+        forests[d] = Forest(x / np.linalg.norm(x, axis=1, keepdims=True), threshold)
     sent = spark.sparkContext.broadcast(forests)
 
     def route(batches):
@@ -131,9 +177,9 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
                 part = batch.filter(pa.array(length == d))
                 x = list_matrix(part.column("v"), d)
                 x = x / np.linalg.norm(x, axis=1, keepdims=True)
-                found = [t.leaves_of(x) for t in sent.value.get(d, [])] or [(np.arange(len(x)), np.zeros(len(x), int))]
-                row = np.concatenate([f[0] for f in found])
-                leaf = np.concatenate([f[1] for f in found])[np.argsort(row, kind="stable")]
+                forest = sent.value.get(d)
+                row, leaf = forest.leaves_of(x) if forest else (np.arange(len(x)), np.zeros(len(x), int))
+                leaf = leaf[np.argsort(row, kind="stable")]
                 off = np.append(0, np.cumsum(np.bincount(row, minlength=len(x))))
                 lists = pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(leaf, pa.int32()))
                 yield pa.RecordBatch.from_arrays(

@@ -86,6 +86,25 @@ def test_forest(spark, vectors, monkeypatch, block):
     assert rpforest.near_duplicates(spark.createDataFrame([], VECTORS)).collect() == []
 
 
+def test_forest_keeps_dense_groups_whole(spark, monkeypatch):
+    """A third of all vectors differ slightly from each other, more of them than a leaf or the sample holds."""
+    monkeypatch.setattr(rpforest, "SAMPLE", 800)
+    monkeypatch.setattr(rpforest, "LEAF", 32)
+    rng = np.random.default_rng(5)
+    v = rng.standard_normal((2400, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    group = np.arange(2400) % 3 == 1
+    v[group] = v[0] + 0.1 * v[group]
+    rows = [(i, [float(np.float32(x)) for x in w], 1, 0, 0) for i, w in enumerate(v)]
+    got = {r.vec_id: r for r in rpforest.near_duplicates(spark.createDataFrame(rows, VECTORS)).collect()}
+    w = np.array([r[1] for r in rows])
+    w /= np.linalg.norm(w, axis=1, keepdims=True)
+    near = (w @ w.T >= 0.93).sum(axis=1) - 1
+    assert (near[group] >= 799).all()
+    assert [got[i].n_links for i in np.flatnonzero(group)] == near[group].tolist()
+    assert {got[i].component_id for i in np.flatnonzero(group)} == {0}
+
+
 def test_quality(spark):
     rng = random.Random(2)
     rows, labels = [], []
