@@ -23,30 +23,60 @@ import string
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cropcube.llm.license_texts import TEXTS
+
 SHINGLE, CONTAINMENT, BANDS = 5, 0.8, 48
 
-# Notices by which texts state their licence.
-TEMPLATES = [
+def _header(name: str, version: str, mark: str = ":", comma: str = ",") -> str:
+    return (f"This program is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {name} "
+            f"as published by the Free Software Foundation{comma} either version {version} of the License, or (at your "
+            "option) any later version.")
+
+
+_GPL, _LGPL, _AGPL = "General Public License", "Lesser General Public License", "Affero General Public License"
+_CC = {"by": "Attribution", "by-sa": "Attribution-ShareAlike", "by-nc": "Attribution-NonCommercial",
+       "by-nc-sa": "Attribution-NonCommercial-ShareAlike", "by-nd": "Attribution-NoDerivatives",
+       "by-nc-nd": "Attribution-NonCommercial-NoDerivatives"}
+
+# Whole texts, the standard headers, the openings that relatives share, and
+# notices by which texts state their licence.
+TEMPLATES = TEXTS + [
     ("mit-notice", "Released under the MIT License."),
-    ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
-            "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
-            "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
-            "copies of the Software, and to permit persons to whom the Software is furnished to do so"),
+    ("mit-family-opening",
+     "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
+     "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
+     "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
+     "copies of the Software, and to permit persons to whom the Software is furnished to do so"),
     ("apache-2.0-notice", "Licensed under the Apache License, Version 2.0."),
-    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
-                   "compliance with the License. You may obtain a copy of the License at"),
-    ("gpl-3.0-notice", "This work is licensed under the GNU General Public License, version 3."),
-    ("gpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-                "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-                "option) any later version."),
-    ("cc-by-nc-4.0-notice", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
-    ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
-            "the following conditions are met"),
-    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
-    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
-            "hereby granted"),
-    ("unlicense", "This is free and unencumbered software released into the public domain."),
+    ("apache-2.0-header",
+     "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
+     "compliance with the License. You may obtain a copy of the License at"),
+    *[(f"{i}-{v}-notice", f"This work is licensed under the GNU {n}, version {v.removesuffix('.0')}.")
+      for i, n, v in (("gpl", _GPL, "2.0"), ("gpl", _GPL, "3.0"), ("lgpl", _LGPL, "2.1"), ("lgpl", _LGPL, "3.0"),
+                      ("agpl", _AGPL, "3.0"))],
+    ("gpl-2.0-or-later-header", _header(_GPL, "2", ";", ";")),
+    ("gpl-3.0-or-later-header", _header(_GPL, "3")),
+    ("lgpl-2.1-or-later-header",
+     _header(_LGPL, "2.1", ";", ";").replace("This program", "This library")),
+    ("lgpl-3.0-or-later-header", _header(_LGPL, "3")),
+    ("agpl-3.0-or-later-header", _header(_AGPL, "3")),
+    ("agpl-3.0-section-13",  # what sets the whole text apart from that of gpl-3.0
+     "Notwithstanding any other provision of this License, if you modify the Program, your modified version must "
+     "prominently offer all users interacting with it remotely through a computer network (if your version supports "
+     "such interaction) an opportunity to receive the Corresponding Source of your version by providing access to the "
+     "Corresponding Source from a network server at no charge, through some standard or customary means of "
+     "facilitating copying of software."),
+    *[(f"cc-{k}-4.0-notice", f"Licensed under CC {k.upper()} 4.0.") for k in _CC],
+    *[(f"cc-{k}-4.0", f"This work is licensed under a Creative Commons {n} 4.0 International License.")
+      for k, n in _CC.items()],
+    ("bsd-family-opening",
+     "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+     "the following conditions are met"),
+    ("mpl-2.0-header", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("isc-family-opening",
+     "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+     "hereby granted"),
+    ("unlicense-opening", "This is free and unencumbered software released into the public domain."),
 ]
 
 
@@ -96,7 +126,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT)
     """doc_id, license, containment (largest over windows) and first_word for each licence found.
 
     ``first_word`` is where the first window with that containment starts, counted in
-    words.  A null, empty or wordless text has no licence; rows that repeat a doc_id are
+    words.  Near relatives are reported too, each with its own containment: the text of
+    one has 1.0 of that one and less of the others.  A null, empty or wordless text has no licence; rows that repeat a doc_id are
     scanned each and share one result row for each licence; a null doc_id is kept as one.
     Other columns are not read; an empty table gives an empty result.  The driver reads
     only the templates' signatures, whose number the template list bounds.
@@ -122,9 +153,10 @@ def scan(docs: DataFrame, templates=TEMPLATES, containment: float = CONTAINMENT)
 
     met = docs.select("doc_id", F.inline(let(shingles(F.col("text").cast("string")), windows)))
     bands = met.select("doc_id", "c", "first_word", "has", F.posexplode(signature(F.col("has"))).alias("band", "value"))
-    wanted = known.select("c", "license", "own", F.posexplode("sig").alias("band", "value"))
+    wanted = known.select("c", "license", F.posexplode("sig").alias("band", "value"))
+    whole = known.select("license", "own")  # once a template, not once a band
     share = F.size(F.array_intersect("has", "own")) / F.size("own")
-    found = bands.join(F.broadcast(wanted), ["c", "band", "value"]) \
+    found = bands.join(F.broadcast(wanted), ["c", "band", "value"]).join(F.broadcast(whole), "license") \
         .select("doc_id", "license", "first_word", share.alias("containment")).where(F.col("containment") >= containment)
     return found.groupBy("doc_id", "license").agg(
         F.max("containment").alias("containment"), F.max_by("first_word", F.struct("containment", -F.col("first_word")))

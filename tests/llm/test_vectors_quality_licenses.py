@@ -165,6 +165,25 @@ def test_licenses_equal_exact_containment(spark, tmp_path):
     assert licenses.scan(docs.limit(0)).collect() == []
 
 
+def test_license_relatives_are_told_apart(spark, make_docs):
+    """Each text is found whole under its own name, and no relative of it is whole too."""
+    texts = dict(licenses.TEMPLATES)
+    names = ["mit", "mit-0", "bsd-2-clause", "bsd-3-clause", "isc", "0bsd", "gpl-2.0-notice", "gpl-3.0-notice",
+             "lgpl-3.0-notice", "agpl-3.0-notice", "gpl-2.0-or-later-header", "gpl-3.0-or-later-header",
+             "lgpl-2.1-or-later-header", "lgpl-3.0-or-later-header", "agpl-3.0-or-later-header", "gpl-2.0", "gpl-3.0",
+             "lgpl-2.1", "lgpl-3.0", "cc-by-4.0", "cc-by-nc-sa-4.0"]
+    assert set(names) <= set(texts)
+    found = {i: {} for i in range(len(names))}
+    for r in licenses.scan(make_docs([(i, "some words before " + texts[n] + " and after") for i, n in enumerate(names)])) \
+            .collect():
+        found[r.doc_id][r.license] = r.containment
+    parts = ("-opening", "-header", "-notice")
+    for i, n in enumerate(names):
+        others = {k for k, v in found[i].items() if v == 1 and k != n}
+        assert found[i][n] == 1 and all(k.endswith("-opening" if n.endswith(parts) else parts) for k in others), (n, found[i])
+    assert found[names.index("agpl-3.0-or-later-header")]["gpl-3.0-or-later-header"] < 0.9
+
+
 def test_license_band_settings():
     """For every size of template, the chance to escape all bands is under one in a million."""
     for n in range(1, 200):
