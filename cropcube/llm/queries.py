@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cropcube.llm import anchors, bpe_codec, licenses, packing, quality, rpforest, simhash, suffixes, token_counts, topk
+from cropcube.llm import (anchors, bpe_codec, decontam, divergence, licenses, lloyd, packing, quality, rpforest, simhash, suffixes,
+                          token_counts, topk)
 from cropcube.llm.common import table
 from cropcube.llm.registry import query
 from cropcube.llm.vectors import usable
@@ -98,3 +99,24 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_license_scan", licenses.oracle())
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op11_vector_code_compression", lloyd.oracle())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lloyd.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    code = F.concat_ws("", F.transform("code", lambda x: F.lower(F.lpad(F.hex(x), 2, "0"))))
+    return found.rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(found.digest()).alias("codebooks_sha256"))
+
+
+@query("op12_benchmark_decontamination", decontam.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"),
+                        (F.size("spans") > 0).alias("contaminated"))
+
+
+@query("op13_source_divergence_audit", divergence.oracle())
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=30, smoothing=5, top=50)
