@@ -211,6 +211,43 @@ def boxes_intersect(a_min_x, a_min_y, a_max_x, a_max_y, b_min_x, b_min_y, b_max_
             & (_c(a_min_y) <= _c(b_max_y)) & (_c(b_min_y) <= _c(a_max_y)))
 
 
+def bbox_corners(bbox_struct) -> Column:
+    """An EPSG:5070 box as the ring of its four corners in lon/lat: array<struct<x,y>>, no corner twice."""
+    b = _c(bbox_struct)
+
+    def point(x, y):
+        return let(albers_to_lonlat(x, y), lambda p: record(x=p["lon"], y=p["lat"]))
+    return F.array(point(b["left"], b["bottom"]), point(b["right"], b["bottom"]), point(b["right"], b["top"]), point(b["left"], b["top"]))
+
+
+def ring_bounds(ring) -> Column:
+    """Bounds of a ring: struct<min_x, min_y, max_x, max_y>."""
+    def bounds(r):
+        xs, ys = F.transform(r, lambda p: p["x"]), F.transform(r, lambda p: p["y"])
+        return record(min_x=F.array_min(xs), min_y=F.array_min(ys), max_x=F.array_max(xs), max_y=F.array_max(ys))
+    return let(_c(ring), bounds)
+
+
+def convex_intersect(a, b) -> Column:
+    """Whether two closed convex rings (corners in order, either way round) share a point.
+
+    Separating axes: they are apart exactly if, along the normal of some edge of either, all
+    of one lies before all of the other.
+    """
+    def edges(r):
+        return F.transform(r, lambda p, i: let(F.get(r, F.pmod(i + 1, F.size(r))), lambda q: record(x=p["y"] - q["y"], y=q["x"] - p["x"])))
+
+    def met(r):
+        def reach(ring, axis):
+            return F.transform(ring, lambda p: p["x"] * axis["x"] + p["y"] * axis["y"])
+
+        def overlap(axis):
+            return let(record(a=reach(r["a"], axis), b=reach(r["b"], axis)), lambda v: (
+                (F.array_min(v["a"]) <= F.array_max(v["b"])) & (F.array_min(v["b"]) <= F.array_max(v["a"]))))
+        return F.forall(F.concat(edges(r["a"]), edges(r["b"])), overlap)
+    return let(record(a=_c(a), b=_c(b)), met)
+
+
 def bounds_text(min_x, min_y, max_x, max_y) -> Column:
     """Integer-truncated "left, bottom, right, top" text of a box."""
     return F.concat_ws(", ", *[_c(v).cast("bigint").cast("string") for v in (min_x, min_y, max_x, max_y)])

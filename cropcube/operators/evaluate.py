@@ -8,7 +8,7 @@ Spark ML models plug into the same chain through ``models.score``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
@@ -54,27 +54,17 @@ def confusion_matrix(results: DataFrame, normalize: str = "pred", true: str = "t
                      pred: str = "prediction", n_classes: int = K.NUM_CLASSES) -> DataFrame:
     """Full n x n matrix; each predicted column sums to 1 when normalize='pred'.
 
-    One aggregate pass: n x n conditional counts in a single row (partial
-    counts per task, one row shuffled), then exploded to long form with the
-    column (or row, or grand) totals taken from the same row.  Absent pairs
-    show 0, an empty predicted column gives a null share.
+    One aggregation by (true, predicted), combined in tasks; its few counts become one
+    map, from which the grid is filled.  Absent pairs show 0, an empty predicted column gives
+    a null share.
     """
-    cells = [(t, p) for t in range(n_classes) for p in range(n_classes)]
-    tc, pc = F.col(true), F.col(pred)
-    wide = results.agg(*[F.count(F.when((tc == t) & (pc == p), 1)).alias(f"c_{t}_{p}") for t, p in cells])
-
-    def denom(t, p):
-        if normalize == "pred":
-            terms = [F.col(f"c_{u}_{p}") for u in range(n_classes)]
-        elif normalize == "true":
-            terms = [F.col(f"c_{t}_{q}") for q in range(n_classes)]
-        else:
-            terms = [F.col(f"c_{u}_{q}") for u, q in cells]
-        return sum(terms[1:], terms[0])
-
-    long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(t).alias("true_label"), F.lit(p).alias("predicted"),
-                 F.col(f"c_{t}_{p}").alias("count"), denom(t, p).alias("total"))
-        for t, p in cells])).alias("c")).select("c.*")
-    return long.select("true_label", "predicted", "count",
-                       F.round(F.try_divide(F.col("count").cast("double"), F.col("total").cast("double")), 6).alias("share"))
+    at = (F.col(true) * F.lit(n_classes) + F.col(pred)).cast("int")
+    known = F.col(true).between(0, n_classes - 1) & F.col(pred).between(0, n_classes - 1)
+    counts = results.where(known).groupBy(at.alias("at")).agg(F.count("*").alias("n")) \
+        .agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("counts"))
+    cells = counts.select("counts", F.explode(F.sequence(F.lit(0), F.lit(n_classes * n_classes - 1))).alias("at")).select(
+        F.floor(F.col("at") / n_classes).cast("int").alias("true_label"), (F.col("at") % n_classes).alias("predicted"),
+        F.coalesce(F.try_element_at("counts", F.col("at")), F.lit(0).cast("long")).alias("count"))
+    total = F.sum("count").over(Window.partitionBy(*{"pred": ["predicted"], "true": ["true_label"]}.get(normalize, [])))
+    return cells.select("true_label", "predicted", "count",
+                        F.round(F.try_divide(F.col("count").cast("double"), total.cast("double")), 6).alias("share"))

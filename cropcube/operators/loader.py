@@ -196,8 +196,3 @@ def leakage(keys: DataFrame, key=("pixel_id",)) -> DataFrame:
     ``keys`` has ``split`` and the key columns; one aggregation, at most one entry a split.
     """
     return keys.groupBy(*key).agg(F.sort_array(F.collect_set("split")).alias("splits")).where(F.size("splits") > 1)
-
-
-def shuffled(examples: DataFrame, seed: int = 0, key=("pixel_id", "year")) -> DataFrame:
-    """Seeded global shuffle of examples (sort by a hash of the key)."""
-    return examples.orderBy(F.xxhash64(F.lit(seed), *[F.col(k) for k in key]), *key)

@@ -9,17 +9,21 @@ plain ``transform``, so the 15-day sweep is scored in one job.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.ml import Model
 from pyspark.ml.classification import (LogisticRegression, LogisticRegressionModel,
                                        MultilayerPerceptronClassificationModel,
                                        MultilayerPerceptronClassifier)
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
 from cropcube.operators.evaluate import accuracy
 from cropcube.operators.loader import features
+from cropcube.session import materialize
 
 N_FEATURES = K.MAX_IMAGES_PER_SERIES * len(K.BANDS)  # 300
 
@@ -66,6 +70,54 @@ def score(model: Model, frame: DataFrame) -> DataFrame:
         "true_label", F.col("label").cast("int"))
 
 
+METRICS = ("round int, train_rows long, train_loss double, train_accuracy double, "
+           "validation_rows long, validation_loss double, validation_accuracy double")
+
+
+@dataclass
+class Rounds:
+    """What :func:`train_rounds` returns: the last model, the one of least validation loss, a metric row a round."""
+
+    last: Model
+    best: Model
+    metrics: list[tuple]
+
+
+def loss_of(model: Model, frame: DataFrame) -> tuple[int, float | None, float | None]:
+    """Rows, mean cross-entropy and accuracy of a model on a frame, in one aggregation."""
+    p = F.get(vector_to_array("probability"), F.col("label").cast("int"))
+    hit = (F.col("prediction") == F.col("label")).cast("double")
+    r = model.transform(frame).agg(F.count("*").alias("n"), F.avg(-F.log(F.greatest(p, F.lit(1e-7)))).alias("loss"),
+                                   F.avg(hit).alias("accuracy")).first()
+    return r.n, r.loss, r.accuracy
+
+
+def train_rounds(train_of: Callable[[int], DataFrame], validation: DataFrame, rounds: int = 40, iterations: int = 5,
+                 hidden: int = 50, seed: int = 7, patience: int | None = None) -> Rounds:
+    """The feed-forward classifier in rounds, each from the weights of the one before, validated after each.
+
+    ``train_of(epoch)`` gives the frame of a round: windows and images are drawn anew each
+    time.  It is written to the shared folder, since a fit reads it many times.  ``patience``:
+    training ends when the validation loss has not fallen for so many rounds (None: never).
+    """
+    model = best = None
+    least, best_round, metrics = float("inf"), 0, []
+    for r in range(rounds):
+        frame = materialize(train_of(r), f"round-{r}")
+        mlp = MultilayerPerceptronClassifier(layers=[N_FEATURES, hidden, K.NUM_CLASSES], maxIter=iterations, seed=seed,
+                                             featuresCol="features", labelCol="label")
+        if model is not None:
+            mlp.setInitialWeights(model.weights)
+        model = mlp.fit(frame)
+        metrics.append((r, *loss_of(model, frame), *loss_of(model, validation)))
+        loss = metrics[-1][5]
+        if best is None or (loss is not None and loss < least):
+            least, best, best_round = least if loss is None else loss, model, r
+        if patience is not None and r - best_round >= patience:
+            break
+    return Rounds(model, best, metrics)
+
+
 def save(model: Model, path: str) -> str:
     """Persist a fitted model (overwrites)."""
     model.write().overwrite().save(path)

@@ -27,8 +27,3 @@ def batches(df: DataFrame, batch_size: int = K.BATCH_SIZE) -> DataFrame:
     at = F.monotonically_increasing_id()
     return df.withColumn("partition", F.shiftright(at, 33)) \
         .withColumn("batch", F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(batch_size)))
-
-
-def write_shards(df: DataFrame, path: str, rows_per_file: int = K.BATCH_SIZE) -> None:
-    """S15 (file form): training shards of at most ``rows_per_file`` rows each."""
-    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)

@@ -137,6 +137,30 @@ def search(scenes: DataFrame, aois: DataFrame, collection: str | None = "sentine
     return j.where(ok).drop("_cx", "_cy")
 
 
+def search_footprints(scenes: DataFrame, aois: DataFrame, collection: str | None = "sentinel-2-l2a",
+                      cell_degrees: float = 1.0) -> DataFrame:
+    """J05 on real footprints: scenes of an area's year whose quadrilateral meets the area's.
+
+    Both sides have a convex ring of corners (``footprint`` and ``area``, array<struct<x,y>>).
+    Their boxes meet by the equi-join of :func:`search`, which gives each pair once; the
+    separating-axis test then decides on the rings themselves.
+    """
+    f, a = geo.ring_bounds("footprint"), geo.ring_bounds("area")
+    boxed = scenes.withColumn("_f", f).withColumns({n: F.col(f"_f.{m}") for n, m in _BOX.items()}).drop("_f")
+    areas = aois.withColumn("_a", a).withColumns({f"a_{n}": F.col(f"_a.{m}") for n, m in _BOX.items()}).drop("_a")
+    near = search(boxed, areas, collection, cell_degrees)
+    return near.where(geo.convex_intersect("footprint", "area")).drop(*_BOX, *[f"a_{n}" for n in _BOX])
+
+
+_BOX = {"min_lon": "min_x", "min_lat": "min_y", "max_lon": "max_x", "max_lat": "max_y"}
+
+
+def aoi_rings(spark, bboxes=tuple(K.AOI_BBOXES), years=tuple(K.AOI_YEARS)) -> DataFrame:
+    """J02 + T01: areas x years with the ring of the area's reprojected corners."""
+    df = spark.createDataFrame([(b,) for b in bboxes], "bbox STRING").withColumn("area", geo.bbox_corners(geo.parse_bbox(F.col("bbox"))))
+    return df.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years])))
+
+
 def existing_dates(obs: DataFrame, keys=("bbox", "year", "tile")) -> DataFrame:
     """Dates already written per (bbox, year, tile), sorted."""
     return obs.groupBy(*keys).agg(F.sort_array(F.collect_set("scene_date")).alias("dates"))

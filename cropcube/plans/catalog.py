@@ -16,6 +16,7 @@ from cropcube.functions import codec, geo
 from cropcube.functions.draws import draw_sql
 from cropcube.functions.indices import ndvi, ndvi_percent
 from cropcube.functions.labels import legend_name, scl_name
+from cropcube.operators import blocks as BL
 from cropcube.operators import evaluate as EV
 from cropcube.operators import loader as L
 from cropcube.operators import observe as OB
@@ -506,6 +507,36 @@ def j05_scene_search(spark, sf):
     return hits.select("bbox", "year", "scene_id")
 
 
+def _meets(a: str, b: str) -> str:
+    """Separating axes in SQL over two rings (lists of x, y)."""
+    def axes(r):
+        return f"list_transform(range(1, 5), lambda i: {{'x': {r}[i].y - {r}[i % 4 + 1].y, 'y': {r}[i % 4 + 1].x - {r}[i].x}})"
+    reach = lambda r: f"list_transform({r}, lambda p: p.x * n.x + p.y * n.y)"
+    apart = f"list_min({reach(a)}) > list_max({reach(b)}) OR list_min({reach(b)}) > list_max({reach(a)})"
+    return f"len(list_filter(list_concat({axes(a)}, {axes(b)}), lambda n: {apart})) = 0"
+
+
+_POINTS = [("min_lon + t", "min_lat"), ("max_lon", "min_lat + t"), ("max_lon - t", "max_lat"), ("min_lon", "max_lat - t")]
+
+
+@query("j05_footprint_search", "J05 F12 J02 T01", sql=Q.with_(Q.SCENES) + ",\n" + _AOI_ENV_SQL.replace(
+    "SELECT bbox, l AS cx, b AS cy FROM", "SELECT bbox, 0 AS k, l AS cx, b AS cy FROM").replace(
+    "SELECT bbox, r, b FROM", "SELECT bbox, 1, r, b FROM").replace("SELECT bbox, r, t FROM", "SELECT bbox, 2, r, t FROM").replace(
+    "SELECT bbox, l, t FROM", "SELECT bbox, 3, l, t FROM") + """,
+areas AS (
+  SELECT bbox, y.year, list({'x': lon, 'y': lat} ORDER BY k) AS area FROM corner_ll
+  CROSS JOIN (VALUES """ + ", ".join(f"({y})" for y in FX.RASTER_YEARS) + """) AS y(year) GROUP BY bbox, y.year),
+turned AS (SELECT *, CAST(0.1 AS DOUBLE) + CAST(0.1 AS DOUBLE) * CAST(CAST(split_part(scene_id, '_', -2) AS INTEGER) % 4 AS DOUBLE) AS t FROM scenes_full),
+rings AS (SELECT scene_id, collection, CAST(substr(datetime, 1, 4) AS INTEGER) AS year, [""" + ", ".join(
+    f"{{'x': {x}, 'y': {y}}}" for x, y in _POINTS) + """] AS footprint FROM turned)
+SELECT bbox, year, scene_id FROM rings JOIN areas USING (year)
+WHERE collection = 'sentinel-2-l2a' AND """ + _meets("footprint", "area"))
+def j05_footprint_search(spark, sf):
+    """Scenes of three years whose turned footprint meets an area, by separating axes."""
+    hits = SC.search_footprints(FX.scene_footprints(spark, sf), SC.aoi_rings(spark, years=FX.RASTER_YEARS))
+    return hits.select("bbox", "year", "scene_id")
+
+
 @query("j03_skip_existing", "J03 A07 A18 U01 U04 D15", sql=Q.with_(Q.OBS) + """,
 cand AS (SELECT DISTINCT bbox, year, tile, scene_date FROM obs),
 done AS (SELECT DISTINCT bbox, year, tile, scene_date FROM obs WHERE month(scene_date) <= 6),
@@ -609,6 +640,7 @@ FROM located
 WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL
   AND lon >= fmin_lon AND lon <= fmin_lon + CAST(1.2 AS DOUBLE) AND lat >= fmin_lat AND lat <= fmin_lat + CAST(1.2 AS DOUBLE)""")
 def j04_observe_scenes(spark, sf):
+    """Samples of all scenes, from stored blocks of cells."""
     smp = FX.samples_from_observations(spark, sf)
     ll = FX.pixel_lonlat(F.col("pixel_id"))
     smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
@@ -617,7 +649,7 @@ def j04_observe_scenes(spark, sf):
         F.element_at(F.split("scene_id", "_"), 2).alias("mgrs"),
         "min_lon", "min_lat", "max_lon", "max_lat").distinct()
     cells = OB.sample_cells(smp, tiles, FX.scene_cell)
-    obs = OB.observe_scenes(cells, FX.scene_pixels(spark, sf))
+    obs = BL.observe_blocks(cells, BL.write_blocks(FX.scene_blocks(spark, sf)))
     obs = OB.quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
     return obs.select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
 

@@ -6,20 +6,23 @@ from pyspark.sql import functions as F
 
 from cropcube import constants as K
 from cropcube.functions.indices import ndvi_percent
+from cropcube.operators import blocks as BL
 from cropcube.operators import loader as L
 from cropcube.operators import models as M
 from cropcube.operators import observe as OB
 from cropcube.operators import raster as R
 from cropcube.operators import scenes as SC
 from cropcube.operators import series as S
+from cropcube.operators import sketches as SK
 from cropcube.operators import stats as ST
 from cropcube.plans import catalog as C
 from cropcube.plans import sql as Q
 from cropcube.plans.registry import query
 from cropcube.schemas import SERIES_ENCODED
-from cropcube.session import shared_path
+from cropcube.session import materialize, shared_path
 from cropcube.sources import fixtures as FX
-from cropcube.sources.tables import list_partitions, read_dataset, read_table, write_and_verify
+from cropcube.sources import listing as LI
+from cropcube.sources.tables import read_dataset, read_table, write_and_verify
 
 _KEY = Q.SERIES_KEY
 _MATRIX = [*K.BANDS, "ndvi", "scl", "day"]
@@ -119,7 +122,7 @@ SELECT bbox, year, pixel_id, slot, """ + ", ".join(
     + " FROM train_long, fitted")
 def m06_fitted_features(spark, sf):
     """All examples normalised by what was fitted on the train year."""
-    ex = C.train_examples(spark, sf)
+    ex = materialize(C.train_examples(spark, sf), "examples")  # the fit and the features read it
     fitted = L.fit_normaliser(L.slots_long(ex.where(F.col("year") == K.FIXTURE_SPLIT_YEARS["train"])))
     means, stds = M.fitted_stats(fitted)
     z = L.normalise_bands(F.col("s.bands"), means, stds)
@@ -142,10 +145,10 @@ def l07_strides(spark, sf):
     return out
 
 
-@query("f11_crop", "F11", sql=Q.with_(Q.CELLS) + "SELECT raster_id, row, col, code FROM pixels WHERE row < 4 AND col < 20")
+@query("f11_crop", "F11", sql=Q.with_(Q.CELLS) + "SELECT raster_id, row, col, code FROM pixels WHERE row < 800 AND col < 800")
 def f11_crop(spark, sf):
-    """The upper left 4 x 20 cells of each raster, as for a display."""
-    return R.crop_grid(R.raster_pixels(FX.raster_strips(spark, sf)), 4, 20).select("raster_id", "row", "col", "code")
+    """The upper left 800 x 800 cells of each raster, as for a display."""
+    return R.crop_grid(R.raster_pixels(FX.raster_strips(spark, sf))).select("raster_id", "row", "col", "code")
 
 
 _POINT = 17  # a pixel of the fixture grid, looked up by its coordinates
@@ -179,8 +182,7 @@ def s02_storage_roundtrip(spark, sf):
     """Encoded series written by (bbox, year); one partition re-read with an explicit schema, pruned, and decoded."""
     path = shared_path(spark, "series")
     write_and_verify(S.encode_series(C.series(spark, sf)), path)
-    all_parts = read_dataset(spark, path, schema=SERIES_ENCODED)
-    n = list_partitions(all_parts, "bbox", "year").count()
+    n = LI.partitions(LI.list_files(spark, path), "bbox string, year int").count()
     one = read_dataset(spark, path, schema=SERIES_ENCODED,
                        where=(F.col("bbox") == _PART_BBOX) & (F.col("year") == _PART_YEAR))
     return S.explode_images(S.decode_series(one)).withColumn("n_partitions", F.lit(n).cast("bigint"))
@@ -208,7 +210,7 @@ WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL
   AND lon BETWEEN min_lon AND max_lon AND lat BETWEEN min_lat AND max_lat""")
 def j04_scene_chain(spark, sf):
     """Catalogue to observations: parse, keep the latest processing, skip what exists, keep usable
-    scenes, and only then read pixels, observe samples and filter.
+    scenes, and only then read their blocks, observe samples and filter.
 
     Scenes of each January stand for those already written.
     """
@@ -217,12 +219,31 @@ def j04_scene_chain(spark, sf):
     done = latest.where(F.month("scene_date") == 1)
     todo = SC.usable_scenes(SC.skip_existing(latest, done, ("scene_id",)))
     wanted = todo.select("mgrs", "year", "scene_date", "seq", "min_lon", "min_lat", "max_lon", "max_lat")
-    pixels = FX.scene_pixels(spark, sf).join(wanted.select("mgrs", "year", "scene_date", "seq"),
-                                             ["mgrs", "year", "scene_date", "seq"], "left_semi")
+    blocks = BL.write_blocks(FX.scene_blocks(spark, sf))
     smp = FX.samples_from_observations(spark, sf)
     ll = FX.pixel_lonlat("pixel_id")
     smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
     tiles = wanted.select("mgrs", "year", "min_lon", "min_lat", "max_lon", "max_lat").distinct()
-    obs = OB.observe_scenes(OB.sample_cells(smp, tiles, FX.scene_cell), pixels)
+    obs = BL.observe_blocks(OB.sample_cells(smp, tiles, FX.scene_cell), blocks, wanted)
     obs = OB.quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
     return obs.select("bbox", "year", "pixel_id", "CDL", "scene_date", "tile", "scl", *K.BANDS)
+
+
+_RANKS = (0.05, 0.25, 0.5, 0.75, 0.95)
+
+
+@query("a16_sketch_quantiles", "A16", sql=Q.with_(Q.TRAIN) + ", stacked AS (" + " UNION ALL ".join(
+    f"SELECT '{b}' AS band, {b} AS v FROM train_long WHERE {b} <> 0" for b in K.BANDS) + f""")
+SELECT band, r.rank, count(*) AS n, true AS within FROM stacked CROSS JOIN (VALUES {', '.join(f'(CAST({q} AS DOUBLE))' for q in _RANKS)}) AS r(rank)
+GROUP BY band, r.rank""")
+def a16_sketch_quantiles(spark, sf):
+    """Quantiles from sketches kept for each (bbox, year) and merged; their true ranks lie within the stated error."""
+    long = materialize(L.slots_long(C.train_examples(spark, sf)).select("bbox", "year", *K.BANDS), "slots")
+    found = SK.quantiles(SK.merge_sketches(SK.band_sketches(long)), _RANKS)
+    values = long.select(F.inline(F.array(*[F.struct(F.lit(b).alias("band"), F.col(b).alias("v")) for b in K.BANDS]))).where("v <> 0")
+    per_value = values.groupBy("band", "v").agg(F.count("*").alias("c"))
+    at = per_value.join(found, "band").groupBy("band", "rank", "n").agg(
+        F.sum(F.when(F.col("v") < F.col("value"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("v") <= F.col("value"), F.col("c")).otherwise(0)).alias("upto"))
+    within = (F.col("below") / F.col("n") <= F.col("rank") + SK.RANK_ERROR) & (F.col("upto") / F.col("n") >= F.col("rank") - SK.RANK_ERROR)
+    return at.select("band", "rank", "n", within.alias("within"))

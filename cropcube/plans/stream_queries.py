@@ -11,12 +11,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.operators import moments as MO
 from cropcube.plans import sql as Q
 from cropcube.plans.catalog import ENCODED_SQL, encoded_text
 from cropcube.plans.registry import query
 from cropcube.session import shared_path
 from cropcube.sources import fixtures as FX
 from cropcube.sources.tables import read_table
+from cropcube.streaming import compaction as CP
 from cropcube.streaming import ingest as I
 
 RESENT_YEAR = 1998
@@ -66,6 +68,38 @@ def r03_stream_refresh_series(spark, sf):
     return encoded_text(spark.read.parquet(f"{base}/series"))
 
 
+@query("r01_compacted_ingest", "R01 R03 S03 U01", sql=_LANDED_SQL + "SELECT * FROM landed")
+def r01_compacted_ingest(spark, sf):
+    """Two deliveries, epochs folded behind the manifest, dead folders deleted, a third delivery that
+    re-sends a year, folded again: every observation is there once."""
+    base = shared_path(spark, "r01c")
+    sink = f"{base}/sink"
+    ingest = lambda stream: I.ingest_available(stream, sink, f"{base}/checkpoint")
+    schema = _two_deliveries(spark, sf, base, ingest)
+    CP.compact(spark, sink, schema, I.OBSERVATION_KEY)
+    CP.vacuum(spark, sink)
+    landing_rows(spark, sf).where(F.col("year") == RESENT_YEAR).write.parquet(f"{base}/landing/d3")
+    ingest(I.observation_stream(spark, f"{base}/landing/*/*.parquet", schema))
+    CP.compact(spark, sink, schema, I.OBSERVATION_KEY)
+    return I.landed(spark, sink, schema)
+
+
+@query("m06_merged_normaliser", "M06 A08 A09 R03", sql=Q.with_(Q.TRAIN) + ", stacked AS (" + " UNION ALL ".join(
+    f"SELECT year, {i} AS band_index, '{b}' AS band, {b} AS v FROM train_long" for i, b in enumerate(K.BANDS)) + """)
+SELECT year, CAST(band_index AS INTEGER) AS band_index, band, count(*) FILTER (WHERE v <> 0) AS n,
+       round(avg(CAST(v AS DOUBLE)) FILTER (WHERE v <> 0), 4) AS mean, round(stddev_pop(CAST(v AS DOUBLE)) FILTER (WHERE v <> 0), 4) AS std
+FROM stacked GROUP BY year, band_index, band""")
+def m06_merged_normaliser(spark, sf):
+    """Mean and deviation of each year's bands, merged over areas from statistics that each of two
+    deliveries refreshed for the partitions it touched."""
+    base = shared_path(spark, "m06")
+    _two_deliveries(spark, sf, base, lambda stream: I.refresh_series(
+        stream, f"{base}/obs", f"{base}/series", f"{base}/checkpoint", f"{base}/moments"))
+    merged = MO.merge_moments(MO.read_moments(spark, f"{base}/moments"), by=("year",))
+    std = F.sqrt(F.try_divide("squared", "n"))
+    return merged.select("year", "band_index", "band", "n", F.round("mean", 4).alias("mean"), F.round(std, 4).alias("std"))
+
+
 @query("r04_window_counts", "R04", sql="""
 SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(CAST(floor(epoch(ts) / 432000) * 432000 AS BIGINT)), '%Y-%m-%d %H:%M:%S') AS window_start,
        event_type, count(*) AS n

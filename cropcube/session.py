@@ -66,8 +66,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
 _WRITTEN: list[str] = []
 
 
+#: Tables that :func:`shared_table` named, for :func:`clean`.
+_TABLES: list[str] = []
+
+
+def shared_table(name: str) -> str:
+    """A fresh name for a bucketed table of this application; its files go to a :func:`shared_path`."""
+    _TABLES.append(f"cropcube_{name}_{uuid.uuid4().hex}")
+    return _TABLES[-1]
+
+
 def clean(spark: SparkSession) -> None:
     """Delete the tables written under the shared folder so far; results that read them must be saved before."""
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _WRITTEN:
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

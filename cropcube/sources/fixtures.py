@@ -9,7 +9,7 @@ prunes the columns a query does not use and pushes filters into the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
@@ -226,3 +226,25 @@ def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.lit("_"), F.col("seq").cast("string"), F.lit("_L2A")).alias("scene_id"),
         "mgrs", "year", "scene_date", "seq", cell["row"].alias("row"), cell["col"].alias("col"),
         "scl", *K.BANDS)
+
+
+def scene_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scene rasters as blocks of cells, a row for each scene, asset and block.
+
+    A cell has one value in a raster, so what ``lineitem`` gives a scene's cell again comes
+    as another delivery of the scene (numbered from 0, the greatest values first).
+    """
+    from cropcube.operators.blocks import to_blocks
+
+    again = Window.partitionBy("scene_id", "row", "col").orderBy(*[F.col(a).desc() for a in K.ASSETS])
+    return to_blocks(scene_pixels(spark, sf_dir).withColumn("delivery", F.row_number().over(again) - 1))
+
+
+def scene_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scenes with the quadrilateral that they cover: their box turned within itself, more for higher numbers."""
+    s = scenes(spark, sf_dir)
+    turn = F.lit(0.1) + F.lit(0.1) * (F.element_at(F.split("scene_id", "_"), -2).cast("int") % 4).cast("double")
+    corners = [(F.col("min_lon") + turn, F.col("min_lat")), (F.col("max_lon"), F.col("min_lat") + turn),
+               (F.col("max_lon") - turn, F.col("max_lat")), (F.col("min_lon"), F.col("max_lat") - turn)]
+    ring = F.array(*[F.struct(x.alias("x"), y.alias("y")) for x, y in corners])
+    return s.select("scene_id", "collection", "datetime", ring.alias("footprint"))

@@ -1,4 +1,4 @@
-"""Dataset scans and sinks.
+"""Dataset scans and sinks (S01-S04, S12-S14, S16); listings are in ``listing``.
 
 Reads always name their columns so the Parquet scan is pruned, and filters
 on partition columns are left to Catalyst (PartitionFilters).  Writes are
@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from cropcube.sources.listing import exists
+
 TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -50,13 +52,7 @@ def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = N
     reads as an empty dataset of ``schema``; any other error still raises.
     """
     if missing_ok:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        existing = []
-        for p in paths:
-            jp = jvm.org.apache.hadoop.fs.Path(p)
-            if jp.getFileSystem(conf).exists(jp):
-                existing.append(p)
+        existing = [p for p in paths if exists(spark, p)]
         if not existing:
             if schema is None:
                 raise ValueError("missing_ok needs a schema for an absent dataset")
@@ -111,30 +107,6 @@ def write_and_verify(df: DataFrame, path: str, **kw) -> int:
     return landed
 
 
-def list_partitions(df: DataFrame, *cols: str) -> DataFrame:
-    """Distinct partition values present in a dataset.
-
-    On a partitioned scan Spark answers this from directory listing plus a
-    metadata-only read of the partition columns.
-    """
-    return df.select(*cols).distinct()
-
-
-def partition_values_from_paths(df: DataFrame, *keys: str) -> DataFrame:
-    """Parse ``k=v`` segments of each file path (T35), URL-decoded."""
-    path = F.url_decode(F.col("_metadata.file_path"))
-    return df.select(*[F.regexp_extract(path, f"{k}=([^/]+)", 1).alias(k) for k in keys]).distinct()
-
-
-def dataset_size(df: DataFrame) -> DataFrame:
-    """Number of files and total bytes of a file-based dataset."""
-    files = df.select(F.col("_metadata.file_path").alias("file_path"),
-                      F.col("_metadata.file_size").alias("file_size")).distinct()
-    return files.agg(F.count("*").alias("num_files"),
-                     F.coalesce(F.sum("file_size"), F.lit(0)).cast("bigint").alias("total_bytes"),
-                     F.round(F.coalesce(F.sum("file_size"), F.lit(0)) / F.lit(1024 ** 3), 6).alias("total_gb"))
-
-
 def check_schema(df: DataFrame, expected: StructType, exact: bool = False) -> DataFrame:
     """Fail early when columns are missing or typed differently."""
     have = {f.name: f.dataType for f in df.schema.fields}

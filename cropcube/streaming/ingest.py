@@ -17,9 +17,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from cropcube import constants as K
+from cropcube.operators.loader import slots_long, training_examples
+from cropcube.operators.moments import refresh_moments
 from cropcube.operators.observe import latest_per_key, quality_filter
 from cropcube.operators.series import build_series, encode_series
-from cropcube.sources.tables import read_dataset
+from cropcube.streaming.compaction import live_rows
 
 #: What makes two rows deliveries of one observation.
 OBSERVATION_KEY = ["bbox", "year", "pixel_id", "tile", "scene_date"]
@@ -36,19 +38,37 @@ def observation_stream(spark: SparkSession, source_dir: str, schema: StructType,
     return reader.parquet(source_dir)
 
 
-def touched_partitions(batch: DataFrame) -> Column | None:
-    """A filter naming the (bbox, year) of a batch, which prunes directories when read.
+class Touched:
+    """The (bbox, year) partitions of a batch, and reads narrowed to them.
 
-    Areas x years bound their number; beyond 1,000 there is no filter, and reads scan
-    all partitions with the same result.
+    Up to 1,000 partitions are named in a filter, which prunes directories.  Beyond that,
+    rows are narrowed by a semi-join with the batch's partitions: only directories are no
+    longer pruned, no other partition's row is kept or worked on.
     """
-    rows = batch.select("bbox", "year").distinct().limit(NAMED_PARTITIONS + 1).collect()
-    if not rows or len(rows) > NAMED_PARTITIONS:
-        return None
-    return reduce(lambda a, b: a | b, [(F.col("bbox") == r.bbox) & (F.col("year") == r.year) for r in rows])
 
+    def __init__(self, batch: DataFrame):
+        self.keys = batch.select("bbox", "year").distinct()
+        named = self.keys.limit(NAMED_PARTITIONS + 1).collect()
+        self.none = not named
+        self.where = reduce(lambda a, b: a | b, [self._is(r) for r in named]) if named and len(named) <= NAMED_PARTITIONS else None
 
-def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, where: Column | None = None,
+    @staticmethod
+    def _is(row) -> Column:
+        return F.col("bbox").eqNullSafe(F.lit(row.bbox)) & F.col("year").eqNullSafe(F.lit(row.year))
+
+    def of(self, rows: DataFrame) -> DataFrame:
+        if self.where is not None:
+            return rows.where(self.where)
+        keys = self.keys.select(F.col("bbox").alias("_bbox"), F.col("year").alias("_year"))
+        return rows.join(keys, rows["bbox"].eqNullSafe(keys["_bbox"]) & rows["year"].eqNullSafe(keys["_year"]), "left_semi")
+
+
+def touched_partitions(batch: DataFrame) -> Touched:
+    """The partitions that a batch touches."""
+    return Touched(batch)
+
+
+def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, touched: Touched | None = None,
                key=tuple(OBSERVATION_KEY)) -> None:
     """R01 + R02: append what a batch has that earlier epochs have not landed.
 
@@ -56,13 +76,15 @@ def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, where: Column | N
     other columns).  A row that repeats a landed one in every column is dropped; one that
     corrects it lands too, and :func:`landed` prefers the later epoch.  Rows go to
     (bbox, year, epoch) with dynamic partition overwrite and the comparison leaves out
-    the own epoch, so a replayed epoch rewrites exactly its own files.
+    the own epoch, so a replayed epoch rewrites exactly its own files.  What compaction has
+    folded counts as landed.
     """
+    touched = touched or touched_partitions(batch)
+    if touched.none:
+        return
     values = [c for c in batch.columns if c not in key]
     new = latest_per_key(batch, list(key), values[:1], values[1:])
-    schema = StructType([*batch.schema.fields]).add("epoch", "long")
-    done = read_dataset(batch.sparkSession, sink_dir, schema=schema, where=where, missing_ok=True) \
-        .where(F.col("epoch") < epoch_id)
+    done = touched.of(live_rows(batch.sparkSession, sink_dir, batch.schema)).where(F.col("epoch") < epoch_id)
     done = latest_per_key(done, list(key), ["epoch"]).drop("epoch")
     same = [new[c].eqNullSafe(done[c]) if c in values else new[c] == done[c] for c in batch.columns]
     new.join(done, same, "left_anti").withColumn("epoch", F.lit(int(epoch_id)).cast("long")) \
@@ -70,48 +92,59 @@ def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, where: Column | N
         .partitionBy("bbox", "year", "epoch").parquet(sink_dir)
 
 
-def landed(spark: SparkSession, sink_dir: str, schema: StructType, where: Column | None = None,
+def landed(spark: SparkSession, sink_dir: str, schema: StructType, touched: Touched | None = None,
            key=tuple(OBSERVATION_KEY)) -> DataFrame:
-    """The observations landed so far, the latest epoch of each key."""
-    rows = read_dataset(spark, sink_dir, schema=StructType([*schema.fields]).add("epoch", "long"),
-                        where=where, missing_ok=True)
+    """The observations landed so far, the latest epoch of each key, whether folded or not."""
+    rows = live_rows(spark, sink_dir, schema)
+    rows = rows if touched is None else touched.of(rows)
     return latest_per_key(rows, list(key), ["epoch"]).select(*schema.fieldNames())
 
 
 def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str) -> None:
     """Land every file available now, then stop."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        land_batch(batch, epoch_id, sink_dir, touched_partitions(batch))
+        batch = batch.persist()
+        try:
+            land_batch(batch, epoch_id, sink_dir)
+        finally:
+            batch.unpersist()
     _run(stream, run, checkpoint_dir)
 
 
-def refresh_series_batch(obs_root: str, series_dir: str):
+def refresh_series_batch(obs_root: str, series_dir: str, moments_dir: str | None = None):
     """A ``foreachBatch`` function that lands a batch and refreshes its partitions.
 
     The series of every touched (bbox, year) are rebuilt from the landed observations as
-    a batch job builds them: latest processing of each scene, quality filter, series.  A
-    filter naming the partitions prunes the scan, and the result replaces only those
-    series partitions.  The batch is kept while it is used three times.
+    a batch job builds them: latest processing of each scene, quality filter, series.  Only
+    touched partitions are read, worked on and replaced; an empty batch reads nothing.  With
+    ``moments_dir`` the statistics of the touched partitions are refreshed as well (M06).
+    The batch is kept while it is used several times.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
         batch = batch.persist()
         try:
-            where = touched_partitions(batch)
-            land_batch(batch, epoch_id, obs_root, where)
-            obs = landed(batch.sparkSession, obs_root, batch.schema, where)
+            touched = touched_partitions(batch)
+            if touched.none:
+                return
+            land_batch(batch, epoch_id, obs_root, touched)
+            obs = landed(batch.sparkSession, obs_root, batch.schema, touched)
             obs = latest_per_key(obs, ["bbox", "year", "pixel_id", "CDL", "scene_date", "mgrs"],
                                  ["seq", "scl", *K.BANDS])
             obs = quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
-            encode_series(build_series(obs)).write.mode("overwrite") \
+            series = build_series(obs)
+            encode_series(series).write.mode("overwrite") \
                 .option("partitionOverwriteMode", "dynamic").partitionBy("bbox", "year").parquet(series_dir)
+            if moments_dir:
+                refresh_moments(slots_long(training_examples(series)), moments_dir)
         finally:
             batch.unpersist()
     return run
 
 
-def refresh_series(stream: DataFrame, obs_root: str, series_dir: str, checkpoint_dir: str) -> None:
+def refresh_series(stream: DataFrame, obs_root: str, series_dir: str, checkpoint_dir: str,
+                   moments_dir: str | None = None) -> None:
     """R03 driver: run the stream to completion with the refresh function."""
-    _run(stream, refresh_series_batch(obs_root, series_dir), checkpoint_dir)
+    _run(stream, refresh_series_batch(obs_root, series_dir, moments_dir), checkpoint_dir)
 
 
 def _run(stream: DataFrame, each_batch, checkpoint_dir: str) -> None:

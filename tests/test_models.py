@@ -81,3 +81,38 @@ def test_a_cluster_must_name_the_folder():
     from cropcube.session import checkpoint_dir
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_dir(Session)
+
+
+def _planted(spark, epoch, rows=400):
+    """Label 3 where the first feature is high, else 1; the rest is noise that each epoch draws anew."""
+    noise = F.transform(F.sequence(F.lit(0), F.lit(M.N_FEATURES - 1)), lambda i: (F.xxhash64("id", i, F.lit(epoch)) % 1000) / 10_000.0)
+    high = (F.xxhash64("id") % 2) == 0
+    x = F.transform(noise, lambda v, i: F.when(i == 0, F.when(high, 3.0).otherwise(-3.0)).otherwise(v))
+    return spark.range(rows).select(F.when(high, 3.0).otherwise(1.0).alias("label"), array_to_vector(x).alias("features"))
+
+
+def test_rounds_go_on_from_the_last_weights(spark):
+    validation = _planted(spark, 99, 300).cache()
+    found = M.train_rounds(lambda r: _planted(spark, r), validation, rounds=4, iterations=4, hidden=8)
+    rounds, losses = [m[0] for m in found.metrics], [m[5] for m in found.metrics]
+    assert rounds == [0, 1, 2, 3] and losses[-1] < losses[0] and {m[1] for m in found.metrics} == {400} and {m[4] for m in found.metrics} == {300}
+    alone = M.train_rounds(lambda r: _planted(spark, 3), validation, rounds=1, iterations=4, hidden=8)
+    assert losses[-1] < alone.metrics[0][5]  # four warm rounds are more than one from the start
+    share = validation.where("label = 3").count() / 300
+    assert found.metrics[-1][6] > max(share, 1 - share) + 0.2
+    scored = M.score(found.best, validation)
+    assert scored.where("prediction = true_label").count() / 300 == pytest.approx(min(found.metrics, key=lambda m: m[5])[6])
+
+
+def test_rounds_stop_without_progress(spark):
+    noise = F.transform(F.sequence(F.lit(0), F.lit(M.N_FEATURES - 1)), lambda i: (F.xxhash64("id", i) % 1000) / 500.0)
+    train = spark.range(60).select((F.xxhash64("id", F.lit(5)) % 2 + 2).cast("double").alias("label"), array_to_vector(noise).alias("features"))
+    held = spark.range(1000, 1060).select((F.xxhash64("id", F.lit(5)) % 2 + 2).cast("double").alias("label"), array_to_vector(noise).alias("features"))
+    found = M.train_rounds(lambda r: train, held.cache(), rounds=12, iterations=15, hidden=20, patience=2)
+    losses = [m[5] for m in found.metrics]
+    assert len(losses) < 12 and min(range(len(losses)), key=losses.__getitem__) == len(losses) - 3  # learnt by heart, then stopped
+
+
+def test_no_validation_rows(spark):
+    found = M.train_rounds(lambda r: _planted(spark, r, 50), _planted(spark, 0, 0), rounds=1, iterations=2, hidden=4)
+    assert found.metrics[0][4:] == (0, None, None)

@@ -13,9 +13,9 @@ FUNCTIONS = {
     "S05": "fixtures.class_dictionary (literal dimension only; bulk data never via the driver)",
     "S06": "fixtures.class_dictionary + observe.attach_class_names", "S07": "operators.raster.raster_pixels (posexplode of strips)",
     "S08": "fixtures.raster_strips (all AOI x year rasters in one job)", "S09": "operators.scenes.parse_catalog (from_json, fixed schema)",
-    "S10": "sources.tables.list_partitions / partition_values_from_paths", "S11": "sources.tables.dataset_size (_metadata)",
-    "S12": "operators.loader.split_by_year", "S13": "read_dataset(*paths)", "S14": "column-pruned reads (ReadSchema)",
-    "S15": "operators.sampling.batches (1028 rows, no shuffle) / write_shards",
+    "S10": "sources.listing.list_files + partitions", "S11": "sources.listing.size",
+    "S12": "operators.loader.split_by_year", "S13": "read_dataset(*paths)", "S14": "column-pruned reads; positions.interleaved",
+    "S15": "positions.Batches (exactly 1028 rows) / sampling.batches",
     "S16": "sources.tables.write_and_verify", "S17": "DataFrame.limit / orderBy",
     "F01": "select", "F02": "withColumns(lit)", "F03": "drop", "F04": "cast (ANSI)", "F05": "where on pixel key / encoded class",
     "F06": "operators.observe.drop_scl", "F07": "operators.observe.drop_incomplete / quality_filter",
@@ -24,23 +24,23 @@ FUNCTIONS = {
     "F13": "where(start_day = k)", "F14": "forall(bands, v -> v <> 0)", "F15": "dropDuplicates", "F16": "loader.features (12 of 15)",
     "F17": "binary == encoded text", "F18": "loader.day_window", "F19": "labels.last_nonzero", "F20": "key columns kept in loader output",
     "J01": "observe.attach_class_names (size-checked broadcast)", "J02": "scenes.aoi_frame (explode, no join)",
-    "J03": "scenes.skip_existing (left_anti)", "J04": "observe.sample_cells + observe.observe_scenes (equi-join on tile cell)",
-    "J05": "scenes.search (grid-cell bucketed range join)", "J06": "series.series_rows / loader.dense_slots",
+    "J03": "scenes.skip_existing (left_anti)", "J04": "observe.sample_cells + blocks.observe_blocks (bucketed join on tile, year, block)",
+    "J05": "scenes.search / search_footprints (grid-cell range join, separating axes)", "J06": "series.series_rows / loader.dense_slots",
     "J07": "loader.sweep_examples (slots of all start days, then explode)", "J08": "raster.densify (strip by strip)", "J09": "raster.samples_outside_grid",
     "J10": "labels.lookup / scl_name / legend_name", "J11": "isin / labels.base_label", "J12": "sample_cells (join on year and 0.05-degree cell)",
     "A01": "stats.class_share", "A02": "stats.count_by_class_year", "A03": "stats.value_shares", "A04": "series.build_series",
     "A05": "count", "A06": "scenes.usable_area", "A07": "scenes.existing_dates", "A08": "loader.fit_normaliser (mean)",
     "A09": "loader.fit_normaliser (stddev_pop)", "A10": "stats.label_histogram", "A11": "evaluate.accuracy",
     "A12": "evaluate.confusion_matrix", "A13": "stats.extent / geo.bounds_text", "A14": "stats.aoi_class_table (pivot)",
-    "A15": "evaluate.accuracy(by=prediction_date)", "A16": "stats.band_distribution", "A17": "series.series_summary (last_day)",
-    "A18": "distinct tiles", "A19": "sources.tables.dataset_size", "A20": "exists / forall", "A21": "stats.grid_shape",
+    "A15": "evaluate.accuracy(by=prediction_date)", "A16": "stats.band_distribution; sketches (KLL, merged)", "A17": "series.series_summary (last_day)",
+    "A18": "distinct tiles", "A19": "sources.listing.size", "A20": "exists / forall", "A21": "stats.grid_shape",
     "W01": "stats.class_share (sum over window)", "W02": "stats.top_classes", "W03": "scenes.keep_latest / observe.latest_per_key",
     "W04": "loader.bucketize (first per slot)", "W05": "series.series_rows (day)", "W06": "loader.bucketize (re-base, clip)",
     "W07": "labels.last_nonzero", "W08": "series.explode_images", "W09": "loader.bucketize (slot = day div 5)",
     "W10": "loader.sweep_examples", "L01": "series.build_series (array_sort)", "L02": "orderBy", "L03": "stats.top_classes",
     "L04": "orderBy(key).limit(9)", "L05": "orderBy.limit / offset", "L06": "sampling.hash_sample (MD5 draw of the key)",
-    "L07": "raster.grid_sample", "L08": "loader.random_start", "L09": "loader.subsample", "L10": "loader.shuffled",
-    "L11": "scenes.pick_tile", "U01": "scenes.pending_partitions (subtract)", "U02": "unionByName / one exploded job",
+    "L07": "raster.grid_sample", "L08": "loader.random_start", "L09": "loader.subsample", "L10": "positions.shuffled",
+    "L11": "scenes.pick_tile", "U01": "listing.pending / scenes.pending_partitions (subtract)", "U02": "unionByName / one exploded job",
     "U03": "unionByName", "U04": "distinct", "T01": "geo.parse_bbox", "T02": "geo.bbox_to_lonlat (corners | envelope)",
     "T03": "geo.bounds_ring", "T04": "geo.cell_center", "T05": "geo.albers_to_lonlat", "T06": "geo.lonlat_to_utm + geo.cell_of",
     "T07": "geo.lonlat_to_web_mercator", "T08": "scenes.scene_keys (tile)", "T09": "scenes.scene_keys (base_id, seq)",
@@ -50,12 +50,12 @@ FUNCTIONS = {
     "T22": "codec.unpack_uint(nbytes=1)", "T23": "codec.unpack_matrix / series.decode_series", "T24": "indices.ndvi",
     "T25": "indices.series_ndvi", "T26": "indices.ndvi_percent", "T27": "loader.dense_slots", "T28": "loader.bucketize (zero slot)",
     "T29": "labels.crop_label", "T30": "labels.one_hot", "T31": "loader.normalise_bands", "T32": "least / greatest",
-    "T33": "labels.argmax", "T34": "evaluate.prediction_date", "T35": "tables.partition_values_from_paths",
+    "T33": "labels.argmax", "T34": "evaluate.prediction_date", "T35": "listing.with_partitions",
     "T36": "date_format", "T37": "round", "T38": "scenes.parse_catalog (assets map)", "T39": "loader.slots_long",
     "T40": "transform / filter by index", "T41": "loader.bucketize (day replaced)",
-    "M01": "models.fit_linear", "M02": "models.fit_mlp (re-aimed)", "M03": "models.score / evaluate.linear_scores",
-    "M04": "models.save / models.load", "M05": "catalog.predictions", "M06": "loader.fit_normaliser + models.fitted_stats + normalise_bands",
-    "M07": "loader.split_by_year + split_keys + leakage", "R01": "streaming.ingest.ingest_available",
+    "M01": "models.fit_linear", "M02": "models.train_rounds / fit_mlp (re-aimed)", "M03": "models.score / evaluate.linear_scores",
+    "M04": "models.save / models.load", "M05": "catalog.predictions", "M06": "loader.fit_normaliser / moments (mergeable) + normalise_bands",
+    "M07": "loader.split_by_year + split_keys + leakage", "R01": "streaming.ingest.ingest_available, compaction.compact",
     "R02": "streaming.ingest.land_batch / landed", "R03": "streaming.ingest.refresh_series", "R04": "streaming.ingest.window_counts",
     "X01": "L01 + T13", "X02": "T14", "X03": "T15-T17", "X04": "T18", "X05": "T24", "X06": "T19-T22", "X07": "T25",
     "X08": "T19", "X09": "loader expressions",
