@@ -34,13 +34,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return _SCRATCH[-1]
 
 
+#: Names of bucketed tables of this application, for :func:`clean_scratch`.
+_TABLES: list[str] = []
+
+
+def scratch_table(name: str) -> str:
+    """A new name for a bucketed table, whose files go to a :func:`scratch_path`."""
+    _TABLES.append(f"llm_{name}_{uuid.uuid4().hex}")
+    return _TABLES[-1]
+
+
 def clean_scratch(spark: SparkSession) -> None:
-    """Delete all tables that :func:`scratch_path` named so far.
+    """Delete all tables that :func:`scratch_path` and :func:`scratch_table` named so far, and no others.
 
     Results of this package read them, so call this once results have been saved.
     """
-    for row in spark.sql("SHOW TABLES LIKE 'llm_slices_*'").collect():
-        spark.sql(f"DROP TABLE IF EXISTS {row.tableName}")
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
     while _SCRATCH:
         _delete(spark, _SCRATCH.pop())
 
@@ -156,6 +166,14 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix64(h + (ends - starts).astype(np.uint64))
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def with_doc_id(df: DataFrame, *more) -> DataFrame:
     """Rows of a document table that have an identity, narrowed to doc_id, text and ``more``."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *more) \

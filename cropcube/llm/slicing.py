@@ -1,15 +1,18 @@
 """Documents dealt into slices, and hashes that slices compare through buckets.
 
-A slice is a few hundred documents, found by the hash of doc_id.  The slices are
-written once as a bucketed table, so later passes read each slice whole without a
+A slice is some rows of the table, dealt by the hash of their number, so neither one
+doc_id on many rows nor long texts come together; the bytes of all texts and the number of
+rows give the number of slices.  The slices are written once as a bucketed table, so later passes read each slice whole without a
 shuffle of texts; only what passes want to know about hashes is shuffled.  A slice
 names each hash once, however often it holds it, so a passage that a third of all
 documents share costs one entry for each slice.
+
+Rows that share a doc_id may lie in several slices.  Their order is that of the slices'
+numbers, then of their texts.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Sequence
 
 import numpy as np
@@ -17,9 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cropcube.llm.common import as_bytes, parts, scratch_path, with_doc_id
+from cropcube.llm.common import as_bytes, parts, scratch_path, scratch_table, with_doc_id
 
-SLICE_DOCS = 500
+#: Rows and bytes of texts in a slice, about; a longer text is a slice with what else falls there.
+SLICE_DOCS, SLICE_BYTES = 500, 4 << 20
+#: Bytes of texts whose hashes fall into one bucket, about, and the most buckets a stored table may have.
+BUCKET_BYTES, TABLE_BUCKETS = 32 << 20, 100_000
 
 NAMED = "bucket int, slice long, hashes binary, twice binary, doc binary, pos binary"
 
@@ -27,18 +33,22 @@ NAMED = "bucket int, slice long, hashes binary, twice binary, doc binary, pos bi
 class Slices:
     """The bucketed table of (slice, doc_id, text, carried columns), in the shared scratch folder.
 
-    Carried columns are named carry_0, carry_1, ... so that they clash with nothing.
+    Carried columns are named carry_0, carry_1, ... so that they clash with nothing.  ``buckets``
+    for hashes grow with the texts, so that a bucket does not.  ``docs`` should be a stored
+    table: rows are numbered where they are read.
     """
 
-    def __init__(self, docs: DataFrame, docs_per_slice: int = SLICE_DOCS, carry: Sequence[str] = ()):
+    def __init__(self, docs: DataFrame, docs_per_slice: int = SLICE_DOCS, carry: Sequence[str] = (), bytes_per_slice: int = SLICE_BYTES):
         self.spark = docs.sparkSession
-        self.buckets = parts(self.spark)
-        self.name = f"llm_slices_{uuid.uuid4().hex}"
+        self.name = scratch_table("slices")
         docs = with_doc_id(docs, *[F.col(f"`{c}`").alias(f"carry_{i}") for i, c in enumerate(carry)])
-        number = max(1, -(-docs.count() // docs_per_slice))
-        docs.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(number))) \
-            .repartition(self.buckets, "slice").write.option("compression", "zstd") \
-            .option("path", scratch_path(self.spark, "slices")).bucketBy(self.buckets, "slice").saveAsTable(self.name)
+        rows, size = docs.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+        number = max(1, -(-rows // docs_per_slice), -(-size // bytes_per_slice))
+        self.buckets = max(parts(self.spark), -(-size // BUCKET_BYTES))
+        stored = min(self.buckets, TABLE_BUCKETS)
+        docs.withColumn("slice", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(number))) \
+            .repartition(stored, "slice").write.option("compression", "zstd") \
+            .option("path", scratch_path(self.spark, "slices")).bucketBy(stored, "slice").saveAsTable(self.name)
 
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
@@ -170,12 +180,13 @@ def cells(rows: DataFrame) -> DataFrame:
 
 
 def late(rows: DataFrame) -> DataFrame:
-    """For each slice, those of its hashes that another slice has earlier (smaller doc)."""
+    """For each slice, those of its hashes that another slice has earlier (smaller doc, of equal ones smaller slice)."""
     def run(table):
         own = [np.frombuffer(x, np.uint64) for x in table.column("hashes").to_pylist()]
         doc = np.concatenate([unplaned(x, np.int64) for x in table.column("doc").to_pylist()])
+        of = np.repeat(table.column("slice").to_numpy(), [len(x) for x in own])
         h = np.concatenate(own)
-        order = np.lexsort((doc, h))
+        order = np.lexsort((of, doc, h))
         s = h[order]
         keep = np.zeros(len(h), bool)
         keep[order[1:]] = s[1:] == s[:-1]
