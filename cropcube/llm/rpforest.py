@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from cropcube.llm.common import written
 from cropcube.llm.components import components, local_components
-from cropcube.llm.vectors import list_matrix, matrix, usable
+from cropcube.llm.vectors import list_matrix, matrix, unit, usable
 
 TREES = 10
 #: Share of a node's points on either side of the median that go to both children.
@@ -167,7 +167,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
         got = distinct.where(F.size("v") == d).orderBy(F.xxhash64("id"), "id").limit(SAMPLE // len(dims)) \
             .select("v").toArrow().column("v").combine_chunks()
         x = list_matrix(got, d)
-        forests[d] = Forest(x / np.linalg.norm(x, axis=1, keepdims=True), threshold)
+        forests[d] = Forest(unit(x), threshold)
     sent = spark.sparkContext.broadcast(forests)
 
     def route(batches):
@@ -175,8 +175,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
             length = np.array([len(v) for v in batch.column("v").to_pylist()])
             for d in np.unique(length).tolist():
                 part = batch.filter(pa.array(length == d))
-                x = list_matrix(part.column("v"), d)
-                x = x / np.linalg.norm(x, axis=1, keepdims=True)
+                x = unit(list_matrix(part.column("v"), d))
                 forest = sent.value.get(d)
                 row, leaf = forest.leaves_of(x) if forest else (np.arange(len(x)), np.zeros(len(x), int))
                 leaf = leaf[np.argsort(row, kind="stable")]
@@ -198,8 +197,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, label: str = "l
 
     def compare(key, rows):
         dims, leaf, b1, b2 = map(int, key)
-        x = matrix(rows["v"], dims)
-        x = x / np.linalg.norm(x, axis=1, keepdims=True)
+        x = unit(matrix(rows["v"], dims))
         ids, copies = rows["id"].to_numpy(np.int64), rows["copies"].to_numpy(np.int64)
         labels = pd.factorize(rows["l"])[0]
         own = rows["own"].to_numpy()

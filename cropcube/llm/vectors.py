@@ -25,6 +25,19 @@ def list_matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
 
 
+def unit(x: np.ndarray) -> np.ndarray:
+    """Rows scaled to norm 1, whatever their magnitude; none may be zero.
+
+    Each is first scaled by a power of two, which is exact, so that its largest component is
+    near 1 and neither squares nor sums leave the range of doubles.
+    """
+    if not x.size:
+        return x
+    _, power = np.frexp(np.abs(x).max(axis=1, keepdims=True))
+    x = np.ldexp(x, -power)
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
 def in_blocks(vectors: DataFrame, block: int, key: str = "vec_id") -> DataFrame:
     """dims, n (block number among those of equal dims), ids and m (doubles, one dimension
     after another) for blocks of about ``block`` vectors.
