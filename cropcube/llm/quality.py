@@ -141,28 +141,32 @@ def held_out(doc_id="doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Trees:
-    """Fit on at most ``sample`` labelled rows that are not held out.
+    """Fit on at most ``sample`` labelled documents that are not held out.
 
-    Labels that are null, or whose doc_id is, are left out; of contradicting labels of
-    one doc_id the higher count wins (a tie counts as 1).  The rows come back to the
-    driver as statistics, which ``sample`` bounds: 20,000 rows are 9 MB.
+    Labels that are null, or whose doc_id is, are left out, and so are those of documents
+    that ``docs`` lacks; of contradicting labels of one doc_id the higher count wins (a tie
+    counts as 1).  Of the rows that repeat a doc_id one is learned from (that of the smallest
+    text hash).  One row for each chosen doc_id comes back to the driver, as statistics, so
+    ``sample`` bounds them: 20,000 rows are 9 MB.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("double").alias("q")) \
         .where("doc_id is not null and q is not null").where(~held_out())
+    there = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     chosen = known.groupBy("doc_id").agg((F.avg("q") >= 0.5).cast("int").alias("label")) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+        .join(there, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .join(F.broadcast(chosen), "doc_id")
+        .join(F.broadcast(chosen), "doc_id").withColumn("h", F.xxhash64("text"))
 
     def run(batches):
         for part in slices(batches, "text", SLICE_BYTES):
             x = _features(part.column("text"))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("label"), pa.array([r.tobytes() for r in x], pa.binary())],
-                ["doc_id", "label", "x"])
+                [part.column("doc_id"), part.column("label"), part.column("h"), pa.array([r.tobytes() for r in x], pa.binary())],
+                ["doc_id", "label", "h", "x"])
 
-    got = sorted((r.doc_id, bytes(r.x), r.label) for r in
-                 rows.select("doc_id", "label", "text").mapInArrow(run, "doc_id long, label int, x binary").collect())
+    one = rows.select("doc_id", "label", "h", "text").mapInArrow(run, "doc_id long, label int, h long, x binary") \
+        .groupBy("doc_id").agg(F.min(F.struct("h", "x", "label")).alias("r"))
+    got = sorted((r.doc_id, bytes(r.x), r.label) for r in one.select("doc_id", "r.x", "r.label").collect())
     x = np.frombuffer(b"".join(r[1] for r in got), np.float64).reshape(-1, len(NAMES))
     return fit(x, np.array([r[2] for r in got], np.float64))
 
