@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcube.llm.bytebpe import default_path, encoder
-from cropcube.llm.common import parts, slices, written
+from cropcube.llm.common import slices, written
 
 SLICE_BYTES = 4 << 20
 CAPACITY = 2048
@@ -116,23 +116,29 @@ def lower_bound(lengths: np.ndarray, capacity: int) -> int:
     return best
 
 
+#: Columns that :func:`pack` adds; input columns of these names are replaced.
+PLACED = ("sequence_id", "offset", "certified")
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_PIECES, rounds: int = ROUNDS) -> DataFrame:
     """Add ``sequence_id``, ``offset`` and ``certified`` (its group met the lower bound) to pieces.
 
-    ``pieces`` has a column ``length`` from 1 to ``capacity``; every row is placed
-    exactly once, repeated rows too.  An empty table gives an empty result.  The round
-    number of documents only falls, and each group holds about ``group_pieces`` pieces
-    whatever the input, so no task grows with it.
+    ``pieces`` is a stored table with a column ``length`` from 1 to ``capacity``; every row is
+    placed exactly once, repeated rows too.  An empty table gives an empty result.  Pieces are
+    dealt by their number in the table, so groups hold about ``group_pieces`` each whatever
+    the input and however often a row repeats.  Other columns are carried, whatever their
+    names; those that :func:`pack` adds replace columns of their names.
     """
-    spark = pieces.sparkSession
-    columns = pieces.columns
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    schema = f"{fields}, sequence_id long, offset long, certified boolean, settled boolean"
+    columns = [c for c in pieces.columns if c not in PLACED]
+    kinds = {f.name: f.dataType.simpleString() for f in pieces.schema.fields}
+    carried = pieces.select(F.col("length").cast("long").alias("size"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(columns)])
+    fields = "size long, " + "".join(f"c{i} {kinds[c]}, " for i, c in enumerate(columns))
+    schema = f"{fields}sequence_id long, offset long, certified boolean, settled boolean"
 
     def packer(turn: int, last: bool):
         def run(key, rows):
-            rows = rows.drop(columns="_group").reset_index(drop=True)
-            length = rows["length"].to_numpy(np.int64)
+            rows = rows.drop(columns="dealt").reset_index(drop=True)
+            length = rows["size"].to_numpy(np.int64)
             bins, offset = best_fit_decreasing(length, capacity)
             fill = np.bincount(bins, weights=length).astype(np.int64)
             certified = len(fill) == lower_bound(length, capacity)
@@ -149,14 +155,13 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         return run
 
     out: DataFrame | None = None
-    pool, left = pieces, pieces.count()
+    pool, left = carried, pieces.count()
+    own = carried.columns
     for turn in range(rounds):
         groups = max(1, -(-left // group_pieces))
         last = turn == rounds - 1
-        group = F.pmod(F.xxhash64(*columns, F.lit(turn)), F.lit(groups))
-        dealt = pool.select(*columns).withColumn("_group", group) \
-            .repartition(max(parts(spark), min(groups, 4 * parts(spark))), "_group")
-        turned = written(dealt.groupBy("_group").applyInPandas(packer(turn, last), schema), f"pack-{turn}")
+        dealt = pool.select(*own).withColumn("dealt", F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(turn)), F.lit(groups)))
+        turned = written(dealt.groupBy("dealt").applyInPandas(packer(turn, last), schema), f"pack-{turn}")
         kept = turned.where("settled").drop("settled")
         out = kept if out is None else out.unionByName(kept)
         pool = turned.where("not settled")
@@ -168,7 +173,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, group_pieces: int = GROUP_
         if groups == 1 or left == was:  # alone in one group, or no exchange would help: settle as packed
             out = out.unionByName(pool.drop("settled"))
             break
-    return out
+    return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)], *PLACED)
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY) -> DataFrame:
