@@ -1,13 +1,14 @@
 """SimHash near-duplicates with BK-trees over distinct fingerprints.
 
-The top of the tree is common to all: a few fixed pivots, whose distances to a
-fingerprint name its shard.  Below, each shard has a BK-tree of bounded size
+The top of the tree is common to all: a few pivots, more of them the more fingerprints
+there are, whose distances to a fingerprint name its shard.  Below, each shard has a BK-tree of bounded size
 (children keyed by integer Hamming distance to the parent), kept as two arrays.
 A query follows only edges within the radius: by the triangle inequality its
 partners lie in shards whose pivot distances differ by the radius at most, and in
 a tree under edges within the radius of its distance to the node.  Shard trees
-travel to blocks of queries by an equi-join on the shard: a broadcast through the
-driver would have to carry the fingerprints of all documents.
+travel to blocks of queries by an equi-join on the tree and a group of blocks, so a
+large shard is searched by many tasks: a broadcast through the driver would have to
+carry the fingerprints of all documents.
 """
 
 from __future__ import annotations
@@ -30,7 +31,10 @@ TREE_SIZE = 16_384
 #: Queries that search a tree at once, which bounds the links held in memory.
 SEARCH_BLOCK = 512
 EDGES = 65  # distances 0 to 64
-PIVOTS = 3
+#: Fewest and most pivots; each names some ten times as many shards and doubles the shards a query goes to.
+PIVOTS = (3, 5)
+#: Blocks of queries that meet a tree in one task.
+BLOCKS_AT_ONCE = 8
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -111,6 +115,11 @@ def pivots(n: int) -> list[int]:
     return [int(x) for x in mix64(np.arange(1, n + 1, dtype=np.uint64))]
 
 
+def pivots_for(fingerprints: int) -> int:
+    """Number of pivots for so many distinct fingerprints, so that most shards hold a tree or less."""
+    return min(PIVOTS[1], max(PIVOTS[0], len(str(fingerprints // TREE_SIZE))))
+
+
 def _shard(distances: list):
     """One number from the distances to the pivots; 70 exceeds any distance plus a radius."""
     key = F.lit(0).cast("long")
@@ -126,12 +135,13 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
     block of queries, links are thinned to a spanning forest: as many components, never
     all pairs of a large group.
     """
+    many = pivots_for(nodes.count())
     marks = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(p - (1 << 64) if p >> 63 else p))).cast("long")
-             for p in pivots(PIVOTS)]
+             for p in pivots(many)]
     keyed = nodes.select("fp", "node", _shard(marks).alias("shard"))
     steps = range(-radius, radius + 1)
-    moves = [m for m in itertools.product(steps, repeat=PIVOTS) if len({x % 2 for x in m}) == 1]
-    routes = sorted(r for m in moves if (r := sum(x * 70 ** (PIVOTS - 1 - i) for i, x in enumerate(m))) >= 0)
+    moves = [m for m in itertools.product(steps, repeat=many) if len({x % 2 for x in m}) == 1]
+    routes = sorted(r for m in moves if (r := sum(x * 70 ** (many - 1 - i) for i, x in enumerate(m))) >= 0)
     size = keyed.groupBy("shard").agg(F.ceil(F.count("*") / TREE_SIZE).alias("trees"))
     members = keyed.join(size, "shard") \
         .select("shard", F.pmod(F.xxhash64("fp"), F.col("trees")).alias("n"), "fp", "node")
@@ -143,17 +153,19 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
         "shard", F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("n"), "fp", "node",
         (F.col("own") == F.col("shard")).alias("own"))
 
+    groups = asking.select("shard", F.ceil(F.col("blocks") / BLOCKS_AT_ONCE).alias("groups"))
+
     def plant(key, rows):
         fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
         order = np.argsort(fps)
         fps, ids = fps[order], rows["node"].to_numpy(np.int64)[order]
         tree, keys = bk_tree(fps)
         ids = ids[np.searchsorted(fps, tree)]
-        return pd.DataFrame({"shard": [key[0]], "tree": [tree.tobytes()], "keys": [keys.tobytes()],
+        return pd.DataFrame({"shard": [key[0]], "t": [key[1]], "tree": [tree.tobytes()], "keys": [keys.tobytes()],
                              "ids": [ids.tobytes()]})
 
     def block(key, rows):
-        return pd.DataFrame({"shard": [key[0]], "fps": [rows["fp"].to_numpy(np.int64).tobytes()],
+        return pd.DataFrame({"shard": [key[0]], "g": [key[1] // BLOCKS_AT_ONCE], "fps": [rows["fp"].to_numpy(np.int64).tobytes()],
                              "nodes": [rows["node"].to_numpy(np.int64).tobytes()],
                              "own": [rows["own"].to_numpy(np.uint8).tobytes()]})
 
@@ -173,9 +185,12 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    trees = members.groupBy("shard", "n").applyInPandas(plant, "shard long, tree binary, keys binary, ids binary")
-    asks = asked.groupBy("shard", "n").applyInPandas(block, "shard long, fps binary, nodes binary, own binary")
-    return trees.join(asks, "shard").drop("shard").mapInArrow(find, "a long, b long")
+    trees = members.groupBy("shard", "n").applyInPandas(plant, "shard long, t long, tree binary, keys binary, ids binary") \
+        .join(groups, "shard").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
+    asks = asked.groupBy("shard", "n").applyInPandas(block, "shard long, g long, fps binary, nodes binary, own binary") \
+        .join(size, "shard").withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1))).drop("trees")
+    met = trees.join(asks, ["shard", "t", "g"])
+    return met.drop("shard", "t", "g").mapInArrow(find, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
