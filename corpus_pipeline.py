@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cropcube.llm import anchors, packing, quality, simhash
-from cropcube.llm.common import table, written
+from cropcube.llm.common import fresh, table, written
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,32 +23,43 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """SimHash near-dedup (3): of each group the document of smallest doc_id stays.
+    """SimHash near-dedup (3): one row of each group stays, that of the smallest doc_id.
 
-    Three-word shingles, at most 2 differing bits.  Of rows that repeat its doc_id the
-    one with the smallest text stays (null first).  Rows without a doc_id cannot be
-    told apart and go.
+    Three-word shingles, at most 2 differing bits.  Rows are told apart by a number of the
+    stage's own: rows without a doc_id, and unrelated rows that share one, are documents
+    like any other.  In a group, rows without a doc_id come last, and of rows that repeat the
+    smallest doc_id one stays.
     """
-    found = simhash.near_duplicates(docs, words=3, radius=2)
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("_kept_id")).distinct()
-    stay = docs.join(kept, docs["doc_id"] == kept["_kept_id"], "left_semi")
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return stay.withColumn("_row_of_id", first).where("_row_of_id = 1").drop("_row_of_id")
+    row = fresh(docs, "row")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    found = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), words=3, radius=2)
+    ids = numbered.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("id"))
+    place = F.struct(F.col("id").isNull().alias("none"), "id", F.col("doc_id").alias("row"))
+    kept = found.select("doc_id", "component_id").join(ids, "doc_id").groupBy("component_id").agg(F.min(place).alias("first"))
+    kept = kept.select(F.col("first.row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+#: Stands for a missing doc_id where documents are ordered: such rows come last.
+LAST = (1 << 63) - 1
 
 
 def cut_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Substring dedup (9): words covered by a window of 20 words that also starts earlier go.
 
     A document that loses words keeps the others joined by one space, and its n_chars
-    follows; one that loses none stays as it is.  No document goes.
+    follows; one that loses none stays as it is.  No document goes: rows without a doc_id
+    stand after all others.
     """
+    own = fresh(docs, "own_id")
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = anchors.dedup(docs, window=20, carry=others or ["doc_id"])
+    placed = docs.withColumn(own, F.col("doc_id")).withColumn("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)))
+    found = anchors.dedup(placed, window=20, carry=[own, *others])
     changed = F.col("n_removed") > 0
     text = F.when(changed, F.col("text")).otherwise(F.col("original"))
-    columns = {"doc_id": F.col("doc_id"), "text": text}
+    columns = {"doc_id": F.col("carry_0"), "text": text}
     for i, c in enumerate(others):
-        columns[c] = F.col(f"carry_{i}")
+        columns[c] = F.col(f"carry_{i + 1}")
         if c == "n_chars":
             columns[c] = F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(columns[c])
     return found.select(*[columns[c].alias(c) for c in docs.columns])
