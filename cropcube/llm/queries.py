@@ -39,6 +39,40 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0)
 FROM d LEFT JOIN kept USING (doc_id)"""
 
 
+LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reach AS (SELECT DISTINCT vec_id, vec_id AS other FROM embeddings WHERE vec_id IS NOT NULL
+          UNION SELECT reach.vec_id, links.b FROM reach JOIN links ON links.a = reach.other),
+low AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id),
+n AS (SELECT a AS vec_id, count(DISTINCT b) AS n FROM links GROUP BY a)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, low.component_id, e.vec_id = low.component_id AS kept
+FROM embeddings e JOIN low USING (vec_id) LEFT JOIN n USING (vec_id)"""
+
+BYTES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, encode(coalesce(text, '')) AS b FROM documents WHERE doc_id IS NOT NULL),
+places AS (SELECT row, unnest(range(octet_length(b) - 399)) AS p, b FROM d WHERE octet_length(b) >= 400),
+strings AS (SELECT row, p, md5(b[p + 1:p + 400]) AS h FROM places),
+again AS (SELECT row, p FROM strings QUALIFY count(*) OVER (PARTITION BY h) > 1),
+steps AS (SELECT row, p, coalesce(p > lag(p) OVER (PARTITION BY row ORDER BY p) + 400, true) AS new FROM again),
+runs AS (SELECT row, p, sum(CAST(new AS INTEGER)) OVER (PARTITION BY row ORDER BY p) AS g FROM steps),
+spans AS (SELECT row, min(p) AS s, max(p) + 400 AS e FROM runs GROUP BY row, g),
+rest AS (
+  SELECT row, lag(e, 1, 0) OVER (PARTITION BY row ORDER BY s) AS a, s AS z FROM spans
+  UNION ALL SELECT row, max(e), any_value(octet_length(b)) FROM spans JOIN d USING (row) GROUP BY row),
+kept AS (SELECT row, unhex(string_agg(hex(b[a + 1:z]), '' ORDER BY a)) AS b FROM rest JOIN d USING (row) WHERE z > a GROUP BY row),
+lost AS (SELECT row, sum(e - s) AS n, count(*) AS spans FROM spans GROUP BY row)
+SELECT doc_id, CAST(octet_length(d.b) AS BIGINT) AS n_bytes, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(lost.spans, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN lost.n IS NULL THEN d.b ELSE coalesce(kept.b, ''::BLOB) END) AS kept_sha256
+FROM d LEFT JOIN lost USING (row) LEFT JOIN kept USING (row)"""
+
+
 @query("op1_exact_top_k", TOP_K_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(F.col("vec_id").isNotNull() & usable("embedding"))
@@ -47,7 +81,7 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(whole, whole.where(F.col("vec_id") % 50 == 0), k=5)
 
 
-@query("op2_embedding_near_dedup")
+@query("op2_embedding_near_dedup", LINKS_SQL)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = rpforest.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.93)
     return found.select("vec_id", "n_links", "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
@@ -90,7 +124,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
-@query("op5_suffix_array_dedup")
+@query("op5_suffix_array_dedup", BYTES_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.dedup(table(spark, sf_dir, "documents"), length=400)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
