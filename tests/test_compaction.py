@@ -104,3 +104,41 @@ def test_many_partitions_are_joined(spark, sink, monkeypatch):
     assert touched.where is None and not touched.none
     joined = I.landed(spark, path, rows.schema, touched)
     assert sorted(map(tuple, named.collect())) == sorted(map(tuple, joined.collect())) and joined.select("bbox", "year").distinct().count() == 2
+
+
+SMALL = "bbox string, year int, pixel_id long, tile string, scene_date date, red int"
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_histories(spark, tmp_path, seed):
+    """Deliveries, replays, compactions, crashes and vacuums in any order give the rows that a dictionary gives."""
+    import datetime as dt
+    import random
+    rng = random.Random(seed)
+    path, held, epoch, last = str(tmp_path / "sink"), {}, 0, []
+    schema = spark.createDataFrame([], SMALL).schema
+
+    def delivery():
+        rows = {}
+        for _ in range(rng.randrange(1, 12)):
+            key = (rng.choice("ab"), rng.choice([1, 2]), rng.randrange(4), "t", dt.date(2000, 1, rng.randrange(1, 4)))
+            rows[key] = rng.randrange(3)
+        return [(*k, v) for k, v in rows.items()]
+
+    for step in ["land", "land", *rng.choices(["land", "replay", "compact", "fold", "vacuum", "half"], k=9), "compact", "land"]:
+        if step == "land":
+            last = delivery()
+            I.land_batch(spark.createDataFrame(last, SMALL), epoch, path)
+            held.update({r[:5]: r for r in last})
+            epoch += 1
+        elif step == "replay":
+            I.land_batch(spark.createDataFrame(last, SMALL), epoch - 1, path)
+        elif step == "compact":
+            CP.compact(spark, path, schema, I.OBSERVATION_KEY, through=rng.randrange(epoch))
+        elif step == "fold":  # a crash after the folding
+            CP.fold(spark, path, schema, I.OBSERVATION_KEY, epoch - 2)
+        elif step == "half":  # a crash while a version was written
+            os.makedirs(f"{path}/_manifest/version={(CP._versions(spark, path) or [0])[-1] + 1}", exist_ok=True)
+        else:
+            CP.vacuum(spark, path)
+        assert _rows(spark, path, schema) == sorted(held.values()), step

@@ -10,7 +10,9 @@ def _plan(df):
 
 
 @pytest.mark.parametrize("name", ["l09_train_slots", "j07_sweep_slots", "t15_encoded_series",
-                                  "t23_decoded_series", "m05_predictions", "a01_class_share"])
+                                  "t23_decoded_series", "m05_predictions", "a01_class_share", "j04_scene_chain",
+                                  "j05_footprint_search", "l10_shuffled_examples", "s14_interleaved_files", "s15_exact_batches",
+                                  "a16_sketch_quantiles", "u01_pending_partitions", "r01_compacted_ingest"])
 def test_no_python_udf(spark, sf_small, name):
     plan = _plan(E.queries()[name](spark, sf_small))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
