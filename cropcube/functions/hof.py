@@ -1,4 +1,10 @@
-"""Helpers for higher-order-function expressions."""
+"""Helpers for higher-order-function expressions.
+
+Generators over computed arrays use the outer form (``explode_outer``, ``inline_outer``).
+For the inner form Spark infers a filter that the array is not empty and pushes it below
+the array's own computation, so a long expression is optimised and evaluated twice.
+Where an array can be empty, the null row that the outer form gives it is dropped after.
+"""
 
 from __future__ import annotations
 

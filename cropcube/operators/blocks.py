@@ -52,7 +52,7 @@ def to_blocks(pixels: DataFrame, scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS),
     cells = cells.select(*scene, "block_row", "block_col", let(once, filled).alias("_cells"))
     rows = F.array(*[record(asset=F.lit(a), first=F.col("_cells")[0]["at"], values=F.col(f"_cells.{a}"))
                      for a in assets])
-    return cells.select(*scene, "block_row", "block_col", F.inline(rows))
+    return cells.select(*scene, "block_row", "block_col", F.inline_outer(rows))
 
 
 def write_blocks(blocks: DataFrame, buckets: int | None = None) -> DataFrame:
@@ -97,7 +97,7 @@ def observe_blocks(cells: DataFrame, blocks: DataFrame, wanted: DataFrame | None
     seen = F.filter(F.sequence(F.lit(0), F.size("_samples") - 1), lambda i: F.get(scl, i).isNotNull() & ~F.get(scl, i).isin(list(exclude)))
     rows = F.transform(seen, lambda i: record(
         **{k: F.get(F.col("_samples"), i)[k] for k in keep}, **{a: F.get(F.col(c), i) for a, c in of.items()}))
-    return whole.select("mgrs", "year", *rest, F.inline(rows))
+    return whole.select("mgrs", "year", *rest, F.inline_outer(rows)).where(F.col("scl").isNotNull())
 
 
 def _named(asset: str):

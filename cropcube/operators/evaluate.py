@@ -58,10 +58,10 @@ def confusion_matrix(results: DataFrame, normalize: str = "pred", true: str = "t
     map, from which the grid is filled.  Absent pairs show 0, an empty predicted column gives
     a null share.
     """
-    at = (F.col(true) * F.lit(n_classes) + F.col(pred)).cast("int")
     known = F.col(true).between(0, n_classes - 1) & F.col(pred).between(0, n_classes - 1)
-    counts = results.where(known).groupBy(at.alias("at")).agg(F.count("*").alias("n")) \
-        .agg(F.map_from_entries(F.collect_list(F.struct("at", "n"))).alias("counts"))
+    at = F.when(known, (F.col(true) * F.lit(n_classes) + F.col(pred)).cast("int"))
+    counts = results.groupBy(at.alias("at")).agg(F.count("*").alias("n")) \
+        .agg(F.map_from_entries(F.collect_list(F.when(F.col("at").isNotNull(), F.struct("at", "n")))).alias("counts"))
     cells = counts.select("counts", F.explode(F.sequence(F.lit(0), F.lit(n_classes * n_classes - 1))).alias("at")).select(
         F.floor(F.col("at") / n_classes).cast("int").alias("true_label"), (F.col("at") % n_classes).alias("predicted"),
         F.coalesce(F.try_element_at("counts", F.col("at")), F.lit(0).cast("long")).alias("count"))

@@ -118,13 +118,17 @@ def sweep_examples(series: DataFrame, key=("bbox", "year", "pixel_id", "CDL"),
 
     days = F.array(*[F.lit(int(d)) for d in start_days])
     starts = let(rows, lambda rs: F.transform(days, lambda d: record(start_day=d, slots=slots_from(rs, d))))
-    df = series.select(*key, F.inline(starts))
+    df = series.select(*key, F.inline_outer(starts))
     return df.select(*key, "start_day", "slots", label_of(F.col("CDL"), F.col("slots")).alias("label"))
 
 
 def slots_long(examples: DataFrame, key=("bbox", "year", "pixel_id", "CDL", "start_day"), extra=("label",)) -> DataFrame:
-    """One row per filled slot with the 15 feature columns."""
-    return examples.select(*key, *extra, F.explode("slots").alias("s")).select(
+    """One row per filled slot with the 15 feature columns.
+
+    ``bucketize`` leaves no example without slots, so nothing is filtered here: a filter
+    above the slots' expression would make the optimiser work out all that holds for it.
+    """
+    return examples.select(*key, *extra, F.explode_outer("slots").alias("s")).select(
         *key, *extra, F.col("s.slot").alias("slot"), F.col("s.day").alias("day"),
         F.col("s.ndvi").alias("ndvi"), F.col("s.scl").alias("scl"),
         *[F.col("s.bands")[i].alias(b) for i, b in enumerate(K.BANDS)])

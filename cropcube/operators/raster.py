@@ -45,7 +45,7 @@ def grid_sample(strips: DataFrame, stride: int | Column, start=None, keep=()) ->
     cols = F.when(F.col("_start") <= last, F.sequence(F.col("_start"), last, step)) \
         .otherwise(F.array().cast("array<int>"))
     cells = picked.select(*keep, "raster_id", "bbox", "year", "row", "x0", "y0", "dx", "dy", "values",
-                          F.explode(cols).alias("col"))
+                          F.explode_outer(cols).alias("col")).where("col IS NOT NULL")
     return cells.withColumn("code", F.get("values", F.col("col"))).drop("values")
 
 
@@ -77,7 +77,7 @@ def densify(strips: DataFrame, samples: DataFrame, value: str = "code") -> DataF
         .join(_per_strip(samples, value), ["raster_id", "row"], "left")
     cells = F.transform(F.sequence(F.lit(0), F.col("_n") - 1),
                         lambda i: F.coalesce(F.try_element_at(F.col("_at"), i), F.lit(0)))
-    return at.where("_n > 0").select("raster_id", "row", F.posexplode(cells).alias("col", value))
+    return at.where("_n > 0").select("raster_id", "row", F.posexplode_outer(cells).alias("col", value))
 
 
 def samples_outside_grid(strips: DataFrame, samples: DataFrame) -> DataFrame:

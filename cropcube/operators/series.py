@@ -101,6 +101,6 @@ def with_series_ndvi(series: DataFrame, drop_zero_sum: bool = False) -> DataFram
 
 def explode_images(series: DataFrame, key=SERIES_KEY) -> DataFrame:
     """W08 + T39: one row per image with its ordinal in the series."""
-    return series.select(*key, F.posexplode("images").alias("image_index", "img")).select(
+    return series.select(*key, F.posexplode_outer("images").alias("image_index", "img")).where("image_index IS NOT NULL").select(
         *key, F.col("image_index").cast("int").alias("image_index"), "img.scene_date", "img.tile", "img.scl",
         *[F.col("img.bands")[i].alias(b) for i, b in enumerate(K.BANDS)])

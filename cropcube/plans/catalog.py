@@ -371,7 +371,7 @@ def j07_sweep_slots(spark, sf):
        + "".join(f", CAST(label = {i} AS INTEGER) AS is_{i}" for i in range(K.NUM_CLASSES)) + " FROM nb")
 def t31_normalised_features(spark, sf):
     ex = L.with_one_hot(train_examples(spark, sf))
-    long = ex.select("bbox", "year", "pixel_id", "label", "label_one_hot", F.explode("slots").alias("s"))
+    long = ex.select("bbox", "year", "pixel_id", "label", "label_one_hot", F.explode_outer("slots").alias("s"))
     z = L.normalise_bands(F.col("s.bands"))
     return long.select("bbox", "year", "pixel_id", F.col("s.slot").alias("slot"), "label",
                        *[F.round(z[i], 6).alias(f"z_{b}") for i, b in enumerate(K.BANDS)],

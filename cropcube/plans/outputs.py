@@ -37,7 +37,7 @@ FROM grid g LEFT JOIN (SELECT {_KEY}, start_day, slot, {', '.join(_MATRIX)} FROM
 def t27_dense_matrix(spark, sf):
     """The zero-padded 25 x 15 matrix of every training example, a row for each slot."""
     ex = C.train_examples(spark, sf)
-    rows = ex.select(*_KEY.split(", "), "start_day", "label", F.posexplode(L.dense_slots(F.col("slots"))).alias("slot", "m"))
+    rows = ex.select(*_KEY.split(", "), "start_day", "label", F.posexplode_outer(L.dense_slots(F.col("slots"))).alias("slot", "m"))
     return rows.select(*_KEY.split(", "), "start_day", "label", F.col("slot").cast("int").alias("slot"),
                        *[F.col("m")[i].alias(c) for i, c in enumerate(_MATRIX)])
 
@@ -49,7 +49,7 @@ FROM obs""")
 def t25_ndvi_in_place(spark, sf):
     """NDVI of every image at its place in the series, null where both bands are zero."""
     v = S.with_series_ndvi(C.series(spark, sf))
-    return v.select("bbox", "year", "pixel_id", F.posexplode("ndvi").alias("image_index", "v")).select(
+    return v.select("bbox", "year", "pixel_id", F.posexplode_outer("ndvi").alias("image_index", "v")).where("image_index IS NOT NULL").select(
         "bbox", "year", "pixel_id", F.col("image_index").cast("int").alias("image_index"), F.round("v", 6).alias("ndvi"))
 
 
@@ -108,7 +108,7 @@ SELECT band, count(v) AS n, min(v) AS min, max(v) AS max, round(avg(v), 6) AS me
                 for i in range(_BINS)) + " FROM stacked GROUP BY band")
 def a16_normalised_distribution(spark, sf):
     """Distribution of the normalised bands, with bins for what lies outside."""
-    ex = C.train_examples(spark, sf).select(F.explode("slots").alias("s")).select(
+    ex = C.train_examples(spark, sf).select(F.explode_outer("slots").alias("s")).select(
         L.normalise_bands(F.col("s.bands")).alias("z"))
     wide = ex.select(*[F.round(F.col("z")[i], 6).alias(b) for i, b in enumerate(K.BANDS)])
     return ST.band_distribution(wide, K.BANDS, bins=_BINS, lo=_LO, hi=_HI)
