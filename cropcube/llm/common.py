@@ -66,11 +66,11 @@ def _own_checkpoint_dir() -> str:
     return "file://" + tempfile.mkdtemp(prefix="cropcube-llm-")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written to the shared folder and read back: cuts the lineage, and a
     lost executor costs a reread of the table, not its upstream jobs."""
     spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
