@@ -31,7 +31,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     smallest doc_id one stays.
     """
     row = fresh(docs, "row")
-    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    numbered = written(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", "zstd")
     found = simhash.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text"), words=3, radius=2)
     ids = numbered.select(F.col(row).alias("doc_id"), F.col("doc_id").alias("id"))
     place = F.struct(F.col("id").isNull().alias("none"), "id", F.col("doc_id").alias("row"))
