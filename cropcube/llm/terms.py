@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 
 from cropcube.llm.common import as_bytes, ragged, slices
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 PIECE_BYTES = 32 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
