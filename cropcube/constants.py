@@ -68,6 +68,7 @@ LABEL_NO_CROP_GROWING = 2
 
 # Loader geometry.
 BATCH_SIZE = 1028
+MAX_EPOCHS = 40
 DAYS_IN_SERIES = 120
 DAYS_PER_BUCKET = 5
 MAX_IMAGES_PER_SERIES = DAYS_IN_SERIES // DAYS_PER_BUCKET + 1  # 25 slots

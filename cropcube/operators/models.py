@@ -92,7 +92,7 @@ def loss_of(model: Model, frame: DataFrame) -> tuple[int, float | None, float |
     return r.n, r.loss, r.accuracy
 
 
-def train_rounds(train_of: Callable[[int], DataFrame], validation: DataFrame, rounds: int = 40, iterations: int = 5,
+def train_rounds(train_of: Callable[[int], DataFrame], validation: DataFrame, rounds: int = K.MAX_EPOCHS, iterations: int = 5,
                  hidden: int = 50, seed: int = 7, patience: int | None = None) -> Rounds:
     """The feed-forward classifier in rounds, each from the weights of the one before, validated after each.
 
