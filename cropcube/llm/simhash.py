@@ -209,3 +209,67 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     linked = components(written(near_links(nodes, radius).unionByName(own), "near-links"))
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+
+
+# The five primes of XXH64.
+_PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def oracle(words: int = 3, radius: int = 2, seed: int = 42) -> str:
+    """DuckDB SQL for the fingerprints and components of ``documents``, XXH64 included.
+
+    Steps of the hash are a fold over a list of lanes (of 8, 4 and 1 bytes, the kind in the
+    bits above 64); sums and products are taken in 128 bits, modulo 2 ** 64.
+    """
+    P, size = _PRIMES, 2 ** 64
+    names = (f"x{i}" for i in itertools.count())
+
+    def let(value, body):
+        v = next(names)
+        return f"list_transform([{value}], lambda {v}: {body(v)})[1]"
+    word = lambda x: f"CAST(({x}) % {size}::UHUGEINT AS UBIGINT)"  # modulo 2 ** 64
+    times = lambda x, p: word(f"CAST({x} AS UHUGEINT) * {p}::UHUGEINT")
+    plus = lambda x, y: word(f"CAST({x} AS UHUGEINT) + CAST({y} AS UHUGEINT)")
+    turn = lambda x, r: let(x, lambda v: f"({times(v, 2 ** r)} + ({v} >> {64 - r}))")
+    step = lambda acc, lane: times(turn(plus(acc, times(lane, P[1])), 31), P[0])
+    shift = lambda x, r: let(x, lambda v: f"xor({v}, {v} >> {r})")
+
+    def lane(at, size):
+        digits = " || ".join(f"substr(hex, 2 * ({at}) + {2 * i + 1}, 2)" for i in reversed(range(size)))
+        return f"CAST('0x' || {digits} AS UBIGINT)"
+    lanes = [f"list_reduce(list_prepend({(seed + a) % size}::UBIGINT, list_transform(range(n // 32), lambda s: {lane(f'32 * s + {8 * i}', 8)})), "
+             f"lambda a, l: {step('a', 'l')})" for i, a in enumerate((P[0] + P[1], P[1], 0, -P[0]))]
+    start = word(" + ".join(f"CAST({turn(f'v{i}', r)} AS UHUGEINT)" for i, r in enumerate((1, 7, 12, 18))))
+    for i in range(4):
+        start = plus(times(f"xor({start}, {step('0::UBIGINT', f'v{i}')})", P[0]), P[3])
+    kinds = [f"list_transform(range(n % 32 // 8), lambda i: {size}::UHUGEINT + {lane('n // 32 * 32 + 8 * i', 8)})",
+             f"list_transform(range(n % 8 // 4), lambda i: {2 * size}::UHUGEINT + {lane('n // 8 * 8', 4)})",
+             f"list_transform(range(n % 4), lambda i: {3 * size}::UHUGEINT + {lane('n // 4 * 4 + i', 1)})"]
+    h, value = "CAST(h AS UBIGINT)", word("e")
+    rest = (f"CAST(CASE e // {size}::UHUGEINT WHEN 1 THEN {plus(times(turn(f'xor({h}, ' + step('0::UBIGINT', value) + ')', 27), P[0]), P[3])} "
+            f"WHEN 2 THEN {plus(times(turn(f'xor({h}, ' + times(value, P[0]) + ')', 23), P[1]), P[2])} "
+            f"ELSE {times(turn(f'xor({h}, ' + times(value, P[4]) + ')', 11), P[0])} END AS UHUGEINT)")
+    last = shift(times(shift(times(shift(h, 33), P[1]), 29), P[2]), 32)
+    return rf"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (
+  SELECT row, CASE WHEN len(w) < {words} THEN array_to_string(w, ' ') ELSE array_to_string(w[p:p + {words - 1}], ' ') END AS s
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - {words - 2}, 2))) AS p FROM d WHERE len(w) > 0)),
+own AS (SELECT row, s, count(*) AS many FROM s GROUP BY row, s),
+text AS (SELECT s, hex(encode(s)) AS hex, octet_length(encode(s)) AS n FROM (SELECT DISTINCT s FROM s)),
+lanes AS (SELECT *, {', '.join(f'CASE WHEN n >= 32 THEN {x} END AS v{i}' for i, x in enumerate(lanes))} FROM text),
+begun AS (SELECT *, CAST({plus(f"CASE WHEN n >= 32 THEN {start} ELSE {seed + P[4]}::UBIGINT END", "n")} AS UHUGEINT) AS h0 FROM lanes),
+mixed AS (SELECT s, list_reduce(list_prepend(h0, list_concat({', '.join(kinds)})), lambda h, e: {rest}) AS h FROM begun),
+hashes AS (SELECT s, CAST({last} AS UBIGINT) AS h FROM mixed),
+bits AS (
+  SELECT row, b, 2 * sum(CASE WHEN (h >> b) & 1 = 1 THEN many ELSE 0 END) > sum(many) AS is_set
+  FROM own JOIN hashes USING (s), range(64) AS r(b) GROUP BY row, b),
+prints AS (SELECT row, CAST(sum(CASE WHEN is_set THEN CAST(1 AS HUGEINT) << CAST(b AS INTEGER) ELSE 0 END) AS UBIGINT) AS fp FROM bits GROUP BY row),
+fps AS (SELECT doc_id, coalesce(fp, 0::UBIGINT) AS fp FROM d LEFT JOIN prints USING (row)),
+nodes AS (SELECT fp, min(doc_id) AS node FROM fps GROUP BY fp),
+links AS (SELECT a.fp AS a, b.fp AS b FROM nodes a JOIN nodes b ON a.fp <> b.fp AND bit_count(CAST(xor(a.fp, b.fp) AS HUGEINT)) <= {radius}),
+reach AS (SELECT fp, fp AS other FROM nodes UNION SELECT reach.fp, links.b FROM reach JOIN links ON links.a = reach.other),
+low AS (SELECT reach.fp, min(node) AS component_id FROM reach JOIN nodes ON nodes.fp = reach.other GROUP BY reach.fp)
+SELECT doc_id, lower(lpad(to_hex(fp), 16, '0')) AS fingerprint, component_id FROM fps JOIN low USING (fp)"""

@@ -147,3 +147,18 @@ def test_byte_strings_repeated_rows_and_empty(make_docs):
     assert suffixes.dedup(docs.limit(0)).collect() == []
     with pytest.raises(ValueError):
         suffixes.dedup(docs, 60)
+
+
+def test_sql_of_the_fingerprints():
+    """XXH64 in SQL: texts whose shingles have every length from 1 to 100 bytes, few words, none, and copies."""
+    import duckdb
+    import pandas as pd
+    rng = random.Random(3)
+    rows = [" ".join("é漢ab1"[rng.randrange(5)] * rng.randrange(1, n) for _ in range(rng.randrange(1, 30))) for n in range(2, 34) for _ in range(3)]
+    rows += ["a" * n for n in range(1, 100)] + _near_texts()
+    rows = [t for t in rows if t is None or "\x00" not in t]
+    documents = pd.DataFrame({"doc_id": range(len(rows)), "text": pd.array(rows, dtype="string")})  # noqa: F841  read by DuckDB
+    got = {i: (f, c) for i, f, c in duckdb.connect().sql(simhash.oracle()).fetchall()}
+    fps = {i: plain_simhash(t) for i, t in enumerate(rows)}
+    low = united(fps, [(a, b) for a in fps for b in fps if a < b and (fps[a] ^ fps[b]).bit_count() <= 2])
+    assert got == {i: (f"{fps[i]:016x}", low[i]) for i in fps}
