@@ -1,6 +1,6 @@
 """Observations: pixels x scenes, de-duplication and quality filters.
 
-J01 attach_class_names, J04 observe_scenes, F06 drop_scl, F07 drop_incomplete,
+J01 attach_class_names, J12 sample_cells, F06 drop_scl, F07 drop_incomplete,
 W03-style keep-latest as a combinable aggregate.
 """
 
@@ -100,17 +100,3 @@ def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, cell_degrees: fl
     cell = cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))
     return with_tiles.withColumn("_cell", cell).withColumns(
         {"row": F.col("_cell.row"), "col": F.col("_cell.col")}).drop("_cell")
-
-
-def observe_scenes(sample_cells_df: DataFrame, scene_pixels: DataFrame,
-                   keys=("mgrs", "year", "row", "col")) -> DataFrame:
-    """Value of every asset of every scene at every sample pixel.
-
-    An equi-join on (tile grid, year, row, col): each sample cell meets the
-    values of all scenes of that tile at that cell, which is the observation
-    table itself (no intermediate pairs).  The SCL exclusion is applied to
-    the scene pixels before the join, so excluded cells are never shuffled.
-    A sample outside every scene has no match, i.e. no data.
-    """
-    sp = drop_scl(scene_pixels)
-    return sample_cells_df.join(sp, list(keys), "inner")

@@ -44,6 +44,7 @@ def shuffled(df: DataFrame, key=("pixel_id", "year"), seed: int = 0, epoch: int
 
     Rows go by the MD5 draw of seed, epoch and key, rows of equal draw by key.  Draws are
     uniform, so buckets of draws are even; ``rows`` saves the count of the rows where known.
+    ``df`` is read for its count, its buckets and its rows: store it first if it is costly.
     """
     buckets = max(1, -(-(df.count() if rows is None else rows) // BUCKET_ROWS))
     d = draw("shuffle", *[F.col(k) for k in key], seed=seed, epoch=epoch)

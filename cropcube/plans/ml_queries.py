@@ -171,7 +171,8 @@ placed AS (
 @query("l10_shuffled_examples", "L10", sql=Q.with_(Q.TRAIN) + _position_sql("train_long", _SERIES) + "SELECT * FROM placed")
 def l10_shuffled_examples(spark, sf):
     """Training examples in a seeded global random order, with their positions."""
-    return P.shuffled(C.train_examples(spark, sf).select(*_EXAMPLE, "label"), key=_SERIES, seed=7).orderBy("position")
+    examples = materialize(C.train_examples(spark, sf).select(*_EXAMPLE, "label"), "examples")
+    return P.shuffled(examples, key=_SERIES, seed=7).orderBy("position")
 
 
 @query("s15_exact_batches", "S15 L10", sql=Q.with_(Q.SWEEP) + _position_sql("sweep_long", _EXAMPLE) + f"""
@@ -181,7 +182,8 @@ FROM placed GROUP BY position // {K.BATCH_SIZE}""")
 def s15_exact_batches(spark, sf):
     """Shuffled examples of the sweep, stored in order and handed on in batches: 1028 rows each but for the last, in the shuffled order."""
     path = shared_path(spark, "shuffled")
-    P.shuffled(C.sweep(spark, sf).select(*_EXAMPLE, "label"), key=_EXAMPLE, seed=7).orderBy("position").write.parquet(path)
+    examples = materialize(C.sweep(spark, sf).select(*_EXAMPLE, "label"), "examples")
+    P.shuffled(examples, key=_EXAMPLE, seed=7).orderBy("position").write.parquet(path)
     steps = P.Batches(spark, path).stacked("position", "label", "pixel_id")
     total = F.aggregate("label", F.lit(0).cast("long"), lambda n, x: n + x)
     return steps.select("batch", F.size("label").cast("long").alias("n_rows"), total.alias("label_sum"),
