@@ -2,12 +2,13 @@
 
 A block is a square of cells of a tile's grid.  Its row has the values from the first to
 the last cell with data, row by row, as an int array; cells without data are null inside
-and left out at the ends.  Samples are grouped by the block that they lie in, meet the
-blocks by an equi-join, and pick their values by index.  No cell that is not sampled ever
-becomes a row.
+and left out at the ends.  Where few of these cells have data, the row has only the values
+there and their places (``cells``), so a block takes no more than a few times its data.
+Samples are grouped by the block that they lie in, meet a scene's block by an equi-join, all
+assets at once, and pick their values by index.  No cell that is not sampled ever becomes a row.
 
 Stored with :func:`write_blocks` the blocks lie in buckets of (tile, year, block).  The
-join and the assembly of the assets then read them where they are: the samples are
+assembly of the assets and the join then read them where they are: the samples are
 shuffled to the buckets, the pixels never are.
 """
 
@@ -22,6 +23,8 @@ from cropcube.session import shared_path, shared_table
 
 #: Cells of a block's side.
 BLOCK_CELLS = 256
+#: A block holds the places of its values if its span is above SHORT and above SPARSE times its cells with data.
+SHORT, SPARSE = 64, 4
 BLOCK_KEY = ["mgrs", "year", "block_row", "block_col"]
 SCENE_KEY = ["scene_id", "mgrs", "year", "scene_date", "seq", "delivery"]
 
@@ -37,7 +40,8 @@ def to_blocks(pixels: DataFrame, scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS),
     """Cells of scenes (row, col and a column for each asset) as blocks.
 
     One aggregation on (scene, block), of at most size x size cells.  Where a scene gives a
-    cell more than once, the greatest values stay.
+    cell more than once, the greatest values stay.  ``values`` are those of the cells from
+    ``first`` on, or, where ``cells`` is not null, those of these cells.
     """
     cells = pixels.withColumns(block_of(F.col("row"), F.col("col"), size)).groupBy(*scene, "block_row", "block_col") \
         .agg(F.array_sort(F.collect_list(F.struct("at", *assets))).alias("_cells"))
@@ -49,8 +53,14 @@ def to_blocks(pixels: DataFrame, scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS),
         gap = lambda c, i: F.when(i == 0, F.lit(0)).otherwise(c["at"] - F.get(cs, i - 1)["at"] - 1)
         return F.flatten(F.transform(cs, lambda c, i: F.concat(F.array_repeat(F.get(empty, F.lit(0)), gap(c, i)), F.array(c))))
 
-    cells = cells.select(*scene, "block_row", "block_col", let(once, filled).alias("_cells"))
-    rows = F.array(*[record(asset=F.lit(a), first=F.col("_cells")[0]["at"], values=F.col(f"_cells.{a}"))
+    def stored(cs):
+        span = F.element_at(cs, -1)["at"] - F.get(cs, F.lit(0))["at"] + 1
+        sparse = span > F.greatest(F.lit(SHORT), F.lit(SPARSE) * F.size(cs))
+        return record(first=F.get(cs, F.lit(0))["at"], cells=F.when(sparse, F.transform(cs, lambda c: c["at"])),
+                      values=F.when(sparse, cs).otherwise(filled(cs)))
+
+    cells = cells.select(*scene, "block_row", "block_col", let(once, stored).alias("_block"))
+    rows = F.array(*[record(asset=F.lit(a), first=F.col("_block.first"), cells=F.col("_block.cells"), values=F.col("_block.values")[a])
                      for a in assets])
     return cells.select(*scene, "block_row", "block_col", F.inline_outer(rows))
 
@@ -73,31 +83,56 @@ def observe_blocks(cells: DataFrame, blocks: DataFrame, wanted: DataFrame | None
     ``wanted``, where given, names the scenes to read (mgrs, year, scene_date, seq).  A sample
     outside every block, or where the scene has no data or an excluded scene class, gives no
     row.  A group of samples is bounded by the cells of a block, the wanted scenes of a tile
-    and year by its dates.
+    and year by its dates.  A scene's block looks its cells up among the samples' where it
+    holds their places, and the samples' among its own where it does not: the work is that
+    of the cells with data, not samples by scenes by assets.
     """
     keep = [c for c in cells.columns if c not in ("mgrs", "year", "row", "col")]
     place = block_of(F.col("row"), F.col("col"), size)
     samples = cells.select("mgrs", "year", *[v.alias(k) for k, v in place.items()], *keep).groupBy(*BLOCK_KEY) \
         .agg(F.collect_list(F.struct("at", *keep)).alias("_samples"))
+    samples = samples.select(*BLOCK_KEY, _by_cell(F.col("_samples")).alias("_s"))
     if wanted is not None:
         samples = samples.join(wanted.groupBy("mgrs", "year").agg(
             F.collect_set(F.struct("scene_date", "seq")).alias("_wanted")), ["mgrs", "year"])
-    met = blocks.join(samples, BLOCK_KEY)
-    if wanted is not None:
-        met = met.where(F.array_contains("_wanted", F.struct("scene_date", "seq")))
     rest = [c for c in scene if c not in BLOCK_KEY]
-    picked = met.select(*BLOCK_KEY, *rest, "asset", "_samples", F.transform(
-        "_samples", lambda s: F.get(F.col("values"), s["at"] - F.col("first"))).alias("v"))
-    whole = picked.groupBy(*BLOCK_KEY, *rest).agg(
-        F.first("_samples").alias("_samples"), F.collect_list(F.struct("asset", "v")).alias("_assets"))
+    whole = blocks.groupBy(*BLOCK_KEY, *rest).agg(
+        F.first("first").alias("_first"), F.first("cells").alias("_cells"),  # the same for all assets
+        F.collect_list(F.struct("asset", "values")).alias("_assets"))
     of = {a: f"_v{i}" for i, a in enumerate(assets)}
-    whole = whole.select(*BLOCK_KEY, *rest, "_samples", *[
-        F.get(F.filter("_assets", _named(a)), F.lit(0))["v"].alias(c) for a, c in of.items()])
-    scl = F.col(of["scl"])
-    seen = F.filter(F.sequence(F.lit(0), F.size("_samples") - 1), lambda i: F.get(scl, i).isNotNull() & ~F.get(scl, i).isin(list(exclude)))
-    rows = F.transform(seen, lambda i: record(
-        **{k: F.get(F.col("_samples"), i)[k] for k in keep}, **{a: F.get(F.col(c), i) for a, c in of.items()}))
-    return whole.select("mgrs", "year", *rest, F.inline_outer(rows)).where(F.col("scl").isNotNull())
+    whole = whole.select(*BLOCK_KEY, *rest, "_first", "_cells", *[
+        F.get(F.filter("_assets", _named(a)), F.lit(0))["values"].alias(c) for a, c in of.items()])
+    met = whole.join(samples, BLOCK_KEY)
+    if wanted is not None:
+        met = met.where(F.array_contains("_wanted", F.struct("scene_date", "seq")))
+    s = F.col("_s")
+    dense = F.transform(s["ats"], lambda a, g: record(i=a - F.col("_first"), g=g))
+    sparse = F.transform("_cells", lambda a, i: record(i=i, g=F.get(s["index"], a - s["ats"][0])))
+    scl = lambda h: F.get(F.col(of["scl"]), h["i"])
+    seen = F.filter(F.when(F.col("_cells").isNull(), dense).otherwise(sparse),
+                    lambda h: h["g"].isNotNull() & scl(h).isNotNull() & ~scl(h).isin(list(exclude)))
+    rows = F.flatten(F.transform(seen, lambda h: F.transform(F.get(s["groups"], h["g"]), lambda x: record(
+        **{k: x[k] for k in keep}, **{a: F.get(F.col(c), h["i"]) for a, c in of.items()}))))
+    return met.select("mgrs", "year", *rest, F.inline_outer(rows)).where(F.col("scl").isNotNull())
+
+
+def _by_cell(samples: Column) -> Column:
+    """Samples of a block: their cells in order (``ats``), the samples of each (``groups``), and the number of
+    its group for every cell from the first to the last (``index``, null where there is no sample)."""
+    def grouped(found, order):
+        starts = F.filter(F.transform(order, lambda o, i: F.when((i == 0) | (o["at"] != F.get(order, i - 1)["at"]), i)), lambda i: i.isNotNull())
+        return let(starts, lambda at: record(
+            ats=F.transform(at, lambda i: F.get(order, i)["at"]),
+            groups=F.transform(at, lambda i, g: F.transform(
+                F.slice(order, i + 1, F.coalesce(F.get(at, g + 1), F.size(order)) - i), lambda o: F.get(found, o["i"])))))
+
+    def indexed(by):
+        gap = lambda a, g: F.when(g == 0, F.lit(0)).otherwise(a - F.get(by["ats"], g - 1) - 1)
+        return record(ats=by["ats"], groups=by["groups"], index=F.flatten(F.transform(by["ats"], lambda a, g: F.concat(
+            F.array_repeat(F.lit(None).cast("int"), gap(a, g)), F.array(g)))))
+
+    order = lambda found: F.array_sort(F.transform(found, lambda x, i: record(at=x["at"], i=i)))
+    return let(let(samples, lambda found: let(order(found), lambda o: grouped(found, o))), indexed)
 
 
 def _named(asset: str):

@@ -6,10 +6,11 @@ W03-style keep-latest as a combinable aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.functions.hof import let, record
 
 MAX_DICTIONARY_ROWS = 256  # class codes are 8-bit raster values
 
@@ -97,6 +98,9 @@ def sample_cells(samples: DataFrame, tiles: DataFrame, cell_fn, cell_degrees: fl
               & (F.col("lat") >= F.col("min_lat")) & (F.col("lat") <= F.col("max_lat")))
     with_tiles = s.join(tc, ["year", "_cx", "_cy"]).where(inside).drop(
         "_cx", "_cy", "min_lon", "min_lat", "max_lon", "max_lat")
-    cell = cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))
-    return with_tiles.withColumn("_cell", cell).withColumns(
-        {"row": F.col("_cell.row"), "col": F.col("_cell.col")}).drop("_cell")
+    # a generator of one row: what is asked of row and col later is not pushed below and worked out again
+    return with_tiles.select("*", F.inline_outer(F.array(_row_col(cell_fn(F.col("lon"), F.col("lat"), F.col("mgrs"))))))
+
+
+def _row_col(cell: Column) -> Column:
+    return let(cell, lambda c: record(row=c["row"], col=c["col"]))

@@ -642,8 +642,7 @@ WHERE scl NOT IN ({Q.SCL_EXCLUDE}) AND CDL IS NOT NULL
 def j04_observe_scenes(spark, sf):
     """Samples of all scenes, from stored blocks of cells."""
     smp = FX.samples_from_observations(spark, sf)
-    ll = FX.pixel_lonlat(F.col("pixel_id"))
-    smp = smp.withColumns({"lon": ll["lon"], "lat": ll["lat"]})
+    smp = smp.select("*", F.inline_outer(F.array(FX.pixel_lonlat("pixel_id"))))
     tiles = FX.scenes(spark, sf).select(
         F.year(F.to_date(F.substring("datetime", 1, 10))).alias("year"),
         F.element_at(F.split("scene_id", "_"), 2).alias("mgrs"),

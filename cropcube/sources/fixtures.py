@@ -216,12 +216,16 @@ def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene rasters as cells: one row per (scene, cell) with the 13 assets.
 
     Each ``lineitem`` row is the value of one scene at the cell holding its
-    pixel; the cell is found with the same projection a sample uses.
+    pixel; the cell is found with the same projection a sample uses, once for
+    each pixel and tile and not for each scene again.
     """
     raw = raw_observations(spark, sf_dir)
-    ll = pixel_lonlat(F.col("pixel_id"))
-    cell = scene_cell(ll["lon"], ll["lat"], F.col("mgrs"))
-    return raw.select(
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work a row
+    places = raw.select("pixel_id", "mgrs").distinct().repartition(tasks, "pixel_id", "mgrs")
+    places = places.select("pixel_id", "mgrs", F.inline_outer(F.array(pixel_lonlat("pixel_id"))))
+    places = places.select("pixel_id", "mgrs", scene_cell(F.col("lon"), F.col("lat"), F.col("mgrs")).alias("_cell"))
+    cell = F.col("_cell")
+    return raw.join(places, ["pixel_id", "mgrs"], "left").select(
         F.concat(F.lit("S2A_"), "mgrs", F.lit("_"), F.date_format("scene_date", "yyyyMMdd"),
                  F.lit("_"), F.col("seq").cast("string"), F.lit("_L2A")).alias("scene_id"),
         "mgrs", "year", "scene_date", "seq", cell["row"].alias("row"), cell["col"].alias("col"),

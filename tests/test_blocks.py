@@ -80,3 +80,17 @@ def test_nothing_to_read(spark):
     none = spark.createDataFrame([], PIXELS)
     assert BL.observe_blocks(spark.createDataFrame(cells, CELLS), BL.to_blocks(none)).collect() == []
     assert BL.observe_blocks(spark.createDataFrame([], CELLS), BL.to_blocks(spark.createDataFrame(pixels, PIXELS))).collect() == []
+
+
+def test_sparse_blocks_keep_places_not_gaps(spark):
+    import datetime as dt
+    s = ("s", "AF", 1997, dt.date(1997, 1, 1), 1, 0)
+    far = [(*s, r, c, 4, *[r + c] * len(K.BANDS)) for r, c in [(0, 0), (100, 7), (255, 255)]]  # 3 cells in a span of 65,536
+    full = [(*s[:5], 1, 0, c, 4, *[c] * len(K.BANDS)) for c in range(100)]
+    blocks = BL.to_blocks(spark.createDataFrame(far + full, PIXELS))
+    sizes = {(r.delivery, r.n, r.c) for r in blocks.select("delivery", F.size("values").alias("n"), F.size("cells").alias("c")).collect()}
+    assert {(d, n) for d, n, _ in sizes} == {(0, 3), (1, 100)} and {c for d, _, c in sizes if d == 0} == {3}
+    cells = spark.createDataFrame([("a", "AF", 1997, 100, 7), ("b", "AF", 1997, 0, 99), ("c", "AF", 1997, 255, 255),
+                                   ("twin", "AF", 1997, 100, 7), ("none", "AF", 1997, 100, 8)], CELLS)
+    got = BL.observe_blocks(cells, blocks).select("name", "delivery", "red").collect()
+    assert sorted(map(tuple, got)) == [("a", 0, 107), ("b", 1, 99), ("c", 0, 510), ("twin", 0, 107)]
