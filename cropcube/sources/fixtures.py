@@ -179,7 +179,11 @@ def scenes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scene_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue as JSON feature text, one feature per row (S09 input)."""
+    """The catalogue as JSON feature text, one feature per row (S09 input).
+
+    The text is made by a generator, so filters on what it holds stay above it: pushed below
+    the ``distinct`` of the scenes they would write and parse it for every ``lineitem`` row.
+    """
     s = scenes(spark, sf_dir)
     props = F.struct(
         F.col("datetime").alias("datetime"),
@@ -190,7 +194,7 @@ def scene_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("scene_id").alias("id"), F.col("collection"),
         F.array("min_lon", "min_lat", "max_lon", "max_lat").alias("bbox"),
         props.alias("properties"), assets.alias("assets"))
-    return s.select(F.to_json(feature).alias("json"))
+    return s.select(F.explode_outer(F.array(F.to_json(feature))).alias("json"))
 
 
 UTM_ZONE = 15

@@ -36,3 +36,10 @@ def test_splits_read_their_own_partitions(spark, tmp_path):
         assert "(year#" in plan.split("PartitionFilters: [")[1].split("]")[0] and str(year) in plan.split("PartitionFilters: [")[1].split("]")[0]
         scan = part.select("id").inputFiles()
         assert len(scan) > 0 and part.select(F.input_file_name().alias("f")).distinct().where(~F.col("f").contains(f"year={year}")).count() == 0
+
+
+def test_catalogue_text_is_not_made_before_scenes_are_distinct(spark, sf_small):
+    from cropcube.sources import fixtures as FX
+    parsed = SC.parse_catalog(FX.scene_json(spark, sf_small)).where(F.col("collection") == FX.SCENE_COLLECTION)
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate explode" in plan and "to_json" not in plan.split("Aggregate")[-1]
