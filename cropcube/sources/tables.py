@@ -56,7 +56,7 @@ def read_dataset(spark: SparkSession, *paths: str, schema: StructType | None = N
         if not existing:
             if schema is None:
                 raise ValueError("missing_ok needs a schema for an absent dataset")
-            df = spark.createDataFrame([], schema)  # noqa: schema may be DDL text or StructType
+            df = spark.createDataFrame([], schema).where(F.lit(False))  # schema may be DDL text or StructType; known to be empty
             return df.select(*columns) if columns else df
         paths = tuple(existing)
     reader = spark.read

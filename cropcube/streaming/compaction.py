@@ -53,7 +53,7 @@ def manifest(spark: SparkSession, sink_dir: str, version: int | None = None) ->
     """The manifest in force (or of a version): a row for each folded partition."""
     have = _versions(spark, sink_dir)
     if not have:
-        return spark.createDataFrame([], MANIFEST)
+        return spark.createDataFrame([], MANIFEST).where(F.lit(False))  # known to be empty: joins with it move no row
     return spark.read.schema(MANIFEST).parquet(f"{sink_dir}/_manifest/version={have[-1] if version is None else version}")
 
 

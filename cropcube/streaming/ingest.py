@@ -86,28 +86,39 @@ def land_batch(batch: DataFrame, epoch_id: int, sink_dir: str, touched: Touched
     new = latest_per_key(batch, list(key), values[:1], values[1:])
     done = touched.of(live_rows(batch.sparkSession, sink_dir, batch.schema)).where(F.col("epoch") < epoch_id)
     done = latest_per_key(done, list(key), ["epoch"]).drop("epoch")
-    same = [new[c].eqNullSafe(done[c]) if c in values else new[c] == done[c] for c in batch.columns]
-    new.join(done, same, "left_anti").withColumn("epoch", F.lit(int(epoch_id)).cast("long")) \
+    # one landed row a key at most: joined on the key alone, both sides stay where they were grouped
+    done = done.select(*key, F.struct(*values).alias("_done"))
+    new.join(done, list(key), "left").where(~F.struct(*values).eqNullSafe(F.col("_done"))).select(*batch.columns) \
+        .withColumn("epoch", F.lit(int(epoch_id)).cast("long")) \
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy("bbox", "year", "epoch").parquet(sink_dir)
 
 
 def landed(spark: SparkSession, sink_dir: str, schema: StructType, touched: Touched | None = None,
            key=tuple(OBSERVATION_KEY)) -> DataFrame:
-    """The observations landed so far, the latest epoch of each key, whether folded or not."""
+    """The observations landed so far, the latest epoch of each key, whether folded or not.
+
+    An epoch holds a key once.  So partitions whose live rows are all of one epoch are taken as
+    they are, without a shuffle; only the others are grouped by key.
+    """
     rows = live_rows(spark, sink_dir, schema)
     rows = rows if touched is None else touched.of(rows)
-    return latest_per_key(rows, list(key), ["epoch"]).select(*schema.fieldNames())
+    latest = lambda r: latest_per_key(r, list(key), ["epoch"]).select(*schema.fieldNames())
+    if not {"bbox", "year"} <= set(key):
+        return latest(rows)
+    epochs = rows.select("bbox", "year", "epoch").distinct().groupBy("bbox", "year").count()
+    mixed = Touched(epochs.where("count > 1"))
+    if mixed.none:
+        return rows.select(*schema.fieldNames())
+    if mixed.where is None:
+        return latest(rows)
+    return rows.where(~mixed.where).select(*schema.fieldNames()).unionByName(latest(rows.where(mixed.where)))
 
 
 def ingest_available(stream: DataFrame, sink_dir: str, checkpoint_dir: str) -> None:
     """Land every file available now, then stop."""
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            land_batch(batch, epoch_id, sink_dir)
-        finally:
-            batch.unpersist()
+        land_batch(batch, epoch_id, sink_dir)  # reads the batch's files twice, first two columns only
     _run(stream, run, checkpoint_dir)
 
 
@@ -118,26 +129,22 @@ def refresh_series_batch(obs_root: str, series_dir: str, moments_dir: str | None
     a batch job builds them: latest processing of each scene, quality filter, series.  Only
     touched partitions are read, worked on and replaced; an empty batch reads nothing.  With
     ``moments_dir`` the statistics of the touched partitions are refreshed as well (M06).
-    The batch is kept while it is used several times.
+    The batch's files are read for its partitions (two columns) and again to land them.
     """
     def run(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            touched = touched_partitions(batch)
-            if touched.none:
-                return
-            land_batch(batch, epoch_id, obs_root, touched)
-            obs = landed(batch.sparkSession, obs_root, batch.schema, touched)
-            obs = latest_per_key(obs, ["bbox", "year", "pixel_id", "CDL", "scene_date", "mgrs"],
-                                 ["seq", "scl", *K.BANDS])
-            obs = quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
-            series = build_series(obs)
-            encode_series(series).write.mode("overwrite") \
-                .option("partitionOverwriteMode", "dynamic").partitionBy("bbox", "year").parquet(series_dir)
-            if moments_dir:
-                refresh_moments(slots_long(training_examples(series)), moments_dir)
-        finally:
-            batch.unpersist()
+        touched = touched_partitions(batch)
+        if touched.none:
+            return
+        land_batch(batch, epoch_id, obs_root, touched)
+        obs = landed(batch.sparkSession, obs_root, batch.schema, touched)
+        obs = latest_per_key(obs, ["bbox", "year", "pixel_id", "CDL", "scene_date", "mgrs"],
+                             ["seq", "scl", *K.BANDS])
+        obs = quality_filter(obs.withColumn("tile", F.concat_ws("_", "mgrs", F.col("seq").cast("string"))))
+        series = build_series(obs)
+        encode_series(series).write.mode("overwrite") \
+            .option("partitionOverwriteMode", "dynamic").partitionBy("bbox", "year").parquet(series_dir)
+        if moments_dir:
+            refresh_moments(slots_long(training_examples(series)), moments_dir)
     return run
 
 
