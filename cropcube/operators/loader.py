@@ -142,12 +142,13 @@ def slot_count(days: int = K.DAYS_IN_SERIES, days_per_bucket: int = K.DAYS_PER_B
 def dense_slots(slots: Column, days: int = K.DAYS_IN_SERIES, days_per_bucket: int = K.DAYS_PER_BUCKET) -> Column:
     """One row for each slot of the window x 15 ints (12 bands, ndvi, scl, day), zero padded."""
     by_slot = F.map_from_entries(F.transform(slots, lambda s: record(k=s["slot"], v=s)))
+    places = F.sequence(F.lit(0), F.lit(slot_count(days, days_per_bucket) - 1))
     zero = F.array_repeat(F.lit(0), len(K.BANDS) + 3)
 
-    def row(i):
-        s = F.try_element_at(by_slot, i)
+    def row(s):
         return F.when(s.isNull(), zero).otherwise(F.concat(s["bands"], F.array(s["ndvi"], s["scl"], s["day"])))
-    return F.transform(F.sequence(F.lit(0), F.lit(slot_count(days, days_per_bucket) - 1)), row)
+    # bound once: an expression in a lambda is worked out again for each element and each use of it
+    return let(by_slot, lambda m: F.transform(places, lambda i: let(F.try_element_at(m, i), row)))
 
 
 def normalise_bands(bands: Column, means=tuple(K.BAND_MEANS), stds=tuple(K.BAND_STDS)) -> Column:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cropcube import constants as K
+from cropcube.functions.hof import record
 from cropcube.operators.evaluate import accuracy
 from cropcube.operators.loader import features
 from cropcube.session import materialize
@@ -64,10 +65,14 @@ def accuracy_of(model: Model, frame: DataFrame) -> DataFrame:
 
 
 def score(model: Model, frame: DataFrame) -> DataFrame:
-    """Predictions as int labels next to the keys."""
+    """Predictions as int labels next to the keys.
+
+    A generator of one row makes them: a filter on the prediction stays above it, as pushed below
+    it would build the features and run the model again for each of its conditions.
+    """
     out = model.transform(frame)
-    return out.withColumn("prediction", F.col("prediction").cast("int")).withColumn(
-        "true_label", F.col("label").cast("int"))
+    scored = record(prediction=F.col("prediction").cast("int"), true_label=F.col("label").cast("int"))
+    return out.select(*[c for c in out.columns if c != "prediction"], F.inline_outer(F.array(scored)))
 
 
 METRICS = ("round int, train_rows long, train_loss double, train_accuracy double, "

@@ -91,3 +91,12 @@ def test_dense_and_features_shape(spark):
     late = L.bucketize(L.day_window(S.series_rows("images"), F.lit(0), 240))
     d = _series(spark, [0, 200]).select(L.dense_slots(late, 240).alias("d")).first().d
     assert len(d) == 49 and d[40][-1] == 200
+
+
+def test_dense_slots_build_their_lookup_once(spark):
+    """The lookup of the slots is made once a row, not for each slot and each field taken from it."""
+    d = L.sweep_examples(_series(spark, [0, 3, 7, 60])).select("start_day", L.dense_slots(F.col("slots")).alias("d"), "slots")
+    assert d._jdf.queryExecution().analyzed().toString().count("map_from_entries(") == 1
+    for r in d.collect():
+        want = {s.slot: [*s.bands, s.ndvi, s.scl, s.day] for s in r.slots}
+        assert r.d == [want.get(i, [0] * 15) for i in range(25)]

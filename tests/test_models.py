@@ -116,3 +116,16 @@ def test_rounds_stop_without_progress(spark):
 def test_no_validation_rows(spark):
     found = M.train_rounds(lambda r: _planted(spark, r, 50), _planted(spark, 0, 0), rounds=1, iterations=2, hidden=4)
     assert found.metrics[0][4:] == (0, None, None)
+
+
+def test_filtered_predictions_are_made_once(spark):
+    """A filter on the prediction works on what the model returned; it does not run the model for its own conditions."""
+    frame = _planted(spark, 0, 60).withColumn("id", F.monotonically_increasing_id())
+    model = M.fit_mlp(frame, hidden=4, max_iter=3)
+    scored = M.score(model, frame)
+    kept = scored.where(F.col("prediction").between(0, 6)).select("id", "true_label")
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert any("prediction" in line for line in filters) and not any("UDF" in line for line in filters)
+    plain = model.transform(frame).selectExpr("id", "CAST(prediction AS INT) AS prediction", "CAST(label AS INT) AS true_label")
+    assert sorted(scored.select(plain.columns).collect()) == sorted(plain.collect()) and kept.count() == 60
