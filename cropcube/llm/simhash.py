@@ -138,22 +138,26 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
     many = pivots_for(nodes.count())
     marks = [F.bit_count(F.col("fp").bitwiseXOR(F.lit(p - (1 << 64) if p >> 63 else p))).cast("long")
              for p in pivots(many)]
-    keyed = nodes.select("fp", "node", _shard(marks).alias("shard"))
+    keyed = nodes.select("fp", "node", _shard(marks).alias("own"))
     steps = range(-radius, radius + 1)
     moves = [m for m in itertools.product(steps, repeat=many) if len({x % 2 for x in m}) == 1]
     routes = sorted(r for m in moves if (r := sum(x * 70 ** (many - 1 - i) for i, x in enumerate(m))) >= 0)
-    size = keyed.groupBy("shard").agg(F.ceil(F.count("*") / TREE_SIZE).alias("trees"))
-    members = keyed.join(size, "shard") \
-        .select("shard", F.pmod(F.xxhash64("fp"), F.col("trees")).alias("n"), "fp", "node")
-    sent = keyed.select("fp", "node", F.col("shard").alias("own"),
-                        F.explode(F.array(*[F.col("shard") + r for r in routes])).alias("shard"))
-    asking = sent.groupBy("shard").agg(F.ceil(F.count("*") / TREE_SIZE).alias("blocks")) \
-        .join(size.select("shard"), "shard")
-    asked = sent.join(asking, "shard").select(
-        "shard", F.pmod(F.xxhash64("fp"), F.col("blocks")).alias("n"), "fp", "node",
-        (F.col("own") == F.col("shard")).alias("own"))
-
-    groups = asking.select("shard", F.ceil(F.col("blocks") / BLOCKS_AT_ONCE).alias("groups"))
+    # "merge": an exploded table is many times its estimate, and broadcast it would pass whole through the driver
+    size = written(keyed.groupBy(F.col("own").alias("shard")).agg(F.count("*").alias("n")), "shards")
+    leads = size.select(F.col("shard").alias("own"), "n", F.explode(F.array(*[F.col("shard") + r for r in routes])).alias("shard"))
+    asking = leads.groupBy("shard").agg(F.ceil(F.sum("n") / TREE_SIZE).alias("blocks")) \
+        .join(size.select("shard", F.ceil(F.col("n") / TREE_SIZE).alias("trees")).hint("merge"), "shard")
+    goes = leads.join(asking.hint("merge"), "shard").groupBy("own") \
+        .agg(F.collect_list(F.struct("shard", "blocks", "trees")).alias("goes"))
+    placed = keyed.join(written(goes, "shard-routes").hint("merge"), "own")
+    home = F.get(F.filter("goes", lambda x: x["shard"] == F.col("own")), F.lit(0))
+    members = placed.select(F.col("own").alias("shard"), "fp", "node", home.alias("home")) \
+        .select("shard", F.pmod(F.xxhash64("fp"), F.col("home.trees")).alias("n"), "fp", "node",
+                F.ceil(F.col("home.blocks") / BLOCKS_AT_ONCE).alias("groups")) \
+        .repartition("shard", "n")  # the join left all trees of a shard in one partition
+    asked = placed.select("own", "fp", "node", F.explode("goes").alias("to")).select(
+        F.col("to.shard").alias("shard"), F.pmod(F.xxhash64("fp"), F.col("to.blocks")).alias("n"), "fp", "node",
+        (F.col("own") == F.col("to.shard")).alias("own"), F.col("to.trees").alias("trees"))
 
     def plant(key, rows):
         fps = rows["fp"].to_numpy(np.int64).view(np.uint64)
@@ -162,12 +166,12 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
         tree, keys = bk_tree(fps)
         ids = ids[np.searchsorted(fps, tree)]
         return pd.DataFrame({"shard": [key[0]], "t": [key[1]], "tree": [tree.tobytes()], "keys": [keys.tobytes()],
-                             "ids": [ids.tobytes()]})
+                             "ids": [ids.tobytes()], "groups": [rows["groups"].iloc[0]]})
 
     def block(key, rows):
         return pd.DataFrame({"shard": [key[0]], "g": [key[1] // BLOCKS_AT_ONCE], "fps": [rows["fp"].to_numpy(np.int64).tobytes()],
                              "nodes": [rows["node"].to_numpy(np.int64).tobytes()],
-                             "own": [rows["own"].to_numpy(np.uint8).tobytes()]})
+                             "own": [rows["own"].to_numpy(np.uint8).tobytes()], "trees": [rows["trees"].iloc[0]]})
 
     def find(batches):
         for batch in batches:
@@ -185,11 +189,12 @@ def near_links(nodes: DataFrame, radius: int = 2) -> DataFrame:
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    trees = members.groupBy("shard", "n").applyInPandas(plant, "shard long, t long, tree binary, keys binary, ids binary") \
-        .join(groups, "shard").withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1))).drop("groups")
-    asks = asked.groupBy("shard", "n").applyInPandas(block, "shard long, g long, fps binary, nodes binary, own binary") \
-        .join(size, "shard").withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("trees") - 1))).drop("trees")
-    met = trees.join(asks, ["shard", "t", "g"])
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    trees = members.groupBy("shard", "n").applyInPandas(
+        plant, "shard long, t long, tree binary, keys binary, ids binary, groups long").withColumn("g", upto("groups")).drop("groups")
+    asks = asked.groupBy("shard", "n").applyInPandas(
+        block, "shard long, g long, fps binary, nodes binary, own binary, trees long").withColumn("t", upto("trees")).drop("trees")
+    met = trees.join(asks.hint("merge"), ["shard", "t", "g"])
     return met.drop("shard", "t", "g").mapInArrow(find, "a long, b long")
 
 
@@ -203,12 +208,13 @@ def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFra
     """
     fps = written(fingerprints(docs, words), "fingerprints")
     nodes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("node")), "fingerprint-nodes")
-    same = fps.join(nodes, "fp").where("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
+    # as many rows as documents on both sides, often in files that look small: never broadcast
+    same = fps.join(nodes.hint("merge"), "fp").where("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     repeated = fps.groupBy("doc_id").agg(F.min("fp").alias("f"), F.max("fp").alias("g")).where("f != g").select("doc_id")
     own = same.join(repeated, F.col("a") == F.col("doc_id"), "left_semi")
     linked = components(written(near_links(nodes, radius).unionByName(own), "near-links"))
     named = nodes.join(linked, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named.hint("merge"), "fp").select("doc_id", "fp", "component_id")
 
 
 # The five primes of XXH64.

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from cropcube.llm import anchors, simhash, suffixes
 from cropcube.llm.components import components, forest, local_components
 from tests.llm.brute import byte_dedup, simhash as plain_simhash, united, word_dedup
@@ -85,6 +87,13 @@ def test_small_trees_and_blocks(spark, monkeypatch):
     assert {n: low.get(n, n) for n in want} == want
 
 
+def test_no_exploded_table_is_broadcast(spark):
+    """A query goes to many shards, which the estimate of the exploded table does not show."""
+    nodes = spark.range(2000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("node"))
+    plan = simhash.near_links(nodes, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapGroupsInPandas" in plan and "Broadcast" not in plan
+
+
 def _passages(rng, alphabet):
     """Texts that share passages at all alignments, with repeats inside, and periodic ones."""
     def word():
