@@ -166,8 +166,8 @@ def cell_center(row, col, x0, y0, dx, dy) -> Column:
 
 def cell_of(x, y, x0, y0, dx, dy) -> Column:
     """x, y -> (row, col) of the cell containing the point (nearest-cell sample)."""
-    return F.struct(F.floor((_c(y0) - _c(y)) / _c(dy)).cast("int").alias("row"),
-                    F.floor((_c(x) - _c(x0)) / _c(dx)).cast("int").alias("col"))
+    return record(row=F.floor((_c(y0) - _c(y)) / _c(dy)).cast("int"),
+                  col=F.floor((_c(x) - _c(x0)) / _c(dx)).cast("int"))
 
 
 # --- bounding boxes ---

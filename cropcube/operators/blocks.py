@@ -7,15 +7,17 @@ there and their places (``cells``), so a block takes no more than a few times it
 Samples are grouped by the block that they lie in, meet a scene's block by an equi-join, all
 assets at once, and pick their values by index.  No cell that is not sampled ever becomes a row.
 
-Stored with :func:`write_blocks` the blocks lie in buckets of (tile, year, block).  The
-assembly of the assets and the join then read them where they are: the samples are
-shuffled to the buckets, the pixels never are.
+Cells move once, packed, to the partition of their (tile, year, block) (:func:`gathered`);
+blocks are made, their assets put side by side and stored by :func:`write_blocks` in buckets
+of the same key where they lie.  The join reads the buckets: the samples are shuffled to
+them, the pixels never are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from cropcube import constants as K
 from cropcube.functions.hof import let, record
@@ -36,15 +38,58 @@ def block_of(row: Column, col: Column, size: int = BLOCK_CELLS) -> dict[str, Col
             "at": (F.pmod(row, n) * n + F.pmod(col, n)).cast("int")}
 
 
+def gathered(pixels: DataFrame, assets=tuple(K.ASSETS), size: int = BLOCK_CELLS, buckets: int | None = None) -> DataFrame:
+    """Cells of scenes (row, col, a column for each asset) with their block and place, all cells of a
+    (tile, year, block) in one partition.
+
+    This is the one exchange of pixels: all later steps group by more than its key.  Rows are
+    packed for it, four values of 16 bits a word, and sorted, so what neighbours share takes little.
+    """
+    buckets = buckets or int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = pixels.withColumns(block_of(F.col("row"), F.col("col"), size)).drop("row", "col")
+    rest = [c for c in placed.columns if c not in assets]
+    packed = all(placed.schema[a].dataType == IntegerType() for a in assets)
+    if packed:
+        placed = placed.select(*rest, *_pack(assets))
+    order = [*BLOCK_KEY, *[c for c in SCENE_KEY if c in rest and c not in BLOCK_KEY]]
+    moved = placed.sortWithinPartitions(*order).repartition(buckets, *BLOCK_KEY)
+    return moved.select(*rest, *_unpack(assets)) if packed else moved
+
+
+#: Values of a word, and the code of a null.
+_IN_WORD, _NULL = 4, 65_535
+
+
+def _pack(assets) -> list[Column]:
+    """Values of 16 bits, several a word; where one of a row is greater or negative, the whole row as it is."""
+    code = lambda a: F.coalesce(F.col(a), F.lit(_NULL)).cast("long")
+    small = F.lit(True)
+    for a in assets:
+        small = small & F.coalesce((F.col(a) >= 0) & (F.col(a) < _NULL), F.lit(True))
+    words = []
+    for i in range(0, len(assets), _IN_WORD):
+        word = code(assets[i])
+        for k, a in enumerate(assets[i + 1:i + _IN_WORD], 1):
+            word = word.bitwiseOR(F.shiftleft(code(a), 16 * k))
+        words.append(F.when(small, word).alias(f"_w{i // _IN_WORD}"))
+    return [*words, F.when(~small, F.array(*assets)).alias("_wide")]
+
+
+def _unpack(assets) -> list[Column]:
+    value = lambda i: F.shiftrightunsigned(f"_w{i // _IN_WORD}", 16 * (i % _IN_WORD)).bitwiseAND(F.lit(_NULL)).cast("int")
+    return [F.when(F.col("_wide").isNotNull(), F.get("_wide", F.lit(i))).otherwise(F.nullif(value(i), F.lit(_NULL))).alias(a)
+            for i, a in enumerate(assets)]
+
+
 def to_blocks(pixels: DataFrame, scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS), size: int = BLOCK_CELLS) -> DataFrame:
-    """Cells of scenes (row, col and a column for each asset) as blocks.
+    """Cells of scenes (row, col and a column for each asset, or such cells :func:`gathered`) as blocks.
 
     One aggregation on (scene, block), of at most size x size cells.  Where a scene gives a
     cell more than once, the greatest values stay.  ``values`` are those of the cells from
     ``first`` on, or, where ``cells`` is not null, those of these cells.
     """
-    cells = pixels.withColumns(block_of(F.col("row"), F.col("col"), size)).groupBy(*scene, "block_row", "block_col") \
-        .agg(F.array_sort(F.collect_list(F.struct("at", *assets))).alias("_cells"))
+    cells = pixels if "block_row" in pixels.columns else gathered(pixels, assets, size)
+    cells = cells.groupBy(*scene, "block_row", "block_col").agg(F.array_sort(F.collect_list(F.struct("at", *assets))).alias("_cells"))
     once = let(F.col("_cells"), lambda cs: F.filter(
         cs, lambda c, i: F.coalesce(F.get(cs, i + 1)["at"] != c["at"], F.lit(True))))
     empty = F.slice(F.col("_cells"), 1, 0)  # an array of no cells, to have its type
@@ -66,15 +111,25 @@ def to_blocks(pixels: DataFrame, scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS),
 
 
 def write_blocks(blocks: DataFrame, buckets: int | None = None) -> DataFrame:
-    """Blocks stored in the shared folder in buckets of (tile, year, block), and read back."""
+    """Blocks stored in the shared folder in buckets of (tile, year, block), and read back: a row for each
+    scene and block, with a column for each asset.  Blocks that lie by this key already are not moved."""
     spark = blocks.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = shared_table("blocks")
-    blocks.repartition(buckets, *BLOCK_KEY).sortWithinPartitions(*BLOCK_KEY).write.option("path", shared_path(spark, "blocks")) \
-        .bucketBy(buckets, *BLOCK_KEY).sortBy(*BLOCK_KEY).saveAsTable(name)
+    _whole(blocks.repartition(buckets, *BLOCK_KEY)).write.option("path", shared_path(spark, "blocks")) \
+        .option("compression", "zstd").bucketBy(buckets, *BLOCK_KEY).sortBy(*BLOCK_KEY).saveAsTable(name)
     return spark.table(name)
 
 
+def _whole(blocks: DataFrame, assets=tuple(K.ASSETS)) -> DataFrame:
+    """The assets of each scene's block side by side: one row, and the places once."""
+    key = [c for c in blocks.columns if c not in ("asset", "first", "cells", "values")]
+    whole = blocks.groupBy(*key).agg(
+        F.first("first").alias("first"), F.first("cells").alias("cells"),  # the same for all assets
+        F.collect_list(F.struct("asset", "values")).alias("_assets"))
+    return whole.select(*key, "first", "cells", *[F.get(F.filter("_assets", _named(a)), F.lit(0))["values"].alias(a) for a in assets])
+
+
 def observe_blocks(cells: DataFrame, blocks: DataFrame, wanted: DataFrame | None = None,
                    scene=tuple(SCENE_KEY), assets=tuple(K.ASSETS), exclude=tuple(K.SCL_EXCLUDE), size: int = BLOCK_CELLS) -> DataFrame:
     """The value of every asset of every scene at every sample, from blocks.
@@ -96,12 +151,10 @@ def observe_blocks(cells: DataFrame, blocks: DataFrame, wanted: DataFrame | None
         samples = samples.join(wanted.groupBy("mgrs", "year").agg(
             F.collect_set(F.struct("scene_date", "seq")).alias("_wanted")), ["mgrs", "year"])
     rest = [c for c in scene if c not in BLOCK_KEY]
-    whole = blocks.groupBy(*BLOCK_KEY, *rest).agg(
-        F.first("first").alias("_first"), F.first("cells").alias("_cells"),  # the same for all assets
-        F.collect_list(F.struct("asset", "values")).alias("_assets"))
+    whole = _whole(blocks, assets) if "asset" in blocks.columns else blocks
     of = {a: f"_v{i}" for i, a in enumerate(assets)}
-    whole = whole.select(*BLOCK_KEY, *rest, "_first", "_cells", *[
-        F.get(F.filter("_assets", _named(a)), F.lit(0))["values"].alias(c) for a, c in of.items()])
+    whole = whole.select(*BLOCK_KEY, *rest, F.col("first").alias("_first"), F.col("cells").alias("_cells"),
+                         *[F.col(a).alias(c) for a, c in of.items()])
     met = whole.join(samples, BLOCK_KEY)
     if wanted is not None:
         met = met.where(F.array_contains("_wanted", F.struct("scene_date", "seq")))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cropcube import constants as K
 from cropcube.functions import geo
+from cropcube.functions.hof import let
 from cropcube.functions.labels import lookup
 from cropcube.sources.tables import read_table
 
@@ -211,28 +212,24 @@ def tile_grid_origin(mgrs) -> tuple[F.Column, F.Column]:
 
 def scene_cell(lon, lat, mgrs) -> F.Column:
     """lon/lat -> UTM -> (row, col) of the tile's 10 m grid."""
-    u = geo.lonlat_to_utm(lon, lat, F.lit(UTM_ZONE))
     x0, y0 = tile_grid_origin(mgrs)
-    return geo.cell_of(u["x"], u["y"], x0, y0, F.lit(SCENE_CELL), F.lit(SCENE_CELL))
+    return let(geo.lonlat_to_utm(lon, lat, F.lit(UTM_ZONE)), lambda u: geo.cell_of(
+        u["x"], u["y"], x0, y0, F.lit(SCENE_CELL), F.lit(SCENE_CELL)))
 
 
 def scene_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scene rasters as cells: one row per (scene, cell) with the 13 assets.
 
     Each ``lineitem`` row is the value of one scene at the cell holding its
-    pixel; the cell is found with the same projection a sample uses, once for
-    each pixel and tile and not for each scene again.
+    pixel; the cell is found with the same projection a sample uses, where the row is
+    read: a lookup of cells would move all values once more.
     """
-    raw = raw_observations(spark, sf_dir)
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))  # few bytes, but much work a row
-    places = raw.select("pixel_id", "mgrs").distinct().repartition(tasks, "pixel_id", "mgrs")
-    places = places.select("pixel_id", "mgrs", F.inline_outer(F.array(pixel_lonlat("pixel_id"))))
-    places = places.select("pixel_id", "mgrs", scene_cell(F.col("lon"), F.col("lat"), F.col("mgrs")).alias("_cell"))
-    cell = F.col("_cell")
-    return raw.join(places, ["pixel_id", "mgrs"], "left").select(
+    raw = raw_observations(spark, sf_dir).select("*", F.inline_outer(F.array(pixel_lonlat("pixel_id"))))
+    raw = raw.select("*", F.inline_outer(F.array(scene_cell(F.col("lon"), F.col("lat"), F.col("mgrs")))))
+    return raw.select(
         F.concat(F.lit("S2A_"), "mgrs", F.lit("_"), F.date_format("scene_date", "yyyyMMdd"),
                  F.lit("_"), F.col("seq").cast("string"), F.lit("_L2A")).alias("scene_id"),
-        "mgrs", "year", "scene_date", "seq", cell["row"].alias("row"), cell["col"].alias("col"),
+        "mgrs", "year", "scene_date", "seq", "row", "col",
         "scl", *K.BANDS)
 
 
@@ -242,10 +239,11 @@ def scene_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     A cell has one value in a raster, so what ``lineitem`` gives a scene's cell again comes
     as another delivery of the scene (numbered from 0, the greatest values first).
     """
-    from cropcube.operators.blocks import to_blocks
+    from cropcube.operators.blocks import BLOCK_KEY, gathered, to_blocks
 
-    again = Window.partitionBy("scene_id", "row", "col").orderBy(*[F.col(a).desc() for a in K.ASSETS])
-    return to_blocks(scene_pixels(spark, sf_dir).withColumn("delivery", F.row_number().over(again) - 1))
+    cells = gathered(scene_pixels(spark, sf_dir))
+    again = Window.partitionBy(*BLOCK_KEY, "scene_id", "at").orderBy(*[F.col(a).desc() for a in K.ASSETS])
+    return to_blocks(cells.withColumn("delivery", F.row_number().over(again) - 1))
 
 
 def scene_footprints(spark: SparkSession, sf_dir: str) -> DataFrame:

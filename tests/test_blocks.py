@@ -94,3 +94,22 @@ def test_sparse_blocks_keep_places_not_gaps(spark):
                                    ("twin", "AF", 1997, 100, 7), ("none", "AF", 1997, 100, 8)], CELLS)
     got = BL.observe_blocks(cells, blocks).select("name", "delivery", "red").collect()
     assert sorted(map(tuple, got)) == [("a", 0, 107), ("b", 1, 99), ("c", 0, 510), ("twin", 0, 107)]
+
+
+def test_cells_move_once_however_they_are_stored(spark, sf_small):
+    """Cells go to the partition of their block; numbering, blocks and assets are made there, and nothing moves to the buckets."""
+    from cropcube.sources import fixtures as FX
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = FX.scene_blocks(spark, sf_small).repartition(buckets, *BL.BLOCK_KEY)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Window" in plan
+
+
+def test_packed_values_come_back(spark):
+    import datetime as dt
+    odd = [None, 0, 1, -1, 9999, 65534, 65535, 65536, 2 ** 31 - 1, -2 ** 31]
+    rng = random.Random(7)
+    rows = [("s", "AF", 1997, dt.date(1997, 1, 1), 1, 0, i, -i, *[rng.choice(odd[:5] if i % 2 else odd) for _ in K.ASSETS]) for i in range(200)]
+    got = BL.gathered(spark.createDataFrame(rows, PIXELS))
+    assert {f.name: f.dataType.typeName() for f in got.schema if f.name in K.ASSETS} == dict.fromkeys(K.ASSETS, "integer")
+    cells = {(r.block_row * 256 + r["at"] // 256, r.block_col * 256 + r["at"] % 256): tuple(r[a] for a in K.ASSETS) for r in got.collect()}
+    assert cells == {r[6:8]: r[8:] for r in rows}
