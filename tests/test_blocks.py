@@ -113,3 +113,15 @@ def test_packed_values_come_back(spark):
     assert {f.name: f.dataType.typeName() for f in got.schema if f.name in K.ASSETS} == dict.fromkeys(K.ASSETS, "integer")
     cells = {(r.block_row * 256 + r["at"] // 256, r.block_col * 256 + r["at"] % 256): tuple(r[a] for a in K.ASSETS) for r in got.collect()}
     assert cells == {r[6:8]: r[8:] for r in rows}
+
+
+def test_stored_blocks_hold_their_places_once(spark):
+    pixels, _ = _random()
+    blocks = BL.to_blocks(spark.createDataFrame(pixels, PIXELS), size=4)
+    stored = BL.write_blocks(blocks)
+    assert stored.count() * len(K.ASSETS) == blocks.count() > 0
+    key = [*BL.SCENE_KEY, "block_row", "block_col"]
+    got = {tuple(r[k] for k in key): r for r in stored.collect()}
+    for r in blocks.collect():
+        one = got[tuple(r[k] for k in key)]
+        assert (one["first"], one["cells"], one[r.asset]) == (r["first"], r["cells"], r["values"])
